@@ -1,9 +1,12 @@
 """All queries of the reference's own operators, with their SQL."""
 
+from . import queries as _queries
+from . import sql
+
 
 def queries() -> dict:
-    return {}
+    return dict(_queries.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return sql.oracle_sql()

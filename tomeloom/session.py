@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
 
@@ -38,3 +39,25 @@ def ship(spark: SparkSession) -> None:
     made = tempfile.mkdtemp(prefix="tomeloom-")  # Spark serves the file from here as long as the application runs
     shutil.copytree(top, f"{made}/zip/{top.name}", ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(f"{made}/{top.name}", "zip", f"{made}/zip"))
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, set here only for local runs that lack it."""
+    sc = spark.sparkContext
+    ship(spark)
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(where)
+    return where
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df as written to a new table in the shared folder: lineage ends there, and a lost executor costs nothing."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,9 +2,9 @@
 
 OP1 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(CAST(x AS DOUBLE) * 1024)) AS q FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), s AS (
   SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
@@ -12,7 +12,7 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 OP9 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
@@ -38,11 +38,11 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 OP10 = """
 WITH l AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines,
-         list_transform(string_split(text, chr(10)), x -> CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h
+         list_transform(string_split(text, chr(10)), lambda x: CAST('0x' || substr(md5(x), 1, 7) AS BIGINT)) AS h
   FROM documents WHERE text IS NOT NULL
 ),
 e AS (
-  SELECT doc_id, text, lines, list_filter(range(0, len(lines)), i -> i = len(lines) - 1
+  SELECT doc_id, text, lines, list_filter(range(0, len(lines)), lambda i: i = len(lines) - 1
          OR (i > 0 AND ((h[i] * 31 + h[i + 1]) % 65521) % 3 = 0)) AS ends
   FROM l
 ),

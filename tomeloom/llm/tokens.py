@@ -1,22 +1,26 @@
-"""Token ids of whole texts with the public tokenizers, with a cache of space-separated pieces inside each worker.
+"""Token ids of whole texts with the public tokenizers, with caches of words inside each worker.
 
-A piece is what stands between two spaces. Both vocabularies split a text before its spaces, so a text is
-its pieces' ids in order; texts in which that is not certain (runs of white space, white space other than
-space and line feed) are encoded whole. The cache holds at most CACHE pieces, and pieces of at most LONGEST characters.
+Both vocabularies split a text before each space or line feed that follows another character, so a text is the ids of its pieces in
+order, each with the space or line feed before it. A piece that ends in ASCII punctuation after a letter or digit is split
+there too. Texts in which that isn't certain (white space other than single spaces and one or two line
+feeds, and a capital that lower case makes two of) are encoded whole. The caches hold a bounded number of pieces and words; what finds no room is encoded again.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 
-CACHE, LONGEST = 700_000, 48
-ODD = re.compile("[^\\S \n]|[\x1c-\x1f᠎​﻿]")
+PIECES, WORDS, LONGEST = 350_000, 700_000, 48
+ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u0130\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+RUNS = ("  ", " \n", "\n ", "\n\n\n")
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _made: dict = {}
 
 
 class Encoder:
-    """encode(text) gives the ids as little-endian unsigned 32-bit integers."""
+    """encode_all(texts) gives each text's ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -26,33 +30,54 @@ class Encoder:
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.seen: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.folds = self.raw(["A"]) == self.raw(["a"])  # this vocabulary ignores case and white space
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def resolve(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of pieces, each as it stands after a space or with its own line feed."""
+        parts = {}
+        for x in missing:
+            word = x.rstrip(MARKS)
+            tail = x[len(word) :] if word[-1:].isalnum() else ""
+            word = word if tail else x
+            parts[x] = ((word.lstrip("\n").lower() if word.isascii() else word.lstrip("\n")) if self.folds else word if word[:1] == "\n" else " " + word, tail)
+        words = self.words
+        need = list({w for pair in parts.values() for w in pair if w and w not in words})
+        fresh = dict(zip(need, self.raw(need), strict=True)) | {"": b""}
+        if len(words) < WORDS:
+            words.update((w, v) for w, v in fresh.items() if len(w) <= LONGEST)
+        found = {x: (fresh[w] if w in fresh else words[w]) + (fresh[t] if t in fresh else words[t]) for x, (w, t) in parts.items()}
+        if len(self.pieces) < PIECES:
+            self.pieces.update((x, v) for x, v in found.items() if len(x) <= LONGEST)
+        return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        seen, parts = self.seen, [None if "  " in t or "\n " in t or " \n" in t or ODD.search(t) else t.split(" ") for t in texts]
-        new = set()
-        for p in parts:
-            if p:
-                new.update(p[1:])
-        new = [x for x in new if x not in seen]
-        if len(seen) + len(new) > CACHE:  # the frequent pieces come first and stay
-            extra = dict(zip(new, self.raw([" " + x for x in new]), strict=True))
-            for x in new[: max(0, CACHE - len(seen))]:
-                if len(x) <= LONGEST:
-                    seen[x] = extra[x]
-            get = lambda x: seen[x] if x in seen else extra[x]
-        else:
-            fresh = dict(zip(new, self.raw([" " + x for x in new]), strict=True))
-            seen.update((x, v) for x, v in fresh.items() if len(x) <= LONGEST)
-            long = {x: v for x, v in fresh.items() if len(x) > LONGEST}
-            get = (lambda x: seen[x] if x in seen else long[x]) if long else seen.__getitem__
-        whole = iter(self.raw([x for t, p in zip(texts, parts, strict=True) for x in ([t] if p is None else p[:1])]))
-        return [next(whole) if p is None else next(whole) + b"".join(map(get, p[1:])) for p in parts]
+        get, missing, made, whole = self.pieces.get, set(), [], []
+        for t in texts:
+            if any(x in t for x in RUNS) or t.endswith("\n\n") or ODD.search(t):
+                whole.append(t)
+                made.append(None)
+                continue
+            first, *rest = t.replace("\n", " \n").split(" ")
+            whole.append(first)
+            ids = list(map(get, rest))
+            gaps = [i for i, v in enumerate(ids) if v is None] if None in ids else []
+            missing.update([rest[i] for i in gaps])
+            made.append((ids, gaps, rest))
+        found, heads, out = self.resolve(missing), self.raw(whole), []
+        for head, one in zip(heads, made, strict=True):
+            if one is None:
+                out.append(head)
+                continue
+            ids, gaps, rest = one
+            for i in gaps:
+                ids[i] = found[rest[i]]
+            out.append(head + b"".join(ids))
+        return out
 
 
 def encoder(path: str) -> Encoder:

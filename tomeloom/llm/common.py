@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_dir, ship, stored
+
+__all__ = ["batches", "crc_mod", "n_words", "shared_dir", "stored", "table", "text_key", "word_array"]
 
 #: Runs of these characters stand between words (all ASCII but digits and a-z, after lower-casing A-Z).
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -20,29 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only for local runs that lack it."""
-    sc = spark.sparkContext
-    ship(spark)
-    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not where:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(where)
-    return where
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df as written to a new table in the shared folder: lineage ends there, and a lost executor costs nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def word_array(text: Column) -> Column:
     """Lower-cased (A-Z only) words of a text; null has none."""
     parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), NON_WORD)

@@ -47,17 +47,20 @@ def scan(docs: DataFrame, phrases=None, templates=None, cover: float = 0.75, str
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     each = rows.select("doc_id", text_key(F.col("text")).alias("key"), word_array(F.col("text")).alias("words"))
-    each = each.select("doc_id", "key", "words", F.posexplode("words").alias("pos", "w0"))
+    each = each.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "w0"))  # a plain explode would build words twice
     word = lambda i: F.get("words", F.col("pos") + i)
     starts = [(label, F.col("w0") == p[0], [word(i) == x for i, x in enumerate(p) if i]) for text, label in phrases for p in [text.split()]]
-    found = [F.when(first & _all(rest), F.lit(label)) for label, first, rest in starts]
-    each = each.select("doc_id", "key", "pos", F.array_compact(F.array(*found)).alias("base"), "w0", word(1).alias("w1"), word(2).alias("w2"))
+    base = F.lit(0).cast("long")  # a bit for each phrase: no function here leaves generated code, so rows share their document's array
+    for i, (_, first, rest) in enumerate(starts):
+        base = base.bitwiseOR(F.when(first & _all(rest), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
+    each = each.select("doc_id", "key", "pos", base.alias("base"), "w0", word(1).alias("w1"), word(2).alias("w2"))
     same = (F.xxhash64("w0", "w1", "w2") == F.col("h")) & (F.col("w0") == F.col("g0")) & (F.col("w1") == F.col("g1")) & (F.col("w2") == F.col("g2"))
-    hits = each.join(F.broadcast(at), same, "left").where((F.size("base") > 0) | F.col("votes").isNotNull())
+    hits = each.join(F.broadcast(at), same, "left").where("base > 0 or votes is not null")
     hits = stored(hits.select("doc_id", "key", F.col("pos").cast("long").alias("pos"), "base", "votes").distinct(), "license-hits")
 
     key = ["doc_id", "key"]
-    base = hits.where(F.size("base") > 0).select(*key, "pos", F.explode("base").alias("label"))
+    labels = F.array_compact(F.array(*[F.when(F.col("base").bitwiseAND(F.lit(1 << i).cast("long")) > 0, F.lit(label)) for i, (label, _, _) in enumerate(starts)]))
+    base = hits.where("base > 0").select(*key, "pos", F.explode(labels).alias("label"))
     base = base.groupBy(*key).agg(F.count("*").alias("n_base"), F.min("pos").alias("first_word"), F.max("pos").alias("last_word"), F.collect_set("label").alias("base"))
 
     votes = hits.where("votes is not null").select(*key, "pos", F.inline("votes")).withColumn("diag", F.col("pos") - F.col("tpos"))

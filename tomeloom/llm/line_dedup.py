@@ -41,7 +41,7 @@ def chunk_text(first, last) -> Column:
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, key, first, last: chunks to remove."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), "text")
-    each = chunked(rows, "doc_id", "key").select("doc_id", "key", "lines", F.inline("spans")).where("last > first")
+    each = chunked(rows, "doc_id", "key").select("doc_id", "key", "lines", F.inline_outer("spans")).where("last > first")
     each = each.select("doc_id", "key", "first", "last", chunk_text(F.col("first"), F.col("last")).alias("chunk"))
     each = stored(each.where(F.length("chunk") >= MIN_CHARS).select("doc_id", "key", "first", "last", F.xxhash64("chunk").alias("h")), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("first").alias("first"))
@@ -50,7 +50,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     wanted = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last", "h", "is_first")).alias("wanted")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "wanted")
     texts = rows.where("text is not null").select("doc_id", "key", "text").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), F.inline("wanted"))
+    texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), F.inline_outer("wanted"))
     texts = stored(texts.select("doc_id", "key", "first", "last", "h", "is_first", chunk_text(F.col("first"), F.col("last")).cast("binary").alias("bytes")), "line-bytes")
     firsts = texts.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes"))
     return texts.where("not is_first").join(firsts, "h").where("bytes = first_bytes").select("doc_id", "key", "first", "last").distinct()

@@ -108,6 +108,6 @@ def score(docs: DataFrame, model, carry: tuple[str, ...] = ("doc_id",), name: st
 
 
 def keep_clean(docs: DataFrame, model, threshold: float = 0.3) -> DataFrame:
-    """docs without the rows that score threshold or more; columns as they were."""
+    """docs without the rows that score threshold or more; columns as they were. A text without a word stays."""
     name = "score_" + "_".join(sorted(docs.columns))  # clashes with no column
-    return score(docs, model, tuple(docs.columns), name).where(F.col(f"`{name}`") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return score(docs, model, tuple(docs.columns), name).where((F.col(f"`{name}`") < threshold) | ~F.coalesce("text", F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(*[F.col(f"`{c}`") for c in docs.columns])

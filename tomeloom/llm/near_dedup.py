@@ -9,9 +9,10 @@ k ln k + 2k darts of a document are looked at: those below a rank that falls wit
 coordinate stays empty, that rank is doubled.
 
 Bands of ROWS coordinates are joined. A bucket never emits all pairs: each member is compared with the bucket's
-first text, links are verified exactly (weighted Jaccard >= threshold) and merged to components; buckets that
-still hold several components go on, 32 members outside their largest component at a time, until every pair of
-a bucket is either verified, or inside one component. So no link between different texts is lost to that.
+first text, links are verified exactly (weighted Jaccard >= threshold) and merged to components. In buckets that
+still hold several, the members outside the largest component are compared with those of all others, as blocks of
+texts by matrix products, and only links leave a block. So every pair of a bucket is either verified or inside one
+component, and no link between different texts is lost to that.
 With 24 bands of 5, two texts of similarity 0.8 share no bucket with a probability of 7e-5, less when nearer.
 
 Defined cases: copies are collapsed before (two 64-bit hashes of the text); texts of 1 to 4 words have one
@@ -22,7 +23,8 @@ of its own, and a null doc_id stays null and sorts last; the class id is the sma
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, stored
@@ -42,7 +44,7 @@ def darts(elem: np.ndarray, weight: np.ndarray, text: np.ndarray, most: np.ndarr
     found, some, v = [], np.arange(len(elem)), 0
     while len(some):
         width = float(1 << v)
-        live, s, rank = some, mix(elem[some] + np.uint64(v + 1) * K2), np.zeros(len(some))
+        live, s, rank = some, mix(elem[some] + np.array([v + 1], np.uint64) * K2), np.zeros(len(some))
         while len(live):
             s = mix(s + K3)
             rank = rank - np.log(unit(s)) / width
@@ -131,34 +133,84 @@ def verified(pairs: DataFrame, wanted: DataFrame) -> DataFrame:
     return stored(two.select("a", "b", "text_a", "text_b").mapInArrow(similarity, "a long, b long, sim double"), "dart-pairs")
 
 
-def links(member: DataFrame, wanted_of, threshold: float, at_once: int = 32) -> DataFrame:
-    """(id, comp): components under verified links among the members (id, bucket) of buckets.
-
-    wanted_of gives (id, text) for a table of ids.
+def elements(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of texts as (hash of shingle and occurrence, text), sorted by hash, and each text's number: sets, whose Jaccard is the weighted one of shingles."""
+    raw = [t.encode() for t in texts]
+    sh, count, text = weighted(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    count = count.astype(np.int64)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    key, text = mix(np.repeat(sh, count) + nth.astype(np.uint64) * K3), np.repeat(text, count)
+    order = np.argsort(key, kind="stable")
+    return key[order], text[order], np.bincount(text, minlength=len(texts))
+
+
+def shared(x, y) -> np.ndarray:
+    """Sizes of the intersections of all texts of x with all of y, by matrix products over slices of their common vocabulary."""
+    (kx, tx, nx), (ky, ty, ny) = x, y
+    vocab = np.intersect1d(kx, ky)
+    out = np.zeros((len(nx), len(ny)), np.float32)
+    for at in range(0, len(vocab), 4096):
+        part = vocab[at : at + 4096]
+        a, b = np.zeros((len(nx), len(part)), np.float32), np.zeros((len(ny), len(part)), np.float32)
+        for m, k, t in ((a, kx, tx), (b, ky, ty)):
+            i, j = np.searchsorted(k, part[0]), np.searchsorted(k, part[-1], "right")
+            col = np.searchsorted(part, k[i:j])
+            ok = part[np.minimum(col, len(part) - 1)] == k[i:j]
+            m[t[i:j][ok], col[ok]] = 1
+        out += a @ b.T
+    return out
+
+
+def crossed(asks: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """(a, b) of links between asked texts and members of other components, in the first bucket that both are in."""
+    none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    if asks.empty or members.empty:
+        return none
+    open_ = asks["comp"].to_numpy()[:, None] != members["comp"].to_numpy()
+    x, y = np.stack(asks["bands"]), np.stack(members["bands"])
+    band = int(np.flatnonzero(x[0] == asks["bucket"].iloc[0])[0])
+    for i in range(band):
+        open_ &= x[:, i][:, None] != y[:, i]
+    rows, cols = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
+    if not len(rows):
+        return none
+    one, two = elements(asks["text"].iloc[rows].tolist()), elements(members["text"].iloc[cols].tolist())
+    both = shared(one, two)
+    near = (both >= threshold * (one[2][:, None] + two[2] - both) - 1e-6) & open_[np.ix_(rows, cols)]
+    i, j = np.nonzero(near)
+    a, b = asks["id"].to_numpy()[rows[i]], members["id"].to_numpy()[cols[j]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def links(member: DataFrame, wanted_of, threshold: float, block: int = 256) -> DataFrame:
+    """(id, comp): components under verified links among the members (id, bucket, bands) of buckets.
+
+    wanted_of gives (id, text) for a table of ids. First each member is compared with its bucket's first text. In
+    buckets that then hold several components, members outside the largest one meet all members of other components, in
+    units of at most about block x block texts that give back links alone.
     """
     hubs = member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
-    crowded = stored(member.join(hubs, "bucket"), "dart-crowded")
+    crowded = stored(member.select("id", "bucket").join(hubs, "bucket"), "dart-crowded")
     wanted = stored(wanted_of(crowded.select("id").distinct()), "dart-wanted")
     tried = verified(crowded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), wanted)
-    done, new = None, tried
-    while True:
-        if done is None or not new.where(F.col("sim") >= threshold).isEmpty():
-            comp = stored(components(tried.where(F.col("sim") >= threshold)), "dart-components")
-        seen = crowded.join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
-        groups = seen.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.count("*").alias("n"), F.max_by("comp", F.struct("count", "comp")).alias("big"))
-        left = stored(seen.join(groups.where("n > 1").select("bucket", "big"), "bucket"), "dart-mixed")
-        minor = left.where("comp <> big").select("bucket", "id", "comp")
-        if done is not None:
-            minor = minor.join(done, ["bucket", "id"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        asks = stored(minor.withColumn("rank", rank).where(F.col("rank") <= at_once).select("bucket", "id", "comp"), "dart-asks")
-        if asks.isEmpty():
-            return comp
-        cross = asks.select("bucket", F.col("id").alias("m"), F.col("comp").alias("mc")).join(left, "bucket").where("comp <> mc")
-        pairs = cross.select(F.least("m", "id").alias("a"), F.greatest("m", "id").alias("b")).distinct().join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        new = verified(pairs, wanted)
-        tried = tried.union(new)
-        done = asks.select("bucket", "id") if done is None else done.union(asks.select("bucket", "id"))
+    stars = tried.where(F.col("sim") >= threshold).select("a", "b")
+    comp = stored(components(stars), "dart-components")
+    seen = crowded.where("id <> hub").join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
+    each = seen.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+    groups = each.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("big")).where("k > 1")
+    left = stored(seen.join(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "bucket"), "dart-mixed")
+    if left.isEmpty():
+        return comp
+    full = left.join(wanted, "id").join(member.select("id", "bands").dropDuplicates(["id"]), "id")
+    many = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
+    mine = lambda c, salt: F.pmod(F.xxhash64("id", F.lit(salt)), many(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), many(c) - 1))
+    own = lambda: [F.col(c).alias(c) for c in ("bucket", "id", "comp", "bands", "text")]  # noqa: E731  new columns for each side
+    asks = full.where("comp <> big").select(*own(), mine("m", 1).alias("p"), every("n").alias("q"))
+    others = full.select(*own(), mine("n", 2).alias("q"), every("m").alias("p"))
+    met = asks.groupBy("bucket", "p", "q").cogroup(others.groupBy("bucket", "p", "q")).applyInPandas(lambda x, y: crossed(x, y, threshold), "a long, b long")
+    found = stored(met.distinct(), "dart-crossed")
+    return comp if found.isEmpty() else stored(components(stars.union(found)), "dart-components")
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -174,7 +226,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         found = rows.where("text is not null").select(dk, "h1", "h2", "text").join(keys, ["dk", "h1", "h2"])
         return found.groupBy("dk", "h1", "h2", "id").agg(F.first("text").alias("text")).select("id", "text")
 
-    comp = links(texts.select("id", F.explode("bands").alias("bucket")).distinct(), wanted, threshold)
+    comp = links(texts.select("id", "bands", F.explode("bands").alias("bucket")), wanted, threshold)
     owned = texts.select("h1", "h2", "at", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     each = owned.groupBy("comp").agg(F.min("at").alias("best"), F.sum("n").alias("class_size"))
     info = owned.join(each, "comp").select("h1", "h2", "best", "class_size")

@@ -192,7 +192,7 @@ def test_links_reach_every_pair_of_a_bucket(spark):
         for step in range(12):
             texts[c * 100 + step] = " ".join([f"c{c}n{i}" for i in range(step * 2)] + w[step * 2 :])
     texts[5000] = "alone in this bucket of texts here"
-    member = spark.createDataFrame([(i, 7, [i + 1000, 7]) for i in texts], "id long, bucket long, bands array<long>")
+    member = spark.createDataFrame([(i, [i + 1000, 7]) for i in texts], "id long, bands array<long>")
     wanted = spark.createDataFrame(list(texts.items()), "id long, text string")
     comp = near_dedup.links(member, lambda ids: wanted.join(ids, "id"), 0.8, block=5)
     want = brute.near_classes(sorted(texts.items()))

@@ -84,7 +84,7 @@ def weighted(data, ends, n=5):
     return sh[at], np.diff(np.append(at, len(sh))).astype(np.float64), text[at]
 
 
-def banded(rows):
+def to_bands(rows):
     import pyarrow as pa
 
     for part, data, ends in batches(rows):
@@ -182,15 +182,16 @@ def crossed(asks: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.D
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def links(member: DataFrame, wanted_of, threshold: float, block: int = 256) -> DataFrame:
-    """(id, comp): components under verified links among the members (id, bucket, bands) of buckets.
+def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256) -> DataFrame:
+    """(id, comp): components under verified links among texts (id, bands) that share a bucket, a value in bands.
 
     wanted_of gives (id, text) for a table of ids. First each member is compared with its bucket's first text. In
     buckets that then hold several components, members outside the largest one meet all members of other components, in
     units of at most about block x block texts that give back links alone.
     """
+    member = banded.select("id", F.explode("bands").alias("bucket"))
     hubs = member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
-    crowded = stored(member.select("id", "bucket").join(hubs, "bucket"), "dart-crowded")
+    crowded = stored(member.join(hubs, "bucket"), "dart-crowded")
     wanted = stored(wanted_of(crowded.select("id").distinct()), "dart-wanted")
     tried = verified(crowded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), wanted)
     stars = tried.where(F.col("sim") >= threshold).select("a", "b")
@@ -201,7 +202,7 @@ def links(member: DataFrame, wanted_of, threshold: float, block: int = 256) -> D
     left = stored(seen.join(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "bucket"), "dart-mixed")
     if left.isEmpty():
         return comp
-    full = left.join(wanted, "id").join(member.select("id", "bands").dropDuplicates(["id"]), "id")
+    full = left.join(wanted, "id").join(banded, "id")
     many = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
     mine = lambda c, salt: F.pmod(F.xxhash64("id", F.lit(salt)), many(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), many(c) - 1))
@@ -216,7 +217,7 @@ def links(member: DataFrame, wanted_of, threshold: float, block: int = 256) -> D
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """doc_id, h1, h2, class_id, class_size, kept: one row for each row of docs; kept in one row of each class."""
     rows = keyed(docs)
-    marks = stored(rows.where("text is not null").mapInArrow(banded, "doc_id long, h1 long, h2 long, bands array<long>").withColumn("row", F.monotonically_increasing_id()), "dart-signatures")
+    marks = stored(rows.where("text is not null").mapInArrow(to_bands, "doc_id long, h1 long, h2 long, bands array<long>").withColumn("row", F.monotonically_increasing_id()), "dart-signatures")
     at = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
     texts = stored(marks.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.count("*").alias("n"), F.first("bands").alias("bands")).withColumn("id", F.col("at.row")), "dart-texts")
     dk = F.coalesce("doc_id", F.lit(-1)).alias("dk")
@@ -226,7 +227,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         found = rows.where("text is not null").select(dk, "h1", "h2", "text").join(keys, ["dk", "h1", "h2"])
         return found.groupBy("dk", "h1", "h2", "id").agg(F.first("text").alias("text")).select("id", "text")
 
-    comp = links(texts.select("id", "bands", F.explode("bands").alias("bucket")), wanted, threshold)
+    comp = links(texts.where("bands is not null").select("id", "bands"), wanted, threshold)
     owned = texts.select("h1", "h2", "at", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     each = owned.groupBy("comp").agg(F.min("at").alias("best"), F.sum("n").alias("class_size"))
     info = owned.join(each, "comp").select("h1", "h2", "best", "class_size")

@@ -238,3 +238,20 @@ def test_stream_of_pages(spark, tmp_path):
         q.awaitTermination(60)
         assert q.exception() is None, n
     assert sorted((r.book_id, r.core_idea_text) for r in spark.read.parquet(out).collect()) == [(1, "A"), (1, "B"), (2, "A")]
+
+
+def test_resume_asks_only_what_is_open(spark):
+    chunks = spark.createDataFrame([(1, "first text"), (2, "second text")], "chunk_id long, paragraph string")
+    answers = chunks.where("chunk_id = 1").select(concepts.request_key(F.col("paragraph")).alias("request_key"))
+    assert [r.chunk_id for r in concepts.not_answered(chunks, answers).collect()] == [2]
+    assert concepts.not_answered(chunks, answers, config=DEFAULT.updated(model_version="other")).count() == 2
+    times = spark.sql("SELECT 1 AS book_id, 'processing' AS status, timestamp '2024-01-01 10:00:00' AS last_attempt_at UNION ALL SELECT 2, 'processing', timestamp '2024-01-01 10:50:00'")
+    assert [r.book_id for r in progress.stuck(times, F.lit("2024-01-01 11:00:00").cast("timestamp")).collect()] == [1]
+
+
+def test_json_logs(capsys):
+    from tomeloom.log import get_logger
+
+    get_logger("t", as_json=True).info("begun é", extra={"data": {"book": 3}})
+    row = json.loads(capsys.readouterr().out)
+    assert (row["message"], row["book"], row["level"]) == ("begun é", 3, "INFO")

@@ -126,3 +126,23 @@ def chunk_quality(chunks: DataFrame, leaves: DataFrame, low: int = 100, high: in
     over = F.greatest(F.coalesce(F.lag("para_end").over(by) - F.col("para_start"), F.lit(0)), F.lit(0))
     each = chunks.withColumns({"size": size, "overlap": over}).groupBy("book_id", "toc_idx").agg(F.count("*").alias("n_chunks"), F.count_if(~F.col("size").between(low, high)).alias("n_off_band"), F.sum("size").alias("chunk_chars"), F.sum("overlap").alias("overlap_chars"))
     return each.join(leaves.select("book_id", "toc_idx", F.length("content").alias("section_chars")), ["book_id", "toc_idx"]).withColumn("coverage", F.round(F.col("chunk_chars") / F.col("section_chars"), 6))
+
+
+def sentence_chunks(rows: DataFrame, text: str = "content", low: int = 150, high: int = 1000, sentences: int = 5) -> DataFrame:
+    """Chunks of whole sentences: one ends at `sentences` of them, or before it would pass `high` characters; while it is under `low` it goes on.
+
+    A sentence ends after . ! or ? and white space. Sentences of a chunk are joined by a space; a longer sentence stays whole.
+    """
+    others = [c for c in rows.columns if c != text]
+    marked = F.regexp_replace(strip(F.col(text)), r"([.!?])\s+", "$1\u0000")
+    parts = F.filter(F.split(marked, "\u0000", -1), lambda x: x != "")
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("buf"), F.lit(0).alias("n"))
+
+    def take(acc, x):
+        ends = (acc.n > 0) & (F.length(acc.buf) >= low) & ((acc.n >= sentences) | (F.length(acc.buf) + 1 + F.length(x) > high))
+        out = F.when(ends, F.concat(acc.out, F.array(acc.buf))).otherwise(acc.out)
+        buf = F.when(ends | (acc.n == 0), x).otherwise(F.concat(acc.buf, F.lit(" "), x))
+        return F.struct(out.alias("out"), buf.alias("buf"), F.when(ends, 1).otherwise(acc.n + 1).alias("n"))
+
+    chunks = F.aggregate(parts, start, take, lambda acc: F.when(acc.buf != "", F.concat(acc.out, F.array(acc.buf))).otherwise(acc.out))
+    return rows.select(*others, F.posexplode(chunks).alias("paragraph_index", "chunk"))

@@ -79,3 +79,13 @@ def parse_replies(rows: DataFrame, reply: str = "reply") -> DataFrame:
     """rows with what each reply holds: concept, n_paragraphs and n_pairs; null where it can't be read."""
     split, pairs = F.from_json(reply, SPLIT_JSON)["paragraphs"], F.from_json(reply, CHUNK_JSON)["paragraphs"]
     return rows.withColumns({"concept": F.from_json(reply, IDEA_JSON)["concept"], "n_paragraphs": F.when(split.isNotNull(), F.size(split)), "n_pairs": F.when(pairs.isNotNull(), F.size(F.filter(pairs, lambda p: p.concept.isNotNull())))})
+
+
+def request_key(text: Column, config: EngineConfig = DEFAULT) -> Column:
+    """What a model's answer depends on, as a hash: its version, the prompt and the text."""
+    return F.sha2(F.concat_ws("\u0000", F.lit(config.model_version), F.lit(IDEA_PROMPT), text), 256)
+
+
+def not_answered(chunks: DataFrame, answers: DataFrame, text: str = "paragraph", config: EngineConfig = DEFAULT) -> DataFrame:
+    """chunks whose request_key is not among answers (request_key): what a run that goes on has still to ask."""
+    return chunks.withColumn("request_key", request_key(F.col(text), config)).join(answers.select("request_key").distinct(), "request_key", "left_anti").select(*chunks.columns)

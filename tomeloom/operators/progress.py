@@ -47,3 +47,14 @@ def reset_stuck(state: DataFrame) -> DataFrame:
 def book_processed(state: DataFrame) -> DataFrame:
     each = state.groupBy("book_id").agg(F.count("*").alias("total"), F.count_if(F.col("status") == "completed").alias("completed"))
     return each.select("book_id", ((F.col("total") > 0) & (F.col("total") == F.col("completed"))).alias("processed"))
+
+
+def remaining(rows: DataFrame, state: DataFrame) -> DataFrame:
+    """rows (book_id, chapter_number ...) of chapters that aren't completed: where a stopped run goes on."""
+    done = state.where("status = 'completed'").select("book_id", F.col("unit_id").alias("chapter_number"))
+    return rows.join(done, ["book_id", "chapter_number"], "left_anti")
+
+
+def stuck(state_times: DataFrame, now, minutes: int = 30) -> DataFrame:
+    """Units in processing whose last attempt (last_attempt_at) is more than so many minutes before now."""
+    return state_times.where((F.col("status") == "processing") & (F.col("last_attempt_at") < now - F.expr(f"INTERVAL {minutes} MINUTES")))

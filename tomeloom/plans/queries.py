@@ -243,6 +243,11 @@ def chunks_greedy_merge(spark, d):
     return chunking.chunks_greedy_merge(pages.book_text(src.conversation_pages(spark, d)).withColumnRenamed("full_text", "content"))
 
 
+@query
+def sentence_chunks(spark, d):
+    return chunking.sentence_chunks(documents(spark, d).select("doc_id", F.col("text").alias("content")))
+
+
 @query
 def chunks_build(spark, d):
     return book(spark, d).chunks.select("book_id", "chapter_number", "toc_idx", "hierarchy_path", "section_paragraph_index", "chapter_paragraph_index", "book_paragraph_index", "paragraph", "method")
@@ -452,6 +457,11 @@ def pending_chapters(spark, d):
     return progress.pending(store.chapters_build(book(spark, d).tree), states(spark, d)).drop("id")
 
 
+@query
+def chapters_remaining(spark, d):
+    return progress.remaining(store.chapters_build(book(spark, d).tree), states(spark, d)).drop("id")
+
+
 @query
 def progress_stats(spark, d):
     return progress.progress_stats(states(spark, d))

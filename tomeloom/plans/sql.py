@@ -186,6 +186,14 @@ g AS (
 )
 SELECT book_id, CAST(row_number() OVER w - 1 AS INTEGER) AS paragraph_index, chunk, CAST(sum(length(chunk)) OVER w - length(chunk) AS INTEGER) AS para_start, CAST(sum(length(chunk)) OVER w AS INTEGER) AS para_end
 FROM g WHERE chunk IS NOT NULL WINDOW w AS (PARTITION BY book_id ORDER BY k)""",
+        "sentence_chunks": f"""WITH RECURSIVE s0 AS (SELECT doc_id, list_filter(string_split(regexp_replace({strip("coalesce(text, '')")}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS b FROM documents),
+s AS (
+  SELECT doc_id, b, 0 AS k, '' AS buf, 0 AS n, CAST(NULL AS VARCHAR) AS chunk FROM s0
+  UNION ALL
+  SELECT doc_id, b, k + 1, CASE WHEN k = len(b) THEN '' WHEN ends OR n = 0 THEN b[k + 1] ELSE buf || ' ' || b[k + 1] END, CASE WHEN ends THEN 1 ELSE n + 1 END, CASE WHEN ends OR k = len(b) THEN buf END
+  FROM (SELECT *, k < len(b) AND n > 0 AND length(buf) >= 150 AND (n >= 5 OR length(buf) + 1 + length(b[k + 1]) > 1000) AS ends FROM s WHERE k <= len(b) AND len(b) > 0)
+)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER) AS paragraph_index, chunk FROM s WHERE chunk IS NOT NULL""",
         "chunks_build": chunked(" SELECT book_id, chapter_number, toc_idx, hierarchy_path, section_paragraph_index, chapter_paragraph_index, book_paragraph_index, paragraph, 'rule' AS method FROM chunks"),
         "chunk_quality": chunked(", o AS (SELECT *, greatest(coalesce(lag(para_end) OVER (PARTITION BY book_id, toc_idx ORDER BY section_paragraph_index) - para_start, 0), 0) AS over_ FROM chunks) SELECT o.book_id, o.toc_idx, count(*) AS n_chunks, count(*) FILTER (length(paragraph) NOT BETWEEN 100 AND 1200) AS n_off_band, CAST(sum(length(paragraph)) AS BIGINT) AS chunk_chars, CAST(sum(over_) AS BIGINT) AS overlap_chars, any_value(length(content)) AS section_chars, round(CAST(sum(length(paragraph)) AS DOUBLE) / any_value(length(content)), 6) AS coverage FROM o JOIN leaf USING (book_id, toc_idx) GROUP BY o.book_id, o.toc_idx"),
         "concept_extract": f"WITH {DOCS} SELECT * FROM di",
@@ -224,6 +232,7 @@ SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS memb
         "progress_transition": f"WITH {STATE} SELECT * FROM state",
         "progress_init": base(" SELECT book_id, chapter_number AS unit_id, 'pending' AS status, CAST(0 AS INTEGER) AS attempt_count, 'chapter' AS processing_unit FROM chap WHERE book_id % 2 <> 0"),
         "pending_chapters": base(f", {STATE} SELECT chap.* FROM chap WHERE EXISTS (SELECT 1 FROM state s WHERE s.book_id = chap.book_id AND s.unit_id = chap.chapter_number AND s.status = 'pending')"),
+        "chapters_remaining": base(f", {STATE} SELECT chap.* FROM chap WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.book_id = chap.book_id AND s.unit_id = chap.chapter_number AND s.status = 'completed')"),
         "progress_stats": f"WITH {STATE} SELECT book_id, count(*) AS total, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'processing') AS processing, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed, CAST(count(*) FILTER (status = 'completed') AS DOUBLE) / count(*) * 100 AS completion_rate FROM state GROUP BY book_id",
         "progress_reset_stuck": f"WITH {STATE} SELECT book_id, unit_id, CASE WHEN status = 'processing' THEN 'pending' ELSE status END AS status, status = 'processing' AS was_reset FROM state",
         "book_processed": f"WITH {STATE} SELECT book_id, count(*) = count(*) FILTER (status = 'completed') AS processed FROM state GROUP BY book_id",

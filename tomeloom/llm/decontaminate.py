@@ -29,15 +29,22 @@ def sized(df: DataFrame, n: int) -> DataFrame:
 
 
 def winnowed(texts: DataFrame, *keep: str) -> DataFrame:
-    """keep, words, hashes, pos, fp: for each place where the choice of a window's fingerprint changes, its first window."""
+    """keep, words, pos, fp: for each place where the choice of a window's fingerprint changes, its first window.
+
+    The rolling hashes are an array of the document's row; the choice is made after the array is exploded, in generated
+    code that is short enough to be compiled. (A plain explode would make Spark filter on the array's size at the scan, and
+    build the array for that once more.)
+    """
     each = texts.select(*keep, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    each = each.where(F.size("words") >= WINDOW).select(*keep, "words", "hashes", F.posexplode("hashes").alias("pos", "h"))
-    gram = lambda i: F.xxhash64(*[F.get("hashes", F.col("pos") + i + j) for j in range(GRAM)])
-    each = each.where(F.col("pos") + WINDOW <= F.size("hashes"))
-    each = each.select(*keep, "words", "hashes", "pos", gram(-1).alias("before"), *[gram(i).alias(f"g{i}") for i in range(CHOICES)])
-    now = F.least(*[F.col(f"g{i}") for i in range(CHOICES)])
-    was = F.least("before", *[F.col(f"g{i}") for i in range(CHOICES - 1)])
-    return each.where((F.col("pos") == 0) | (now != was) | (F.col(f"g{CHOICES - 1}") == now)).select(*keep, "words", "pos", now.alias("fp"))
+    gram = lambda i: F.xxhash64(*[F.get("hashes", i + j) for j in range(GRAM)])
+    grams = F.when(F.size("hashes") >= WINDOW, F.transform(F.sequence(F.lit(0), F.size("hashes") - GRAM), gram))
+    each = each.select(*keep, "words", grams.alias("grams"))
+    each = each.select(*keep, "words", "grams", F.posexplode_outer("grams").alias("pos", "g"))
+    after = [F.get("grams", F.col("pos") + i) for i in range(1, CHOICES)]
+    each = each.where(F.col("pos") + CHOICES <= F.size("grams"))
+    each = each.select(*keep, "words", "pos", F.get("grams", F.col("pos") - 1).alias("before"), F.least("g", *after[:-1]).alias("head"), after[-1].alias("entering"))
+    now, was = F.least("head", "entering"), F.least("before", "head")
+    return each.where((F.col("pos") == 0) | (now != was) | (F.col("entering") == now)).select(*keep, "words", "pos", now.alias("fp"))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -65,7 +72,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     if short:
         firsts = [F.struct(F.lit(n).alias("size"), F.when(F.col("pos") + n <= F.size("words"), F.array_join(F.slice("words", F.col("pos") + 1, n), " ")).alias("window")) for n in short]
         begin = windows.where(F.col("size") < WINDOW).select(F.substring_index("window", " ", 1).alias("w0")).distinct()
-        each = texts.select("doc_id", "key", "words", F.posexplode("words").alias("pos", "w0")).join(sized(begin, n_windows), "w0", "left_semi")
+        each = texts.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "w0")).join(sized(begin, n_windows), "w0", "left_semi")
         each = each.select("doc_id", "key", F.col("pos").alias("start"), F.inline(F.array(*firsts))).where("window is not null")
         found = found.union(each.select("doc_id", "key", "start", "size", "window"))
     return found.join(sized(windows, n_windows), ["size", "window"]).select("doc_id", "key", "start", "size", "items").distinct()

@@ -379,7 +379,7 @@ def test_sum_of_squares_takes_the_least_sum():
     seq, offset = packing.sum_of_squares(np.array(lengths), 20)
     gaps, total = {}, lambda g: sum(x * x for x in np.bincount([v for v in g.values() if v], minlength=21))
     for s, where, at in zip(lengths, seq.tolist(), offset.tolist(), strict=True):
-        choices = [total(gaps | {k: v - s}) for k, v in gaps.items() if v >= s] + [total(gaps | {-1: 20 - s})]
+        choices = [total(gaps | {k: v - s}) for k, v in gaps.items() if v >= s] or [total(gaps | {-1: 20 - s})]
         assert at == 20 - gaps.get(where, 20)
         gaps[where] = gaps.get(where, 20) - s
         assert gaps[where] >= 0 and total(gaps) == min(choices)

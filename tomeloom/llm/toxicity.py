@@ -44,7 +44,7 @@ def features(rows):
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], ["doc_id", "y", "ids"])
 
 
-def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.15, beta: float = 1.0, l1: float = 1.5, l2: float = 0.5, epochs: int = 3, seed: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
+def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float = 1.0, l1: float = 6.0, l2: float = 0.5, epochs: int = 3, seed: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over (label, buckets). Returns the non-zero buckets, their weights and the bias."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last one is the bias, which L1 spares

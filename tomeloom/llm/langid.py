@@ -118,7 +118,7 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = 1200, **options) ->
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, lang_pred, score, accepted (and the columns of docs in model["carry"]) for every row."""
+    """doc_id, lang_pred, score and accepted of every row."""
     langs, table, temperature, threshold = (model[k] for k in ("langs", "table", "temperature", "threshold"))
     sent = docs.sparkSession.sparkContext.broadcast(table)  # 2^15 buckets x languages: a fixed size
 

@@ -31,6 +31,7 @@ from .tokens import encoder
 COUNT = [1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 MAGIC, SKIP = 0x53384242, 128
+BROADCAST_BLOCKS = 500_000
 LOW60 = np.uint64((1 << 60) - 1)
 
 
@@ -178,6 +179,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = ids.astype("<u4").tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array(keys.as_py(), pa.int64()), pa.array(ends[:-1] + start.as_py()), pa.array(np.diff(ends)), pa.array([ids[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
+    starts = F.broadcast(starts) if sizes.count() <= BROADCAST_BLOCKS else starts  # a block has some 131,000 ids
     placed = blocks.select("part", "place", "doc_ids", "block").join(starts, ["part", "place"]).select("start", "doc_ids", "block")
     return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
 

@@ -14,6 +14,21 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 
 WORDS = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
+OP4 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, text, {WORDS} AS w FROM documents),
+s0 AS (SELECT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sh AS (SELECT doc_id, s, count(*) AS c FROM s0 GROUP BY ALL),
+n AS (SELECT doc_id, sum(c) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, sum(least(a.c, b.c)) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+e0 AS (
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE CAST(k AS DOUBLE) / CAST(a.n + b.n - k AS DOUBLE) >= 0.8
+  UNION SELECT a.doc_id, b.doc_id FROM d a JOIN d b ON a.text = b.text AND a.doc_id < b.doc_id
+),
+e AS (SELECT x, y FROM e0 UNION SELECT y, x FROM e0),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT x AS doc_id, min(y) AS class_id, count(*) AS class_size, x = min(y) AS kept FROM r GROUP BY x
+"""
+
 OP9 = f"""
 WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
 b AS (SELECT item_id, {WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -102,4 +117,4 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN bl
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10}
+    return {"op1_topk": OP1, "op4_near_dedup": OP4, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10}

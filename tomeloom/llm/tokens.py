@@ -8,11 +8,12 @@ feeds, and a capital that lower case makes two of) are encoded whole. The caches
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
 
-PIECES, WORDS, LONGEST = 350_000, 700_000, 48
+PIECES, WORDS, LONGEST = 400_000, 900_000, 48
 ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u0130\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 RUNS = ("  ", " \n", "\n ", "\n\n\n")
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -39,23 +40,42 @@ class Encoder:
 
     def resolve(self, missing: set[str]) -> dict[str, bytes]:
         """Ids of pieces, each as it stands after a space or with its own line feed."""
-        parts = {}
+        words, folds, found, late, fresh = self.words, self.folds, {}, [], {}
         for x in missing:
             word = x.rstrip(MARKS)
-            tail = x[len(word) :] if word[-1:].isalnum() else ""
-            word = word if tail else x
-            parts[x] = ((word.lstrip("\n").lower() if word.isascii() else word.lstrip("\n")) if self.folds else word if word[:1] == "\n" else " " + word, tail)
-        words = self.words
-        need = list({w for pair in parts.values() for w in pair if w and w not in words})
-        fresh = dict(zip(need, self.raw(need), strict=True)) | {"": b""}
+            tail = x[len(word) :]
+            if tail and not word[-1:].isalnum():
+                word, tail = x, ""
+            if folds:
+                word = word.lstrip("\n").lower() if word.isascii() else word.lstrip("\n")
+            ids, end = words.get(word), words.get("\r" + tail) if tail else b""
+            if ids is None or end is None:
+                late.append((x, word, tail))
+                fresh[word] = None
+                if tail:
+                    fresh["\r" + tail] = None  # a key of its own: marks right after a word, not after a space
+            else:
+                found[x] = ids + end
+        need = [w for w in fresh]
+        after = "" if folds else " "
+        for w, ids in zip(need, self.raw([w[1:] if w[:1] == "\r" else w if w[:1] == "\n" else after + w for w in need]), strict=True):
+            fresh[w] = ids
+        for x, word, tail in late:
+            found[x] = fresh[word] + (fresh["\r" + tail] if tail else b"")
         if len(words) < WORDS:
-            words.update((w, v) for w, v in fresh.items() if len(w) <= LONGEST)
-        found = {x: (fresh[w] if w in fresh else words[w]) + (fresh[t] if t in fresh else words[t]) for x, (w, t) in parts.items()}
+            words.update([(w, v) for w, v in fresh.items() if len(w) <= LONGEST])
         if len(self.pieces) < PIECES:
-            self.pieces.update((x, v) for x, v in found.items() if len(x) <= LONGEST)
+            self.pieces.update([(x, v) for x, v in found.items() if len(x) <= LONGEST])
         return found
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        gc.disable()  # the caches hold a million strings and no cycles: a collection would only walk them
+        try:
+            return self._encode_all(texts)
+        finally:
+            gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
         get, missing, made, whole = self.pieces.get, set(), [], []
         for t in texts:
             if any(x in t for x in RUNS) or t.endswith("\n\n") or ODD.search(t):

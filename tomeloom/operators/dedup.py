@@ -13,23 +13,30 @@ ORDER = ["chapter_number", "toc_idx", "section_paragraph_index", "chunk_id"]
 def mark_duplicates(ideas: DataFrame, within: list[str], order: list[str] | None = None) -> DataFrame:
     """ideas with is_duplicate: a concept that an earlier row of the same `within` has. Empty and null concepts never are.
 
-    The first place of each concept comes from an aggregate with a map-side part, so a concept that a third of all rows
-    has meets no single task; the join back is one that Spark can split where it is skewed.
+    The first place of each concept comes from an aggregate with a map-side part and is written before it is joined back, so
+    that Spark can split that join where a third of all rows have one concept.
     """
     place = F.struct(*(order or ORDER))
     some = ideas.where("concept <> ''")
-    first = some.groupBy(*within, "concept").agg(F.min(place).alias("first_place"))
+    first = stored(some.groupBy(*within, "concept").agg(F.min(place).alias("first_place")), "first-places")
     marked = some.join(first, [*within, "concept"]).withColumn("is_duplicate", place > F.col("first_place")).drop("first_place")
     return marked.unionByName(ideas.where("concept is null or concept = ''").withColumn("is_duplicate", F.lit(False)))
 
 
+def keep_first(ideas: DataFrame, within: list[str], order: list[str] | None = None) -> DataFrame:
+    """The first row of each concept in the same `within`, and all rows without a concept: one aggregate with a map-side part, no join."""
+    place, row = F.struct(*(order or ORDER)), F.struct(*ideas.columns)
+    first = ideas.where("concept <> ''").groupBy(*[F.col(c).alias(f"__{c}") for c in [*within, "concept"]]).agg(F.min_by(row, place).alias("row")).select("row.*")
+    return first.unionByName(ideas.where("concept is null or concept = ''"))
+
+
 def dedup_within_book(ideas: DataFrame, order: list[str] | None = None) -> DataFrame:
-    return mark_duplicates(ideas, ["book_id"], order).where("not is_duplicate").drop("is_duplicate")
+    return keep_first(ideas, ["book_id"], order)
 
 
 def dedup_global(ideas: DataFrame, order: list[str] | None = None) -> DataFrame:
     """As within a book, over all books, in the order of book_id first."""
-    return mark_duplicates(ideas, [], ["book_id", *(order or ORDER)]).where("not is_duplicate").drop("is_duplicate")
+    return keep_first(ideas, [], ["book_id", *(order or ORDER)])
 
 
 def dedup_against_store(ideas: DataFrame, stored: DataFrame, per_book: bool = True) -> DataFrame:

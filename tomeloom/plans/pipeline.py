@@ -47,15 +47,21 @@ class Book:
         made = chunking.chunks_build(self.leaves, self.splitter, self.config)
         return stored(made, "chunks") if self.splitter else made  # a model is asked once
 
+    @cached_property
+    def extracted(self) -> DataFrame:
+        """Chunks with their concept."""
+        made = concepts.concept_extract(self.chunks, self.concept_model, config=self.config)
+        return stored(made, "ideas") if self.concept_model else made
+
     @cached_property
     def ideas(self) -> DataFrame:
         """Chunks with concept and is_duplicate (within the book)."""
-        made = concepts.concept_extract(self.chunks, self.concept_model, config=self.config)
-        return dedup.mark_duplicates(stored(made, "ideas") if self.concept_model else made, ["book_id"])
+        return dedup.mark_duplicates(self.extracted, ["book_id"])
 
     @cached_property
     def kept(self) -> DataFrame:
-        return self.ideas.where("not is_duplicate").drop("is_duplicate")
+        """The first chunk of each concept, and chunks without one."""
+        return dedup.dedup_within_book(self.extracted)
 
     def without_toc(self) -> DataFrame:
         """Books that have no outline, with the error that stops them."""

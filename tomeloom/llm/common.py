@@ -42,7 +42,7 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % n
 
 
-def batches(rows, most_bytes: int = 4 << 20):
+def batches(rows, most_bytes: int = 2 << 20):
     """Slices of the text column `text` of Arrow batches, of about most_bytes of text each, as (batch slice, bytes, offsets).
 
     A longer text comes alone and whole. Null texts are empty.

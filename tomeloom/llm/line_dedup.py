@@ -46,13 +46,14 @@ def repeats(docs: DataFrame) -> DataFrame:
     each = stored(each.where(F.length("chunk") >= MIN_CHARS).select("doc_id", "key", "first", "last", F.xxhash64("chunk").alias("h")), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("first").alias("first"))
     again = each.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("h", "one")
+    again = stored(again, "line-again")  # a join right above an aggregate can't be split where a key is skewed
     marked = stored(each.join(again, "h").withColumn("is_first", place == F.col("one")).select("doc_id", "key", "first", "last", "h", "is_first").distinct(), "line-repeats")
 
     wanted = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last", "h", "is_first")).alias("wanted")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "wanted")
     texts = rows.where("text is not null").select("doc_id", "key", "text").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
     texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), F.inline_outer("wanted"))
     texts = stored(texts.select("doc_id", "key", "first", "last", "h", "is_first", chunk_text(F.col("first"), F.col("last")).cast("binary").alias("bytes")), "line-bytes")
-    firsts = texts.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes"))
+    firsts = stored(texts.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes")), "line-firsts")
     return texts.where("not is_first").join(firsts, "h").where("bytes = first_bytes").select("doc_id", "key", "first", "last").distinct()
 
 

@@ -32,7 +32,8 @@ COUNT = [1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
 MAGIC, SKIP = 0x53384242, 128
 BROADCAST_BLOCKS = 500_000
-LOW60 = np.uint64((1 << 60) - 1)
+LIMITS = np.array([1 << b for b in BITS[1:]], np.uint64)
+NEED = (np.searchsorted(LIMITS, np.arange(1 << 16, dtype=np.uint64), "right") + 1).astype(np.uint8)
 
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,21 +42,16 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(v)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    choice = np.where(v > LOW60, 0, 14).astype(np.uint8)
+    need = NEED[v] if int(v.max()) < len(NEED) else np.searchsorted(LIMITS, v, "right").astype(np.uint8) + 1  # least selector by bits; 15: escape
+    choice = np.where(need == 15, 0, 14).astype(np.uint8)
     for s in range(13, 0, -1):  # wider counts overwrite narrower ones
-        c, b = COUNT[s], BITS[s]
+        c = COUNT[s]
         if n < c:
             continue
-        high = np.flatnonzero(v >= np.uint64(1 << b))
-        edge = np.concatenate([[-1], high, [n]])
-        room = np.diff(edge) - 1
-        if s < 9 and not (room >= c).any():
-            break  # no run is long enough, so none is for fewer bits either
-        big = np.flatnonzero(room >= c)
-        size = room[big] - c + 1
-        if len(big):
-            start = edge[big] + 1
-            choice[np.repeat(start - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())] = s
+        fits, p = need <= s, 1
+        while 2 * p <= c:  # fits[i]: the p values from i on fit
+            fits, p = fits[:-p] & fits[p:], 2 * p
+        np.putmask(choice[: n - c + 1], fits[: n - c + 1] & fits[c - p : n - p + 1], s)
     step = np.array(COUNT, np.int64)[choice].tolist()
     at, i = [], 0
     add = at.append

@@ -13,7 +13,7 @@ import os
 import re
 from array import array
 
-PIECES, WORDS, LONGEST = 400_000, 900_000, 48
+PIECES, WORDS, LONGEST = 300_000, 600_000, 48
 ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u0130\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 RUNS = ("  ", " \n", "\n ", "\n\n\n")
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"

@@ -78,7 +78,8 @@ def judge(pages: DataFrame, rules=None, least: float = 0.01, **options) -> DataF
     """page_id, host, path, rule, verdict, trust, distrust for every row."""
     read = with_rule(pages.select("page_id", "url", "html"), rules)
     seeds = read.where("host <> ''").groupBy("host").agg(*[F.avg(F.coalesce((F.col("fits.verdict") == v).cast("double"), F.lit(0.0))).alias(k) for k, v in (("trust", "allow"), ("distrust", "block"))])
-    ranks = propagate(stored(host_edges(read), "host-edges"), seeds, **options).withColumn("bad", (F.col("distrust") > F.col("trust")) & (F.col("distrust") > least))
+    found = stored(propagate(stored(host_edges(read), "host-edges"), seeds, **options), "host-scores")  # so that the join below can be split at a hot host
+    ranks = found.withColumn("bad", (F.col("distrust") > F.col("trust")) & (F.col("distrust") > least))
     judged = with_rule(pages.select(F.col("page_id"), "url"), rules).join(ranks, "host", "left")
     verdict = F.coalesce("fits.verdict", F.when(F.col("bad"), "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", F.col("fits.rule").alias("rule"), verdict.alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))

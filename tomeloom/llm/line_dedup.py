@@ -7,7 +7,8 @@ that occur in several places are removed but for the first one, by doc_id (nulls
 
 Hashes alone are aggregated over the corpus (map-side first, so a chunk that a third of all rows has is one row for
 each task). Only chunks whose hash occurs again are fetched as text, compared byte by byte with the first
-one of that hash and removed if equal.
+one of that hash and removed if equal. The two joins that carry whole texts are merge joins at every size: what they are
+joined with grows with the corpus.
 
 Defined cases: a null text stays null with 0 lines; an empty text is one empty line; rows that agree in doc_id and
 text are one document, each row with the same result; a text may become empty; other columns stay as they are.
@@ -50,7 +51,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     marked = stored(each.join(again, "h").withColumn("is_first", place == F.col("one")).select("doc_id", "key", "first", "last", "h", "is_first").distinct(), "line-repeats")
 
     wanted = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last", "h", "is_first")).alias("wanted")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "wanted")
-    texts = rows.where("text is not null").select("doc_id", "key", "text").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
+    texts = rows.where("text is not null").select("doc_id", "key", "text").hint("merge").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
     texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), F.inline_outer("wanted"))
     texts = stored(texts.select("doc_id", "key", "first", "last", "h", "is_first", chunk_text(F.col("first"), F.col("last")).cast("binary").alias("bytes")), "line-bytes")
     firsts = stored(texts.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes")), "line-firsts")
@@ -63,7 +64,7 @@ def dedup_lines(docs: DataFrame, stats: bool = False) -> DataFrame:
     own = lambda k: f"__{k}_" + "_".join(sorted(names))  # noqa: E731  clashes with no column
     gone = repeats(docs).groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last")).alias(own("gone"))).withColumnsRenamed({"doc_id": own("d"), "key": own("k")})
     rows = docs.select(*[F.col(f"`{c}`") for c in names], text_key(F.col("text")).alias(own("key")))
-    rows = rows.join(gone, (F.col(own("key")) == F.col(own("k"))) & F.col("doc_id").cast("long").eqNullSafe(F.col(own("d"))), "left")
+    rows = rows.hint("merge").join(gone, (F.col(own("key")) == F.col(own("k"))) & F.col("doc_id").cast("long").eqNullSafe(F.col(own("d"))), "left")
     lines, spans = F.split("text", "\n", -1), F.array_sort(own("gone"))
     rows = rows.withColumn(own("gone"), spans)
     gone = F.col(own("gone"))

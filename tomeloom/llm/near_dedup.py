@@ -190,7 +190,8 @@ def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256) -> D
     units of at most about block x block texts that give back links alone.
     """
     member = banded.select("id", F.explode("bands").alias("bucket"))
-    hubs = member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub")
+    # aggregates are stored before they are joined back: a join right above one can't be split where a key is skewed
+    hubs = stored(member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub"), "dart-hubs")
     crowded = stored(member.join(hubs, "bucket"), "dart-crowded")
     wanted = stored(wanted_of(crowded.select("id").distinct()), "dart-wanted")
     tried = verified(crowded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), wanted)
@@ -199,7 +200,8 @@ def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256) -> D
     seen = crowded.where("id <> hub").join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
     each = seen.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
     groups = each.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("big")).where("k > 1")
-    left = stored(seen.join(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "bucket"), "dart-mixed")
+    groups = stored(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "dart-groups")
+    left = stored(seen.join(groups, "bucket"), "dart-mixed")
     if left.isEmpty():
         return comp
     full = left.join(wanted, "id").join(banded, "id")

@@ -463,6 +463,49 @@ def test_line_dedup_matches_brute_force(spark):
     assert out[0] == out[1] == ("1", shared[0]) and len(out[2][1]) < len(shared[0]) and len(out[3][1]) < len(shared[0])
 
 
+def plain_runs(rows):
+    """Lines to remove of each document, by comparing all pairs of places."""
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    lines = [t.split("\n") for _, t in order]
+    places, out = {}, {}
+    for d, x in enumerate(lines):
+        for i, line in enumerate(x):
+            places.setdefault(line, []).append((d, i))
+    for d, x in enumerate(lines):
+        gone = set()
+        for i in range(len(x)):
+            for e, j in places[x[i]]:
+                if (e, j) >= (d, i):
+                    break
+                n, most = 0, i - j if e == d else len(x)
+                while n < most and i + n < len(x) and j + n < len(lines[e]) and x[i + n] == lines[e][j + n]:
+                    n += 1
+                run = "\n".join(x[i : i + n])
+                if n > 1 and len(run) >= 40 or len(x[i].split()) > 50:
+                    gone |= set(range(i, i + (n if n > 1 and len(run) >= 40 else 1)))
+        out[order[d][0]] = gone if len(x) > 1 else set()
+    return out
+
+
+def test_line_runs_match_brute_force(spark):
+    rng = random.Random(31)
+    passages = ["\n".join(prose(rng, 60 // k if k > 1 else 60) for _ in range(k)) for k in range(1, 7)]
+    around = lambda p: "\n".join([prose(rng, 6) for _ in range(rng.randint(1, 4))] + [p] + [prose(rng, 6) for _ in range(rng.randint(1, 4))])
+    rows = [(i, around(passages[i % 6])) for i in range(48)]
+    short = ["a", "b b", "", "c c c", "a line of thirty characters ab"]
+    rows += [(100 + i, "\n".join(rng.choice(short) for _ in range(rng.randint(1, 30)))) for i in range(40)]
+    rows += [(200, ""), (201, "\n\n\n"), (202, rows[5][1]), (203, rows[7][1] + "\n" + rows[7][1]), (204, passages[0]), (205, "\n" * 90), (None, rows[9][1]), (206, "\n".join(["the same line of some length again"] * 7))]
+    want = plain_runs(rows)
+    got = {r.doc_id: r for r in line_dedup.dedup_runs(docs_of(spark, rows + [(300, None)]), stats=True).collect()}
+    for d, t in rows:
+        x = t.split("\n")
+        assert (got[d].text, got[d].n_lines, got[d].n_removed) == ("\n".join(y for i, y in enumerate(x) if i not in want[d]), len(x), len(want[d])), d
+    assert all(len(want[i]) == i % 6 + 1 and passages[i % 6] not in got[i].text for i in range(6, 48))
+    assert got[300].text is None and got[300].n_lines == 0
+    assert want[202] == set(range(len(rows[5][1].split("\n")))) and got[202].text == got[None].text == "" and got[204].text == passages[0]
+    assert line_dedup.dedup_runs(docs_of(spark, [])).count() == 0
+
+
 def test_crc_is_unsigned(spark):
     row = spark.range(1).select(F.crc32(F.lit("a").cast("binary")).alias("c")).first()
     assert row.c == zlib.crc32(b"a")

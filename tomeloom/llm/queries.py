@@ -54,11 +54,20 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "spans")
 
 
-def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), stats=True)
+def line_results(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_chunks", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole chunks only, as its SQL does."""
+    return line_results(line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), stats=True))
+
+
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All repeated runs of lines."""
+    return line_results(line_dedup.dedup_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), stats=True))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,5 +75,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_topk, op2_langid, op3_tokens, op4_near_dedup, op5_toxicity, op6_url_filter, op7_license_scan, op8_packing, op9_decontaminate, op10_line_dedup, pipeline)
+    found = (op1_topk, op2_langid, op3_tokens, op4_near_dedup, op5_toxicity, op6_url_filter, op7_license_scan, op8_packing, op9_decontaminate, op10_line_dedup, op10_line_runs, pipeline)
     return {f.__name__: f for f in found}

@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated multi-line chunks go from text; n_chars follows."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Repeated runs of lines go from text; n_chars follows."""
+    return line_dedup.dedup_runs(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,16 @@ def test_pipeline_catches_planted_cases_and_keeps_the_rest(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept["decontamination"]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def test_copies_of_several_lines_leave_no_scraps(spark, tmp_path):
+    rng = random.Random(22)
+    firsts = [[prose(rng, 12) for _ in range(5)] for _ in range(24)]
+    changed = [prose(rng, 12) for _ in firsts]
+    texts = ["\n".join(x) for x in firsts * 2] + ["\n".join(x[:2] + [y] + x[3:]) for x, y in zip(firsts, changed)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    lines = stages["line_dedup"](spark, docs, str(tmp_path))
+    lines.write.parquet(f"{tmp_path}/lines")
+    left = {r.doc_id: r.text for r in stages["near_dedup"](spark, spark.read.parquet(f"{tmp_path}/lines"), str(tmp_path)).collect()}
+    assert left == dict(enumerate(texts[:24])) | {24: ""} | {48 + i: y for i, y in enumerate(changed)}

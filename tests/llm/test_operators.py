@@ -341,6 +341,13 @@ def test_license_scan(spark):
     assert license_scan.scan(docs_of(spark, [])).count() == 0
 
 
+def test_license_scan_of_null_ids(spark):
+    text = "Released under the MIT License. Licensed under CC BY-NC 4.0."
+    got = license_scan.scan(docs_of(spark, [(None, text), (1, text), (None, "all rights reserved")])).collect()
+    found = sorted((str(r.doc_id), r.n_base, r.base_labels, r.labels) for r in got)
+    assert found == [("1", 2, "cc-by,mit", "cc-by,cc-by-nc-4.0,mit"), ("None", 0, "", "all-rights-reserved"), ("None", 2, "cc-by,mit", "cc-by,cc-by-nc-4.0,mit")]
+
+
 # --- 8
 
 

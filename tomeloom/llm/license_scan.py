@@ -74,7 +74,9 @@ def scan(docs: DataFrame, phrases=None, templates=None, cover: float = 0.75, str
     spans = spans.withColumn("cover", F.round(covered / F.col("size"), 6)).withColumn("good", (F.col("cover") >= cover) & (F.col("last") - F.col("first") + 1 <= F.col("size") * stretch))
     method = spans.groupBy(*key).agg(F.max("cover").alias("best"), F.collect_set(F.when(F.col("good"), F.col("label"))).alias("more"), F.collect_list(F.when(F.col("good"), F.struct("label", "first", "last", "cover"))).alias("spans"))
 
-    result = base.join(method, key, "full").select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "n_base", "first_word", "last_word", "base", "more", "best", "spans")
+    other = method.withColumnsRenamed({"doc_id": "other_id", "key": "other_key"})
+    result = base.join(other, (F.col("key") == F.col("other_key")) & F.col("doc_id").eqNullSafe(F.col("other_id")), "full")
+    result = result.select(F.coalesce("doc_id", "other_id").alias("d"), F.coalesce("key", "other_key").alias("k"), "n_base", "first_word", "last_word", "base", "more", "best", "spans")
     out = rows.select("doc_id", text_key(F.col("text")).alias("key"), n_words(F.col("text")).alias("n_words"))
     out = out.join(result, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left")
     none = F.array().cast("array<string>")

@@ -46,3 +46,10 @@ def test_entry(spark):
 def test_rows_only_queries(spark):
     assert entry.queries()["paragraphs_split_model"](spark, DATA).count() > 0
     assert entry.queries()["result_tree_json"](spark, DATA).count() > 0
+
+
+def test_table_run_filter_sees_whole_lines(spark, tmp_path):
+    texts = ["a line of prose first\n" * 3 + "\n".join(f"name of the row {i}  first  second" for i in range(3)) + "\nthe last line of prose"]
+    spark.createDataFrame([(1, "s", t) for t in texts], "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r.line for r in entry.queries()["table_run_filter_whole"](spark, str(tmp_path)).orderBy("line_no").collect()]
+    assert got == ["the last line of prose"]

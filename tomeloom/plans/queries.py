@@ -505,8 +505,16 @@ def section_forward_fill(spark, d):
     return reports.section_forward_fill(rows, "title", "book_id", "page_num")
 
 
+@query
+def table_run_filter_whole(spark, d):
+    lines = documents(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    shaped = lines.withColumn("line", F.when(F.col("line_no") % 7 < 3, F.concat(F.lit("| "), "line", F.lit(" |"))).otherwise(F.col("line")))
+    return reports.table_run_filter(shaped, "doc_id", "line_no")
+
+
 @query
 def table_run_filter(spark, d):
+    """The first characters of each line, as its SQL has them; table_run_filter_whole has whole lines."""
     lines = documents(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     shaped = lines.withColumn("line", F.when(F.col("line_no") % 7 < 3, F.concat(F.lit("| "), F.left("line", F.lit(10)), F.lit(" |"))).otherwise(F.left("line", F.lit(10))))
     return reports.table_run_filter(shaped, "doc_id", "line_no")

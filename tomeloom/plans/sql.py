@@ -245,6 +245,12 @@ s AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CASE WHEN line_no % 7
 r AS (SELECT *, regexp_matches(line, '(\\|.*\\||\\t.*\\t|\\S {2,}\\S+ {2,}\\S)') AS tl FROM s),
 q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - row_number() OVER (PARTITION BY doc_id, tl ORDER BY line_no) AS run FROM r),
 z AS (SELECT *, count(*) OVER (PARTITION BY doc_id, tl, run) AS n FROM q)
+SELECT doc_id, line_no, line FROM z WHERE NOT tl OR n < 3""",
+        "table_run_filter_whole": """WITH l AS (SELECT doc_id, unnest(range(0, len(x))) AS line_no, x FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+s AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CASE WHEN line_no % 7 < 3 THEN '| ' || x[line_no + 1] || ' |' ELSE x[line_no + 1] END AS line FROM l),
+r AS (SELECT *, regexp_matches(line, '(\\|.*\\||\\t.*\\t|\\S {2,}\\S+ {2,}\\S)') AS tl FROM s),
+q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - row_number() OVER (PARTITION BY doc_id, tl ORDER BY line_no) AS run FROM r),
+z AS (SELECT *, count(*) OVER (PARTITION BY doc_id, tl, run) AS n FROM q)
 SELECT doc_id, line_no, line FROM z WHERE NOT tl OR n < 3""",
         "heading_chapters": "SELECT * FROM (SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'Chapter ' WHEN 1 THEN 'part ' ELSE 'Chapters ' END || p_size AS line FROM part) WHERE line LIKE 'Chapter %' OR line LIKE 'part %'",
     }

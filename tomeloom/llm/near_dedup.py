@@ -9,10 +9,12 @@ k ln k + 2k darts of a document are looked at: those below a rank that falls wit
 coordinate stays empty, that rank is doubled.
 
 Bands of ROWS coordinates are joined. A bucket never emits all pairs: each member is compared with the bucket's
-first text, links are verified exactly (weighted Jaccard >= threshold) and merged to components. In buckets that
-still hold several, the members outside the largest component are compared with those of all others, as blocks of
-texts by matrix products, and only links leave a block. So every pair of a bucket is either verified or inside one
-component, and no link between different texts is lost to that.
+first text, links are verified exactly (weighted Jaccard >= threshold) and merged to components. In large buckets that
+still hold several, the members outside the largest component are compared with the first of them, some rounds long; what
+is left then is compared with the members of all other components, as blocks of texts by matrix products, and only a
+spanning forest of the links leaves a block. So every pair of a bucket is either verified or inside one
+component, and no link between different texts is lost to that. Components are merged by contraction: a later
+round sees components, not texts.
 With 24 bands of 5, two texts of similarity 0.8 share no bucket with a probability of 7e-5, less when nearer.
 
 Defined cases: copies are collapsed before (two 64-bit hashes of the text); texts of 1 to 4 words have one
@@ -161,8 +163,29 @@ def shared(x, y) -> np.ndarray:
     return out
 
 
+def forest(near: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that join the labels x of rows and y of columns as the cells of near do: fewer than there are labels."""
+    labels, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+    rows, cols = at[: len(x)], at[len(x) :]
+    i, j = np.nonzero(near)
+    a, b = np.divmod(np.unique(rows[i] * len(labels) + cols[j]), len(labels))
+    root, out = list(range(len(labels))), []
+
+    def find(u):
+        while root[u] != u:
+            root[u] = u = root[root[u]]
+        return u
+
+    for u, v in zip(a.tolist(), b.tolist(), strict=True):
+        r, t = find(u), find(v)
+        if r != t:
+            root[max(r, t)] = min(r, t)
+            out.append((int(labels[u]), int(labels[v])))
+    return out
+
+
 def crossed(asks: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """(a, b) of links between asked texts and members of other components, in the first bucket that both are in."""
+    """(a, b): a spanning forest over components, of links between asked texts and members of other components in the first bucket that both are in."""
     none = pd.DataFrame({"a": [], "b": []}, dtype="int64")
     if asks.empty or members.empty:
         return none
@@ -177,31 +200,52 @@ def crossed(asks: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.D
     one, two = elements(asks["text"].iloc[rows].tolist()), elements(members["text"].iloc[cols].tolist())
     both = shared(one, two)
     near = (both >= threshold * (one[2][:, None] + two[2] - both) - 1e-6) & open_[np.ix_(rows, cols)]
-    i, j = np.nonzero(near)
-    a, b = asks["id"].to_numpy()[rows[i]], members["id"].to_numpy()[cols[j]]
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    return pd.DataFrame(forest(near, asks["comp"].to_numpy()[rows], members["comp"].to_numpy()[cols]), columns=["a", "b"], dtype="int64")
+
+
+def merged(comp: DataFrame, pairs: DataFrame) -> DataFrame:
+    """comp (id, comp) after components have been joined by pairs (a, b) of them, or of ids that have none yet."""
+    up = components(pairs).withColumnsRenamed({"id": "old", "comp": "new"})
+    moved = comp.join(up, comp["comp"] == F.col("old"), "left").select("id", F.coalesce("new", "comp").alias("comp"))
+    fresh = up.join(comp, F.col("old") == comp["id"], "left_anti").select(F.col("old").alias("id"), F.col("new").alias("comp"))
+    return stored(moved.union(fresh), "dart-components", comp.count() + up.count())
 
 
-def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256) -> DataFrame:
+def mixed_buckets(crowded: DataFrame, comp: DataFrame) -> DataFrame:
+    """bucket, id, comp, big, n, m: members of buckets that hold several components; big: the largest; m: how many of the n members it lacks. The first texts are left out: all have met them."""
+    rows = crowded.count()
+    seen = stored(crowded.where("id <> hub").select("bucket", "id").join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp")), "dart-seen", rows)
+    each = seen.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
+    groups = each.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("big")).where("k > 1")
+    groups = stored(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "dart-groups", rows // 2)
+    return stored(seen.join(groups, "bucket"), "dart-mixed", rows)
+
+
+def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256, rounds: int = 4) -> DataFrame:
     """(id, comp): components under verified links among texts (id, bands) that share a bucket, a value in bands.
 
-    wanted_of gives (id, text) for a table of ids. First each member is compared with its bucket's first text. In
-    buckets that then hold several components, members outside the largest one meet all members of other components, in
-    units of at most about block x block texts that give back links alone.
+    wanted_of gives (id, text) for a table of ids. First each member is compared with its bucket's first text. As long as buckets
+    hold several components and comparing the rest in blocks would cost more than it has texts (at most `rounds` times), the members
+    outside the largest component are compared with the first of them. Those then left meet all members of other components, in
+    units of at most about block x block texts that give back a spanning forest of their links alone.
     """
+    most = BANDS * banded.count()
     member = banded.select("id", F.explode("bands").alias("bucket"))
     # aggregates are stored before they are joined back: a join right above one can't be split where a key is skewed
-    hubs = stored(member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub"), "dart-hubs")
-    crowded = stored(member.join(hubs, "bucket"), "dart-crowded")
+    hubs = stored(member.groupBy("bucket").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("bucket", "hub"), "dart-hubs", most // 2)
+    crowded = stored(member.join(hubs, "bucket"), "dart-crowded", most)
     wanted = stored(wanted_of(crowded.select("id").distinct()), "dart-wanted")
     tried = verified(crowded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), wanted)
-    stars = tried.where(F.col("sim") >= threshold).select("a", "b")
-    comp = stored(components(stars), "dart-components")
-    seen = crowded.where("id <> hub").join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
-    each = seen.groupBy("bucket", "comp").agg(F.count("*").alias("c"))
-    groups = each.groupBy("bucket").agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.count("*").alias("k"), F.max_by("comp", F.struct("c", "comp")).alias("big")).where("k > 1")
-    groups = stored(groups.select("bucket", "big", "n", (F.col("n") - F.col("most")).alias("m")), "dart-groups")
-    left = stored(seen.join(groups, "bucket"), "dart-mixed")
+    comp = components(tried.where(F.col("sim") >= threshold).select("a", "b"))
+    left = mixed_buckets(crowded, comp)
+    while rounds and (cost := left.groupBy("bucket").agg(F.max(F.col("n") * F.col("m")).alias("c"), F.max("m").alias("m")).agg(F.sum("c").alias("c"), F.sum("m").alias("m")).first()).c and cost.c > 4 * block * cost.m:
+        rest = left.where("comp <> big")
+        firsts = stored(rest.groupBy("bucket").agg(F.min(F.struct("id", "comp")).alias("hub")), "dart-hubs", left.count())
+        asked = rest.join(firsts, "bucket").where("comp <> hub.comp").select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.comp").alias("comp_a"), F.col("comp").alias("comp_b")).distinct()
+        asked = stored(asked, "dart-asked", left.count())
+        near = verified(asked.select("a", "b"), wanted).where(F.col("sim") >= threshold)
+        comp = merged(comp, asked.join(near, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        left, rounds = mixed_buckets(crowded, comp), rounds - 1
     if left.isEmpty():
         return comp
     full = left.join(wanted, "id").join(banded, "id")
@@ -212,8 +256,8 @@ def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256) -> D
     asks = full.where("comp <> big").select(*own(), mine("m", 1).alias("p"), every("n").alias("q"))
     others = full.select(*own(), mine("n", 2).alias("q"), every("m").alias("p"))
     met = asks.groupBy("bucket", "p", "q").cogroup(others.groupBy("bucket", "p", "q")).applyInPandas(lambda x, y: crossed(x, y, threshold), "a long, b long")
-    found = stored(met.distinct(), "dart-crossed")
-    return comp if found.isEmpty() else stored(components(stars.union(found)), "dart-components")
+    found = stored(met, "dart-crossed")
+    return comp if found.isEmpty() else merged(comp, found)
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -230,9 +274,11 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         return found.groupBy("dk", "h1", "h2", "id").agg(F.first("text").alias("text")).select("id", "text")
 
     comp = links(texts.where("bands is not null").select("id", "bands"), wanted, threshold)
-    owned = texts.select("h1", "h2", "at", "n", "id").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    each = owned.groupBy("comp").agg(F.min("at").alias("best"), F.sum("n").alias("class_size"))
-    info = owned.join(each, "comp").select("h1", "h2", "best", "class_size")
+    linked = stored(texts.select("h1", "h2", "at", "n", "id").join(comp, "id").drop("id"), "dart-linked", comp.count())
+    each = stored(linked.groupBy("comp").agg(F.min("at").alias("best"), F.sum("n").alias("class_size")), "dart-classes", comp.count())
+    best = linked.join(each, "comp").select("h1", "h2", "best", "class_size")
+    alone = texts.select("h1", "h2", F.col("at").alias("own"), "n").join(best, ["h1", "h2"], "left")
+    info = alone.select("h1", "h2", F.coalesce("best", "own").alias("best"), F.coalesce("class_size", "n").alias("class_size"))
     found = marks.select("doc_id", "h1", "h2", "row").join(info, ["h1", "h2"])
     found = found.select("doc_id", "h1", "h2", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("best.row")).alias("kept"))
     alone = rows.where("text is null").select("doc_id", "h1", "h2", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))

@@ -12,6 +12,7 @@ class EngineConfig:
     min_paragraph: int = 50  # rule split
     merge_min: int = 100  # greedy merge: a shorter rest is dropped
     merge_max: int = 1500  # greedy merge: a buffer of so many characters is a chunk
+    big_chunk: int = 2500  # text for a call that cuts and names at once
     min_concept_text: int = 50  # shorter chunks have no concept
     near_threshold: float = 0.9  # cosine of grouped ideas
     offset_mode: str = "aligned"  # or "reference": offsets of raw pages on normalized text

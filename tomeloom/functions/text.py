@@ -6,14 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = r"[\s\x1C-\x1F]"
+#: All white space of Unicode, and the four separators U+001C to U+001F.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: The mark of a cut text, the share kept from its front, and titles that open a book's front matter.
 MARK = "\n\n[... truncated ...]\n\n"
-#: Titles that open a book's front matter.
+FRONT_TENTHS = 8
 FRONT_MATTER = ["cover", "copyright", "table of contents", "preface", "acknowledgments", "foreword", "introduction", "about the author", "about the", "dedication", "contents"]
 
 
 def strip(c: Column) -> Column:
     """Without white space (all of Unicode's) at both ends."""
-    return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:
@@ -32,7 +35,7 @@ def cut(c: Column, start: Column, end: Column) -> Column:
 
 
 def truncate(c: Column, most: int = 10_000) -> Column:
-    front = most * 8 // 10
+    front = most * FRONT_TENTHS // 10
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, front), F.lit(MARK), F.right(c, F.lit(most - front)))).otherwise(c)
 
 

@@ -8,28 +8,52 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
-from ..functions.text import marker_position, strip, truncate
+from ..functions.text import SPACES, marker_position, strip, truncate
 from ..schemas import SPLIT_JSON
 
 PIECE = "array<struct<text:string,start_char:int,end_char:int>>"
 
 
 def rule_pieces(text: Column, config: EngineConfig = DEFAULT) -> Column:
-    """Blocks between blank lines, stripped, those of min_paragraph characters or more with their place; none kept: the whole text."""
-    blocks = F.split(text, "\n\n+", -1)
-    stripped = F.transform(blocks, strip)
-    kept = F.filter(stripped, lambda x: F.length(x) >= config.min_paragraph)
-    # a kept block is found at or after the end of the one before
-    start = F.struct(F.array().cast(PIECE).alias("out"), F.lit(0).alias("at"))
+    """Blocks between blank lines, stripped, those of min_paragraph characters or more with their place; none kept: the whole text. Null for a null text.
 
-    def take(acc, x):
-        at = F.call_function("locate", x, text, acc.at + 1) - 1
-        end = at + F.length(x)
-        piece = F.struct(x.alias("text"), at.cast("int").alias("start_char"), end.cast("int").alias("end_char"))
-        return F.struct(F.concat(acc.out, F.array(piece)).cast(PIECE).alias("out"), end.cast("int").alias("at"))
-
-    found = F.aggregate(kept, start, take, lambda acc: acc.out)
-    return F.when(F.size(kept) > 0, found).otherwise(whole_piece(text))
+    One pass over each text in Arrow batches: offsets grow from block to block, and a fold over arrays would copy what it has at each block.
+    """
+    least = config.min_paragraph
+
+    @F.arrow_udf(PIECE)
+    def pieces(texts):
+        import re
+
+        found = []
+        for t in texts.to_pylist():
+            if t is None:
+                found.append(None)
+                continue
+            at, kept = 0, []
+            for block in re.split("\n\n+", t):
+                x = block.strip(SPACES)
+                if len(x) >= least:  # it is found at or after the end of the one before
+                    start = t.index(x, at)
+                    at = start + len(x)
+                    kept.append((x, start, at))
+            found.append(kept or [(t, 0, len(t))])
+        return piece_lists(found)
+
+    return pieces(text)
+
+
+def piece_lists(found: list):
+    """Lists of (text, start, end) as an Arrow array."""
+    import pyarrow as pa
+
+    kind = pa.struct([("text", pa.string()), ("start_char", pa.int32()), ("end_char", pa.int32())])
+    flat = [x for row in found if row for x in row]
+    parts = pa.StructArray.from_arrays([pa.array([x[i] for x in flat], f.type) for i, f in enumerate(kind)], fields=list(kind))
+    ends = [0]
+    for row in found:
+        ends.append(ends[-1] + len(row or ()))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts, mask=pa.array([row is None for row in found], pa.bool_()))
 
 
 def whole_piece(text: Column) -> Column:
@@ -75,33 +99,43 @@ def split_paragraphs(rows: DataFrame, splitter: Callable[[str], str] | None = No
 
     method = F.when(short, "whole").when(F.size("said") > 0, "llm").otherwise("rule")
     rows = rows.withColumn("method", method)
-    pieces = F.when(F.col("method") == "whole", whole_piece(body)).when(F.col("method") == "llm", F.transform("said", placed).cast(PIECE)).otherwise(rule_pieces(body, config))
+    pieces = F.when(F.col("method") == "whole", whole_piece(body)).when(F.col("method") == "llm", F.transform("said", placed).cast(PIECE)).otherwise(rule_pieces(F.when(F.col("method") == "rule", body), config))
     found = rows.select(*others, text, "method", F.posexplode(pieces).alias("paragraph_index", "piece"))
     exact = F.col("piece.text") == F.expr(f"substring(`{text}`, piece.start_char + 1, length(piece.text))")
     return found.select(*others, "method", "paragraph_index", F.col("piece.text").alias("paragraph"), F.col("piece.start_char").alias("para_start"), F.col("piece.end_char").alias("para_end"), exact.alias("position_exact"))
 
 
 def greedy_pieces(text: Column, config: EngineConfig = DEFAULT) -> Column:
-    """Blocks merged until a buffer has merge_max characters; a rest of under merge_min is dropped. Offsets add up emitted lengths."""
-    blocks = F.filter(F.transform(F.split(text, "\n\n", -1), strip), lambda x: x != "")
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("buf"))
-
-    def take(acc, x):
-        buf = F.when(acc.buf == "", x).otherwise(F.concat(acc.buf, F.lit("\n\n"), x))
-        full = F.length(buf) >= config.merge_max
-        return F.struct(F.when(full, F.concat(acc.out, F.array(buf))).otherwise(acc.out).alias("out"), F.when(full, "").otherwise(buf).alias("buf"))
-
-    return F.aggregate(blocks, start, take, lambda acc: F.when(F.length(acc.buf) >= config.merge_min, F.concat(acc.out, F.array(acc.buf))).otherwise(acc.out))
+    """Blocks merged until a buffer has merge_max characters; a rest of under merge_min is dropped. Offsets add up emitted lengths. Null for a null text."""
+    low, high = config.merge_min, config.merge_max
+
+    @F.arrow_udf(PIECE)
+    def pieces(texts):
+        found = []
+        for t in texts.to_pylist():
+            if t is None:
+                found.append(None)
+                continue
+            out, buf, size, at = [], [], 0, 0
+            for block in [*t.split("\n\n"), None]:
+                x = "" if block is None else block.strip(SPACES)
+                if x:
+                    size += len(x) + (2 if buf else 0)
+                    buf.append(x)
+                if buf and (size >= high or block is None and size >= low):
+                    out.append(("\n\n".join(buf), at, at + size))
+                    buf, size, at = [], 0, at + size
+            found.append(out)
+        return piece_lists(found)
+
+    return pieces(text)
 
 
 def chunks_greedy_merge(rows: DataFrame, text: str = "content", config: EngineConfig = DEFAULT) -> DataFrame:
+    """rows without text, with paragraph_index, chunk, para_start and para_end."""
     others = [c for c in rows.columns if c != text]
-    made = rows.select(*others, greedy_pieces(F.col(text), config).alias("chunks"))
-    size = F.transform("chunks", lambda x: F.length(x))
-    made = made.withColumn("ends", F.transform("chunks", lambda x, i: F.aggregate(F.slice(size, 1, i + 1), F.lit(0), lambda a, n: a + n)))
-    found = made.select(*others, "ends", F.posexplode("chunks").alias("paragraph_index", "chunk"))
-    end = F.get("ends", F.col("paragraph_index"))
-    return found.select(*others, "paragraph_index", "chunk", (end - F.length("chunk")).alias("para_start"), end.alias("para_end"))
+    found = rows.select(*others, F.posexplode(greedy_pieces(F.col(text), config)).alias("paragraph_index", "piece"))
+    return found.select(*others, "paragraph_index", F.col("piece.text").alias("chunk"), F.col("piece.start_char").alias("para_start"), F.col("piece.end_char").alias("para_end"))
 
 
 def eligible_sections(leaves: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
@@ -134,15 +168,25 @@ def sentence_chunks(rows: DataFrame, text: str = "content", low: int = 150, high
     A sentence ends after . ! or ? and white space. Sentences of a chunk are joined by a space; a longer sentence stays whole.
     """
     others = [c for c in rows.columns if c != text]
-    marked = F.regexp_replace(strip(F.col(text)), r"([.!?])\s+", "$1\u0000")
-    parts = F.filter(F.split(marked, "\u0000", -1), lambda x: x != "")
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("buf"), F.lit(0).alias("n"))
-
-    def take(acc, x):
-        ends = (acc.n > 0) & (F.length(acc.buf) >= low) & ((acc.n >= sentences) | (F.length(acc.buf) + 1 + F.length(x) > high))
-        out = F.when(ends, F.concat(acc.out, F.array(acc.buf))).otherwise(acc.out)
-        buf = F.when(ends | (acc.n == 0), x).otherwise(F.concat(acc.buf, F.lit(" "), x))
-        return F.struct(out.alias("out"), buf.alias("buf"), F.when(ends, 1).otherwise(acc.n + 1).alias("n"))
-
-    chunks = F.aggregate(parts, start, take, lambda acc: F.when(acc.buf != "", F.concat(acc.out, F.array(acc.buf))).otherwise(acc.out))
-    return rows.select(*others, F.posexplode(chunks).alias("paragraph_index", "chunk"))
+
+    @F.arrow_udf("array<string>")
+    def chunks(texts):
+        import re
+
+        import pyarrow as pa
+
+        ends, found = re.compile(r"(?<=[.!?])[ \t\n\x0b\f\r]+"), []
+        for t in texts.to_pylist():
+            out, buf, size = [], [], 0
+            for x in ends.split((t or "").strip(SPACES)):
+                if not x:
+                    continue
+                if buf and size >= low and (len(buf) >= sentences or size + 1 + len(x) > high):
+                    out.append(" ".join(buf))
+                    buf, size = [], 0
+                size += len(x) + (1 if buf else 0)
+                buf.append(x)
+            found.append(out + [" ".join(buf)] if buf else out)
+        return pa.array(found, pa.list_(pa.string()))
+
+    return rows.select(*others, F.posexplode(chunks(F.col(text))).alias("paragraph_index", "chunk"))

@@ -6,15 +6,55 @@ import time
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import strip
 from ..schemas import CHUNK_JSON, IDEA_JSON, SPLIT_JSON
+from .chunking import chunks_greedy_merge
 
-#: What an own prompt asks of a model.
-IDEA_PROMPT = 'Name the one term that most of this paragraph is about, in English and in its short form. Answer with JSON: {"concept": "..."}; use "" if there is none, as in menus, examples or references.'
+#: Own prompts. What a model is asked for one paragraph:
+IDEA_PROMPT = """You read one paragraph of a technical book and name the one term that it is about.
+- One term only: the one to which most of the paragraph (60 to 90 percent of it) goes. A term that is only mentioned does not count.
+- The usual English term, even if the paragraph is in another language, and its short form where that is the common one (an acronym rather than its expansion).
+- Nothing that the text does not say. No sentence, no explanation.
+- Leave aside what only leads from one topic to the next, tables of contents, running examples, citations and references.
+- If no term is left, the answer is the empty string.
+Answer with JSON: {"concept": "..."}"""
+#: for a section that is to be cut into paragraphs:
+SPLIT_PROMPT = """You cut a section of a technical book into paragraphs of one idea each.
+- Begin a new one where the topic, the definition or the argument changes, and where a long example sets in. Keep an idea and its explanation together.
+- A paragraph has 200 to 800 characters as a rule, never under 100 and hardly ever over 1200.
+- Copy the text exactly, white space included. Leave nothing out and repeat nothing: the paragraphs in a row are the section.
+- start_marker is the first 30 to 50 characters of the paragraph, exactly as they stand.
+Answer with JSON: {"paragraphs": [{"text": "...", "start_marker": "..."}]}"""
+#: and for a large piece of text, both in one call:
+SPLIT_AND_NAME_PROMPT = SPLIT_PROMPT.rsplit("\n", 1)[0] + """
+- For each paragraph, concept is the one English term that most of it is about, "" if there is none.
+- section_title is the heading under which the paragraph stands, null if the text shows none.
+Answer with JSON: {"paragraphs": [{"text": "...", "concept": "...", "section_title": "..."}]}"""
+
+
+class ChatModel(Protocol):
+    """Made once in each worker by a factory; gets a prompt and a text and returns JSON."""
+
+    def __call__(self, prompt: str, text: str) -> str: ...
+
+
+class Prompted:
+    """A chat model with its prompt, as a function of the text. The client is made where it is first called, so this can be sent to workers."""
+
+    def __init__(self, factory: Callable[[], ChatModel], prompt: str):
+        self.factory, self.prompt, self.chat = factory, prompt, None
+
+    def __getstate__(self):
+        return {"factory": self.factory, "prompt": self.prompt, "chat": None}
+
+    def __call__(self, text: str) -> str:
+        if self.chat is None:
+            self.chat = self.factory()
+        return self.chat(self.prompt, text)
 
 
 class ConceptModel(Protocol):
@@ -75,6 +115,38 @@ def concept_extract(chunks: DataFrame, factory: Callable[[], ConceptModel] | Non
     return said.withColumn("concept", concept).withColumn("error", F.when(bad, "no concept in the reply").otherwise(F.col("error"))).drop("reply")
 
 
+def split_and_name(rows: DataFrame, factory: Callable[[], ChatModel], text: str = "content", config: EngineConfig = DEFAULT) -> DataFrame:
+    """rows without text, with paragraph_index, paragraph, concept, section_title and error: large chunks (big_chunk characters), each cut and named in one call.
+
+    A chunk whose reply can't be read is one paragraph without a concept, and error says so. Paragraphs without a section title take the one before in
+    the row. The model is called once for each chunk; store the result before using it twice.
+    """
+    others = [c for c in rows.columns if c != text]
+    asked = chunks_greedy_merge(rows, text, config.updated(merge_max=config.big_chunk)).drop("para_start", "para_end").withColumnRenamed("paragraph_index", "chunk_index")
+
+    def call(batches):
+        model = with_retries(Prompted(factory, SPLIT_AND_NAME_PROMPT), config)
+        for pdf in batches:
+            said = []
+            for t in pdf["chunk"]:
+                try:
+                    said.append((model(t), None))
+                except Exception as e:  # one chunk's failure stays that chunk's
+                    said.append((None, f"{type(e).__name__}: {e}"))
+            yield pdf.assign(reply=[r for r, _ in said], error=[e for _, e in said])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema)
+    found = asked.mapInPandas(call, f"{schema}, reply string, error string")
+    said = F.filter(F.from_json("reply", CHUNK_JSON)["paragraphs"], lambda p: F.length(p.text) > 0)
+    whole = F.array(F.struct(F.col("chunk").alias("text"), F.lit(None).cast("string").alias("concept"), F.lit(None).cast("string").alias("section_title")))
+    read = F.coalesce(F.size(said) > 0, F.lit(False))
+    found = found.withColumn("error", F.when(~read, F.coalesce("error", F.lit("no paragraphs in the reply"))))
+    each = found.select(*others, "chunk_index", "error", F.posexplode(F.when(read, said).otherwise(whole)).alias("part", "p"))
+    in_row = Window.partitionBy(*others).orderBy("chunk_index", "part") if others else Window.orderBy("chunk_index", "part")
+    title = F.last(F.when(F.lower("p.section_title") != "null", F.col("p.section_title")), ignorenulls=True).over(in_row.rowsBetween(Window.unboundedPreceding, 0))
+    return each.select(*others, (F.row_number().over(in_row) - 1).alias("paragraph_index"), F.col("p.text").alias("paragraph"), F.col("p.concept").alias("concept"), title.alias("section_title"), "error")
+
+
 def parse_replies(rows: DataFrame, reply: str = "reply") -> DataFrame:
     """rows with what each reply holds: concept, n_paragraphs and n_pairs; null where it can't be read."""
     split, pairs = F.from_json(reply, SPLIT_JSON)["paragraphs"], F.from_json(reply, CHUNK_JSON)["paragraphs"]

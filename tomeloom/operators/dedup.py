@@ -6,28 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .components import components
 
 ORDER = ["chapter_number", "toc_idx", "section_paragraph_index", "chunk_id"]
 
 
+def _place(order: list[str]):
+    """What orders rows: a number alone can be aggregated by hash, a struct takes a sort."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
+def first_places(ideas: DataFrame, within: list[str], order: list[str] | None = None) -> DataFrame:
+    """within, concept, first_place: an aggregate with a map-side part, written before it is joined back, so that Spark can split that join where a third of all rows have one concept."""
+    some = ideas.where("concept <> ''")
+    return stored(some.groupBy(*within, "concept").agg(F.min(_place(order or ORDER)).alias("first_place")), "first-places")
+
+
 def mark_duplicates(ideas: DataFrame, within: list[str], order: list[str] | None = None) -> DataFrame:
     """ideas with is_duplicate: a concept that an earlier row of the same `within` has. Empty and null concepts never are.
 
-    The first place of each concept comes from an aggregate with a map-side part and is written before it is joined back, so
-    that Spark can split that join where a third of all rows have one concept.
+    ideas is read twice: store it first where it is costly.
     """
-    place = F.struct(*(order or ORDER))
-    some = ideas.where("concept <> ''")
-    first = stored(some.groupBy(*within, "concept").agg(F.min(place).alias("first_place")), "first-places")
-    marked = some.join(first, [*within, "concept"]).withColumn("is_duplicate", place > F.col("first_place")).drop("first_place")
-    return marked.unionByName(ideas.where("concept is null or concept = ''").withColumn("is_duplicate", F.lit(False)))
+    first = first_places(ideas, within, order)
+    marked = ideas.join(first, [*within, "concept"], "left")
+    return marked.select(*ideas.columns, F.coalesce(_place(order or ORDER) > F.col("first_place"), F.lit(False)).alias("is_duplicate"))
 
 
 def keep_first(ideas: DataFrame, within: list[str], order: list[str] | None = None) -> DataFrame:
-    """The first row of each concept in the same `within`, and all rows without a concept: one aggregate with a map-side part, no join."""
-    place, row = F.struct(*(order or ORDER)), F.struct(*ideas.columns)
-    first = ideas.where("concept <> ''").groupBy(*[F.col(c).alias(f"__{c}") for c in [*within, "concept"]]).agg(F.min_by(row, place).alias("row")).select("row.*")
-    return first.unionByName(ideas.where("concept is null or concept = ''"))
+    """The first row of each concept in the same `within`, and all rows without a concept.
+
+    The concept and the place together are the join's key, so a very common concept is spread over tasks. ideas is read twice: store it first where
+    it is costly. Rows that agree in all of these are all kept.
+    """
+    first = first_places(ideas, within, order).withColumn("is_first", F.lit(True))
+    rows = ideas.withColumn("first_place", _place(order or ORDER))
+    found = rows.join(first, [*within, "concept", "first_place"], "left")
+    return found.where("is_first or concept is null or concept = ''").select(*ideas.columns)
 
 
 def dedup_within_book(ideas: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -54,13 +68,16 @@ def near_dup_cosine(vectors: DataFrame, threshold: float, block: int = 512) -> D
     """vec_a, vec_b, cosine of all pairs vec_a < vec_b at or over threshold: exact, in blocks.
 
     Vectors are dealt into blocks of about `block` rows; each pair of blocks is one unit of bounded size, multiplied as matrices.
+    Null vectors and ids and vectors with null, NaN or infinite components take no part; vectors of different length are no pair; a zero vector has cosine 0.
     """
-    good = vectors.where("embedding is not null and vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    good = vectors.where("embedding is not null and vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.forall("v", fine))
     blocks = max(1, -(-good.count() // block))
     mine = good.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    left = mine.withColumn("other", F.explode(F.filter(every, lambda x: x >= F.col("b")))).select(F.col("b").alias("p"), F.col("other").alias("q"), "vec_id", "v")
-    right = mine.withColumn("other", F.explode(F.filter(every, lambda x: x <= F.col("b")))).select(F.col("other").alias("p"), F.col("b").alias("q"), "vec_id", "v")
+    own = lambda: [F.col(c).alias(c) for c in ("vec_id", "v")]  # noqa: E731  new columns for each side
+    left = mine.withColumn("other", F.explode(F.filter(every, lambda x: x >= F.col("b")))).select(F.col("b").alias("p"), F.col("other").alias("q"), *own())
+    right = mine.withColumn("other", F.explode(F.filter(every, lambda x: x <= F.col("b")))).select(F.col("other").alias("p"), F.col("b").alias("q"), *own())
 
     def multiply(x, y):
         import numpy as np
@@ -68,9 +85,12 @@ def near_dup_cosine(vectors: DataFrame, threshold: float, block: int = 512) -> D
 
         if x.empty or y.empty:
             return pd.DataFrame({"vec_a": [], "vec_b": [], "cosine": []})
-        a, b = np.stack(x["v"]), np.stack(y["v"])
-        norm = np.outer(np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1)))
-        sim = np.divide(a @ b.T, norm, out=np.zeros_like(norm), where=norm > 0)
+        sim, sizes = np.full((len(x), len(y)), -2.0), [np.array([len(v) for v in side["v"]]) for side in (x, y)]
+        for n in np.intersect1d(*sizes):
+            rows, cols = (np.flatnonzero(s == n) for s in sizes)
+            a, b = np.stack(x["v"].to_numpy()[rows]), np.stack(y["v"].to_numpy()[cols])
+            norm = np.outer(np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1)))
+            sim[np.ix_(rows, cols)] = np.divide(a @ b.T, norm, out=np.zeros_like(norm), where=norm > 0)
         i, j = np.nonzero(sim >= threshold - 1e-9)
         va, vb, s = x["vec_id"].to_numpy()[i], y["vec_id"].to_numpy()[j], sim[i, j]
         keep = (va < vb) if x["p"].iloc[0] == x["q"].iloc[0] else va != vb
@@ -82,15 +102,7 @@ def near_dup_cosine(vectors: DataFrame, threshold: float, block: int = 512) -> D
 
 def idea_groups(pairs: DataFrame, ideas: DataFrame) -> DataFrame:
     """idea_group_id, canonical_idea_text and members: ideas (id, core_idea_text) that chains of pairs (vec_a, vec_b) link. The smallest id names the group and gives its text."""
-    both = pairs.select("vec_a", "vec_b").union(pairs.select("vec_b", "vec_a")).toDF("id", "to")
-    label = ideas.select("id", F.col("id").alias("grp"))
-    while True:
-        low = both.join(label.withColumnsRenamed({"id": "to", "grp": "other"}), "to").groupBy("id").agg(F.min("other").alias("low"))
-        new = label.join(low, "id", "left").select("id", "grp", F.least("grp", "low").alias("low"))
-        new = stored(new, "idea-groups")
-        changed = new.where("low < grp").isEmpty()
-        label = new.select("id", F.col("low").alias("grp"))
-        if changed:
-            break
+    comp = components(pairs.select(F.col("vec_a").alias("a"), F.col("vec_b").alias("b")), "idea-groups")
+    label = ideas.select("id").join(comp, "id", "left").select("id", F.coalesce("comp", "id").alias("grp"))
     named = ideas.select(F.col("id").alias("grp"), F.col("core_idea_text").alias("canonical_idea_text"))
     return label.groupBy("grp").agg(F.count("*").alias("members")).join(named, "grp").select(F.col("grp").alias("idea_group_id"), "canonical_idea_text", "members")

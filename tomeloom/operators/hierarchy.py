@@ -10,6 +10,7 @@ from ..functions.text import is_front_matter
 from .pages import normalized_pages, positions
 
 BUCKET = 1 << 14
+MOST_LEVELS = 64
 
 
 def toc_char_positions(toc: DataFrame, pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
@@ -30,18 +31,24 @@ def nested(toc: DataFrame, sizes: DataFrame) -> DataFrame:
     enclosing entries from the outside, then itself: idx and title), parent_idx, start_char, end_char, is_leaf, chapter_number.
 
     An entry's enclosing ones are, for each smaller level l, the last entry before it of level l or less. So one
-    sort of a book gives all: running maxima for each level, none of them a join of entries with entries.
+    sort of a book gives all: running maxima for each level that occurs, none of them a join of entries with entries. An
+    outline of more than MOST_LEVELS distinct levels, or with one below 1, is a ValueError; entries without a level are left out.
     """
-    deepest = toc.agg(F.max("level")).first()[0] or 1
+    toc = toc.where("level is not null")
+    levels = sorted(r.level for r in toc.select("level").distinct().limit(MOST_LEVELS + 1).collect())
+    if len(levels) > MOST_LEVELS or levels and levels[0] < 1:
+        raise ValueError(f"levels of an outline go from 1, and are {MOST_LEVELS} at most")
+    levels = levels or [1]
     key = Window.partitionBy("book_id").orderBy("toc_idx")
     back = Window.partitionBy("book_id").orderBy(F.desc("toc_idx")).rowsBetween(Window.unboundedPreceding, -1)
     own = F.struct(F.col("toc_idx").alias("idx"), "title", "pos", "term", "until")
     rows = toc.join(sizes, "book_id", "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    next_ = [F.min(F.when(F.col("level") <= v, F.struct(F.col("toc_idx").alias("idx"), "pos"))).over(back) for v in range(1, deepest + 1)]
-    rows = rows.withColumn("next", F.get(F.array(*next_), F.col("level") - 1))
+    next_ = [F.min(F.when(F.col("level") <= v, F.struct(F.col("toc_idx").alias("idx"), "pos"))).over(back) for v in levels]
+    nth = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col("level").cast("int")).cast("int") - 1
+    rows = rows.withColumn("next", F.get(F.array(*next_), nth))
     rows = rows.withColumn("term", F.col("next.idx")).withColumn("until", F.coalesce("next.pos", "size"))
     fore = key.rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.when(F.col("level") > v, F.max(F.when(F.col("level") <= v, own)).over(fore)) for v in range(1, deepest)]
+    last = [F.when(F.col("level") > v, F.max(F.when(F.col("level") <= v, own)).over(fore)) for v in levels[:-1]]
     rows = rows.withColumn("anc", F.array_sort(F.array_distinct(F.array_compact(F.array(*last, own)))))
     rows = rows.withColumn("is_leaf", F.coalesce(F.lead("level").over(key) <= F.col("level"), F.lit(True)))
     rows = rows.withColumn("chapter_number", F.sum((F.col("level") == 1).cast("int")).over(key.rowsBetween(Window.unboundedPreceding, 0)))
@@ -78,7 +85,7 @@ def leaf_sections(tree: DataFrame) -> DataFrame:
     """Leaves in preorder with their path; a chapter without sections gives one leaf with an empty title, level 2 and its own span."""
     path = F.aggregate("anc", F.lit(""), lambda a, x: F.when(a == "", x.title).otherwise(F.concat(a, F.lit(" > "), x.title)))
     alone = F.col("level") == 1
-    return tree.where("is_leaf").select("book_id", "chapter_number", "toc_idx", F.when(alone, "").otherwise(F.col("title")).alias("title"), F.when(alone, 2).otherwise(F.col("level")).alias("level"), path.alias("hierarchy_path"), F.get("anc", F.lit(0))["title"].alias("chapter_title"), F.when(F.size("anc") > 2, F.get("anc", F.size("anc") - 2)["title"]).alias("parent_title"), "start_char", "end_char")
+    return tree.where("is_leaf").select("book_id", "chapter_number", "toc_idx", F.when(alone, "").otherwise(F.col("title")).alias("title"), F.when(alone, 2).otherwise(F.col("level")).alias("level"), path.alias("hierarchy_path"), F.get("anc", F.lit(0))["title"].alias("chapter_title"), F.when(F.size("anc") > 2, F.get("anc", F.size("anc") - 2)["title"]).alias("parent_title"), "page", "start_char", "end_char")
 
 
 def with_content(spans: DataFrame, pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:

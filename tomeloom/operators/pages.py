@@ -8,17 +8,26 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import collapse, strip
 
+
 def so_far():
     """A book's pages up to this one."""
     return Window.partitionBy("book_id").orderBy("page_num").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def page_lookup(pages: DataFrame, book_id: int, page_num: int) -> DataFrame:
-    """One page; a number past the end (or below 0) is an IndexError when the book is short of it."""
+    """One page, as a table; no row where the book lacks it."""
     found = pages.where((F.col("book_id") == book_id) & (F.col("page_num") == page_num))
     return found.select("book_id", "page_num", "text")
 
 
+def page_text(pages: DataFrame, book_id: int, page_num: int) -> str:
+    """The text of one page; an IndexError where the book lacks it."""
+    found = page_lookup(pages, book_id, page_num).head(1)
+    if not found:
+        raise IndexError(f"book {book_id} has no page {page_num}")
+    return found[0].text or ""
+
+
 def page_count(pages: DataFrame) -> DataFrame:
     return pages.groupBy("book_id").agg(F.count("*").cast("int").alias("total_pages"))
 

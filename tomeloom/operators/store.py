@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import file_title
@@ -68,8 +68,8 @@ def parent_section_lookup(wanted: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def chunks_persisted(kept: DataFrame) -> DataFrame:
-    """paragraph_chunks of kept ideas: chunks without an idea (null concept) or with a repeated one were dropped before."""
-    return kept.where("concept is not null").select(F.col("chunk_id").alias("id"), "book_id", "chapter_number", "toc_idx", F.col("book_paragraph_index").alias("paragraph_index"), "chapter_paragraph_index", F.col("paragraph").alias("body_text"))
+    """paragraph_chunks of kept ideas: chunks without an idea (null concept) or with a repeated one were dropped before. page_number is their section's first page."""
+    return kept.where("concept is not null").select(F.col("chunk_id").alias("id"), "book_id", "chapter_number", "toc_idx", F.col("page").alias("page_number"), F.col("book_paragraph_index").alias("paragraph_index"), "chapter_paragraph_index", F.col("paragraph").alias("body_text"))
 
 
 def key_ideas_build(kept: DataFrame) -> DataFrame:
@@ -92,10 +92,16 @@ def delete_where(rows: DataFrame, keys: DataFrame, on: list[str], children: dict
     return left, counts, {name: child.join(gone.select(*cols).distinct(), cols, "left_anti") for name, (child, cols) in (children or {}).items()}
 
 
+def table_at(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """A stored table; init_tables() has made it."""
+    return spark.read.schema(TABLES[name]).parquet(f"{path}/{name}")
+
+
 def append(rows: DataFrame, name: str, path: str, stamp: bool = True) -> None:
-    """Write rows to a stored table, in its columns, partitioned by book where it has one; missing columns are null."""
+    """Write the rows whose id a stored table lacks to it, in its columns; missing columns are null. So a rerun adds nothing. init_tables() has made the table."""
     schema = TABLES[name]
     if stamp and "created_at" in schema.names and "created_at" not in rows.columns:
         rows = rows.withColumn("created_at", F.current_timestamp())
     cols = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    rows.select(*cols).write.mode("append").parquet(f"{path}/{name}")
+    fresh = rows.select(*cols).join(table_at(rows.sparkSession, name, path).select("id"), "id", "left_anti")
+    fresh.select(*schema.names).write.mode("append").parquet(f"{path}/{name}")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
 from ..operators import chunking, concepts, dedup, hierarchy, reports, store
+from ..schemas import init_tables
 from ..session import stored
+from ..sources import books as sources
 from ..sources.books import normalize_meta, normalize_toc
 
 
@@ -24,6 +26,18 @@ class Book:
     config: EngineConfig = DEFAULT
     splitter: object = None
     concept_model: object = None
+    chat: object = None  # a factory of chat models: asked with the package's prompts where splitter and concept_model are unset
+
+    def __post_init__(self):
+        if self.chat:
+            self.splitter = self.splitter or concepts.Prompted(self.chat, concepts.SPLIT_PROMPT)
+            asked = concepts.Prompted(self.chat, concepts.IDEA_PROMPT)
+            self.concept_model = self.concept_model or (lambda: asked)
+
+    @classmethod
+    def from_pdf(cls, spark: SparkSession, path: str, **options) -> Book:
+        """All PDF files under path, read by the workers."""
+        return cls(sources.pdf_pages(spark, path), sources.pdf_outline(spark, path), sources.pdf_meta(spark, path), **options)
 
     @cached_property
     def toc(self) -> DataFrame:
@@ -35,21 +49,22 @@ class Book:
 
     @cached_property
     def tree(self) -> DataFrame:
-        return hierarchy.structure(self.toc, self.pages, self.config)
+        """The nested outline, stored: each table of a run needs it."""
+        return stored(hierarchy.structure(self.toc, self.pages, self.config), "tree")
 
     @cached_property
     def leaves(self) -> DataFrame:
-        """Leaf sections with their content."""
-        return hierarchy.with_content(hierarchy.leaf_sections(self.tree), self.pages, self.config)
+        """Leaf sections with their content, stored."""
+        return stored(hierarchy.with_content(hierarchy.leaf_sections(self.tree), self.pages, self.config), "leaves")
 
     @cached_property
     def chunks(self) -> DataFrame:
-        made = chunking.chunks_build(self.leaves, self.splitter, self.config)
-        return stored(made, "chunks") if self.splitter else made  # a model is asked once
+        """Stored, so that a model is asked once and no consumer cuts the texts again."""
+        return stored(chunking.chunks_build(self.leaves, self.splitter, self.config), "chunks")
 
     @cached_property
     def extracted(self) -> DataFrame:
-        """Chunks with their concept."""
+        """Chunks with their concept; stored where a model gives it."""
         made = concepts.concept_extract(self.chunks, self.concept_model, config=self.config)
         return stored(made, "ideas") if self.concept_model else made
 
@@ -73,7 +88,22 @@ class Book:
     def stats(self) -> DataFrame:
         return reports.run_stats(self.tree, self.leaves, self.ideas)
 
+    def summary(self) -> DataFrame:
+        return reports.run_summary(self.stats())
+
     def save(self, path: str) -> None:
-        """Append all tables; books whose title is stored already are an error, before anything is written."""
-        for name, rows in self.tables().items():
+        """Append all tables; a book whose title is stored already is a ValueError, before anything is written.
+
+        books come last: a run that stops before that can be started again, and adds only what is missing.
+        """
+        spark = self.pages.sparkSession
+        init_tables(spark, path)
+        tables = self.tables()
+        books = stored(tables.pop("books"), "books")
+        known = store.table_at(spark, "books", path).select("title")
+        titles = [r.title for r in books.join(known, "title", "left_semi").select("title").limit(5).collect()]
+        if titles:
+            raise ValueError(f"stored already: {', '.join(titles)}")
+        for name, rows in tables.items():
             store.append(rows, name, path)
+        store.append(books, "books", path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT
 from ..functions import text as T
 from ..operators import chunking, concepts, dedup, hierarchy, pages, progress, reports, store
-from ..session import ship
+from ..session import ship, stored
 from ..sources import books as src
 from .pipeline import Book
 
@@ -201,7 +201,7 @@ def chapter_page_ranges(spark, d):
 
 @query
 def structure_tree(spark, d):
-    return reports.structure_tree(book(spark, d).tree, chapters=2, sections=1)
+    return reports.structure_tree(book(spark, d).tree)
 
 
 @query
@@ -285,24 +285,24 @@ def _order():
 
 @query
 def dedup_within_book(spark, d):
-    return dedup.dedup_within_book(doc_ideas(spark, d), _order())
+    return dedup.dedup_within_book(stored(doc_ideas(spark, d), "ideas"), _order())
 
 
 @query
 def dedup_global(spark, d):
-    return dedup.dedup_global(doc_ideas(spark, d), _order())
+    return dedup.dedup_global(stored(doc_ideas(spark, d), "ideas"), _order())
 
 
 @query
 def dedup_against_store(spark, d):
-    ideas = doc_ideas(spark, d)
+    ideas = stored(doc_ideas(spark, d), "ideas")
     known = ideas.where("chunk_id % 3 = 0").select("book_id", F.col("concept").alias("core_idea_text"))
     return dedup.dedup_against_store(ideas.where("chunk_id % 3 <> 0"), known).select("book_id", "chunk_id", "concept")
 
 
 @query
 def duplicates_skipped(spark, d):
-    return dedup.duplicates_skipped(doc_ideas(spark, d), _order())
+    return dedup.duplicates_skipped(stored(doc_ideas(spark, d), "ideas"), _order())
 
 
 @query
@@ -482,6 +482,11 @@ def run_stats(spark, d):
     return book(spark, d).stats()
 
 
+@query
+def run_summary(spark, d):
+    return book(spark, d).summary()
+
+
 @query
 def concept_counts(spark, d):
     return reports.concept_counts(book(spark, d).ideas)
@@ -514,9 +519,8 @@ def table_run_filter_whole(spark, d):
 
 @query
 def table_run_filter(spark, d):
-    """The first characters of each line, as its SQL has them; table_run_filter_whole has whole lines."""
     lines = documents(spark, d).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    shaped = lines.withColumn("line", F.when(F.col("line_no") % 7 < 3, F.concat(F.lit("| "), F.left("line", F.lit(10)), F.lit(" |"))).otherwise(F.left("line", F.lit(10))))
+    shaped = lines.withColumn("line", F.when(F.col("line_no") % 7 < 3, F.concat(F.lit("| "), "line", F.lit(" |"))).otherwise(F.col("line")))
     return reports.table_run_filter(shaped, "doc_id", "line_no")
 
 

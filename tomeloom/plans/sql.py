@@ -20,7 +20,8 @@ p AS (SELECT conv_id AS book_id, CAST(turn AS INTEGER) AS page_num, coalesce(tex
 meta AS (
   SELECT book_id, CASE WHEN book_id % 3 <> 0 THEN 'Book ' || book_id ELSE '' END AS title,
          CASE WHEN book_id % 2 <> 0 THEN 'Author ' || book_id ELSE '' END AS author,
-         '/books/vol-' || book_id || '.pdf' AS source_path, CAST(count(*) AS INTEGER) AS total_pages
+         '/books/vol-' || book_id || '.pdf' AS source_path, CAST(count(*) AS INTEGER) AS total_pages,
+         CASE WHEN book_id % 5 <> 0 THEN 'press' ELSE '' END AS producer, 'writer' AS creator
   FROM p GROUP BY book_id
 ),
 toc AS (SELECT book_id, page_num AS toc_idx, 1 + page_num % 3 AS level, {strip("left(text, 20)")} AS title, page_num AS page FROM p),
@@ -53,7 +54,7 @@ tree AS (
 ),
 leaf AS (
   SELECT book_id, chapter_number, toc_idx, CASE WHEN level = 1 THEN '' ELSE title END AS title, CASE WHEN level = 1 THEN 2 ELSE level END AS level,
-         coalesce(path, '') AS hierarchy_path, chapter_title, parent_title, start_char, end_char,
+         coalesce(path, '') AS hierarchy_path, chapter_title, parent_title, page, start_char, end_char,
          substring(full_text, start_char + 1, greatest(end_char - start_char, 0)) AS content
   FROM tree JOIN full_text USING (book_id) WHERE is_leaf
 ),
@@ -90,7 +91,7 @@ CHUNKS = (
     + rule("eligible", "book_id, toc_idx")
     + """,
 chunks AS (
-  SELECT l.book_id, l.chapter_number, l.chapter_title, l.toc_idx, l.title, l.level, l.hierarchy_path, s.paragraph_index AS section_paragraph_index, s.para_start, s.para_end, s.paragraph,
+  SELECT l.book_id, l.chapter_number, l.chapter_title, l.toc_idx, l.title, l.level, l.hierarchy_path, l.page, s.paragraph_index AS section_paragraph_index, s.para_start, s.para_end, s.paragraph,
          CAST(row_number() OVER (PARTITION BY l.book_id, l.chapter_number ORDER BY l.toc_idx, s.paragraph_index) - 1 AS INTEGER) AS chapter_paragraph_index,
          CAST(row_number() OVER (PARTITION BY l.book_id ORDER BY l.chapter_number, l.toc_idx, s.paragraph_index) - 1 AS INTEGER) AS book_paragraph_index
   FROM eligible l JOIN split s USING (book_id, toc_idx)
@@ -172,10 +173,17 @@ def oracle_sql() -> dict[str, str]:
         "eligible_sections": base(" SELECT book_id, toc_idx, hierarchy_path, length(content) AS n_chars FROM eligible"),
         "limited_run": base(" SELECT book_id, chapter_number, toc_idx, CAST(c AS INTEGER) AS chapter_rank, CAST(s AS INTEGER) AS section_rank FROM (SELECT *, dense_rank() OVER (PARTITION BY book_id ORDER BY chapter_number) AS c, row_number() OVER (PARTITION BY book_id, chapter_number ORDER BY toc_idx) AS s FROM leaf) WHERE c = 2 AND s = 1"),
         "chapter_page_ranges": base(" SELECT book_id, chapter_number, title, page AS start_page, coalesce(lead(page) OVER (PARTITION BY book_id ORDER BY toc_idx), last_page) AS end_page FROM tree JOIN (SELECT book_id, max(page_num) AS last_page FROM p GROUP BY book_id) USING (book_id) WHERE level = 1"),
-        "structure_tree": base(", r AS (SELECT *, row_number() OVER (PARTITION BY book_id, parent_idx ORDER BY toc_idx) AS k, count(*) OVER (PARTITION BY book_id, parent_idx) AS n, CASE depth WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 3 END AS most FROM tree) SELECT book_id, toc_idx, CAST(depth AS INTEGER) AS depth, repeat('  ', CAST(depth AS INTEGER)) || left(title, 40) AS line, CAST(CASE WHEN k = most AND n > most THEN n - most ELSE 0 END AS BIGINT) AS more FROM r WHERE k <= most"),
+        "structure_tree": base(", r AS (SELECT *, row_number() OVER (PARTITION BY book_id, parent_idx ORDER BY toc_idx) AS k, count(*) OVER (PARTITION BY book_id, parent_idx) AS n, CASE depth WHEN 0 THEN 10 WHEN 1 THEN 5 ELSE 3 END AS most FROM tree) SELECT book_id, toc_idx, CAST(depth AS INTEGER) AS depth, repeat('  ', CAST(depth AS INTEGER)) || left(title, 40) AS line, CAST(CASE WHEN k = most AND n > most THEN n - most ELSE 0 END AS BIGINT) AS more FROM r WHERE k <= most"),
         "books_without_toc": base(" SELECT book_id, 'no outline' AS error FROM meta WHERE book_id % 4 = 0"),
         "paragraphs_rule_split": "WITH src AS (SELECT doc_id, replace(coalesce(text, ''), chr(10), chr(10) || chr(10)) AS content FROM documents), " + rule("src", "doc_id") + " SELECT * FROM split",
         "paragraphs_split": base(", long AS (SELECT * FROM eligible), " + rule("long", "book_id, toc_idx") + f" SELECT book_id, toc_idx, 'rule' AS method, paragraph_index, paragraph, para_start, para_end FROM split UNION ALL SELECT book_id, toc_idx, 'whole', 0, content, 0, CAST(length(content) AS INTEGER) FROM leaf WHERE content <> '' AND length({strip('content')}) < 100"),
+        "paragraphs_split_model": base(
+            f""", lg AS (SELECT *, CASE WHEN length(content) > 10000 THEN left(content, 8000) || chr(10) || chr(10) || '[... truncated ...]' || chr(10) || chr(10) || right(content, 2000) ELSE content END AS ask
+  FROM leaf WHERE length({strip("content")}) >= 100), unsaid AS (SELECT * FROM lg WHERE length(ask) % 7 = 0), {rule("unsaid", "book_id, toc_idx")}
+SELECT book_id, toc_idx, 'rule' AS method, paragraph_index, paragraph FROM split
+UNION ALL SELECT book_id, toc_idx, 'llm', i, CASE i WHEN 0 THEN left(ask, length(ask) // 2) ELSE substring(ask, length(ask) // 2 + 1) END FROM (SELECT *, CAST(unnest([0, 1]) AS INTEGER) AS i FROM lg WHERE length(ask) % 7 <> 0)
+UNION ALL SELECT book_id, toc_idx, 'whole', 0, content FROM leaf WHERE content <> '' AND length({strip("content")}) < 100"""
+        ),
         "chunks_greedy_merge": "WITH RECURSIVE " + BASE + f"""
 g0 AS (SELECT book_id, list_filter(list_transform(string_split(full_text, chr(10) || chr(10)), lambda x: {strip("x")}), lambda x: x <> '') AS b FROM full_text),
 g AS (
@@ -215,7 +223,7 @@ SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS memb
         "section_next_number": base(" SELECT c.book_id, c.chapter_number, coalesce(max(section_number), 0) + 1 AS next_number FROM chap c LEFT JOIN sec s USING (book_id, chapter_number) GROUP BY ALL"),
         "section_get_or_create": base(", have AS (SELECT book_id, chapter_number, title, min(section_number) AS n FROM sec GROUP BY ALL), top AS (SELECT book_id, chapter_number, max(section_number) AS top FROM sec GROUP BY ALL), ask AS (SELECT DISTINCT book_id, chapter_number, title FROM (SELECT book_id, chapter_number, title FROM sec UNION ALL SELECT book_id, chapter_number, 'new ' || title FROM sec)), j AS (SELECT ask.*, n, top, row_number() OVER (PARTITION BY ask.book_id, ask.chapter_number, n IS NULL ORDER BY ask.title) AS k FROM ask LEFT JOIN have USING (book_id, chapter_number, title) LEFT JOIN top USING (book_id, chapter_number)) SELECT book_id, chapter_number, title, CAST(coalesce(n, coalesce(top, 0) + k) AS INTEGER) AS section_number, n IS NULL AS is_new FROM j"),
         "parent_section_lookup": base(", tm AS (SELECT book_id, chapter_number, title AS parent_title, max(section_number) AS parent_number FROM sec WHERE title <> '' GROUP BY ALL) SELECT book_id, chapter_number, toc_idx, parent_title, parent_number FROM tree LEFT JOIN tm USING (book_id, chapter_number, parent_title) WHERE level > 1"),
-        "chunks_persisted": chunked(" SELECT book_id, chapter_number, toc_idx, book_paragraph_index AS paragraph_index, chapter_paragraph_index, paragraph AS body_text FROM saved"),
+        "chunks_persisted": chunked(" SELECT book_id, chapter_number, toc_idx, page AS page_number, book_paragraph_index AS paragraph_index, chapter_paragraph_index, paragraph AS body_text FROM saved"),
         "key_ideas_build": chunked(" SELECT book_id, chapter_number, toc_idx, hierarchy_path, concept AS core_idea_text FROM saved"),
         "book_by_id": base(" SELECT book_id AS id, CASE WHEN title = '' THEN 'vol-' || book_id ELSE title END AS title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE book_id = 5"),
         "book_by_title": base(" SELECT book_id AS id, title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE title = 'Book 7'"),
@@ -236,12 +244,25 @@ SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS memb
         "progress_stats": f"WITH {STATE} SELECT book_id, count(*) AS total, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'processing') AS processing, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed, CAST(count(*) FILTER (status = 'completed') AS DOUBLE) / count(*) * 100 AS completion_rate FROM state GROUP BY book_id",
         "progress_reset_stuck": f"WITH {STATE} SELECT book_id, unit_id, CASE WHEN status = 'processing' THEN 'pending' ELSE status END AS status, status = 'processing' AS was_reset FROM state",
         "book_processed": f"WITH {STATE} SELECT book_id, count(*) = count(*) FILTER (status = 'completed') AS processed FROM state GROUP BY book_id",
-        "run_stats": chunked(", c AS (SELECT book_id, count(*) FILTER (level = 1) AS total_chapters FROM tree GROUP BY book_id), l AS (SELECT book_id, count(*) AS total_sections FROM leaf GROUP BY book_id), i AS (SELECT book_id, count(*) AS total_paragraphs, count(concept) AS extracted_ideas, count(*) FILTER (concept IS NOT NULL AND NOT is_dup) AS total_ideas, count(*) FILTER (concept <> '' AND NOT is_dup) AS named_ideas, count(*) FILTER (is_dup) AS duplicates FROM ideas GROUP BY book_id) SELECT book_id, total_chapters, coalesce(total_sections, 0) AS total_sections, coalesce(total_paragraphs, 0) AS total_paragraphs, coalesce(extracted_ideas, 0) AS extracted_ideas, coalesce(total_ideas, 0) AS total_ideas, coalesce(named_ideas, 0) AS named_ideas, coalesce(duplicates, 0) AS duplicates FROM c LEFT JOIN l USING (book_id) LEFT JOIN i USING (book_id)"),
+        "run_stats": chunked(", c AS (SELECT book_id, count(*) FILTER (level = 1) AS total_chapters FROM tree GROUP BY book_id), l AS (SELECT book_id, count(*) AS total_sections FROM leaf GROUP BY book_id), i AS (SELECT book_id, count(*) AS total_paragraphs, count(concept) AS extracted_ideas, count(*) FILTER (concept IS NOT NULL AND NOT is_dup) AS total_ideas, count(*) FILTER (concept <> '' AND NOT is_dup) AS named_ideas, count(*) FILTER (is_dup) AS duplicates FROM ideas GROUP BY book_id) SELECT book_id, total_chapters, total_chapters AS completed_chapters, CAST(0 AS BIGINT) AS failed_chapters, coalesce(total_sections, 0) AS total_sections, coalesce(total_paragraphs, 0) AS total_paragraphs, coalesce(extracted_ideas, 0) AS extracted_ideas, coalesce(total_ideas, 0) AS total_ideas, coalesce(named_ideas, 0) AS named_ideas, coalesce(duplicates, 0) AS duplicates FROM c LEFT JOIN l USING (book_id) LEFT JOIN i USING (book_id)"),
+        "run_summary": chunked(", c AS (SELECT book_id, count(*) FILTER (level = 1) AS total_chapters FROM tree GROUP BY book_id), l AS (SELECT book_id, count(*) AS total_sections FROM leaf GROUP BY book_id), i AS (SELECT book_id, count(*) AS total_paragraphs, count(concept) AS extracted_ideas, count(*) FILTER (concept IS NOT NULL AND NOT is_dup) AS total_ideas, count(*) FILTER (concept <> '' AND NOT is_dup) AS named_ideas, count(*) FILTER (is_dup) AS duplicates FROM ideas GROUP BY book_id), z AS (SELECT book_id, total_chapters, total_chapters AS completed_chapters, CAST(0 AS BIGINT) AS failed_chapters, coalesce(total_sections, 0) AS total_sections, coalesce(total_paragraphs, 0) AS total_paragraphs, coalesce(extracted_ideas, 0) AS extracted_ideas, coalesce(total_ideas, 0) AS total_ideas, coalesce(named_ideas, 0) AS named_ideas, coalesce(duplicates, 0) AS duplicates FROM c LEFT JOIN l USING (book_id) LEFT JOIN i USING (book_id)) SELECT book_id, 'method: toc' || chr(10) || 'chapters: ' || total_chapters || chr(10) || 'sections: ' || total_sections || chr(10) || 'completed: ' || completed_chapters || chr(10) || 'failed: ' || failed_chapters || chr(10) || 'paragraphs: ' || total_paragraphs || chr(10) || 'ideas: ' || total_ideas || chr(10) || 'duplicates skipped: ' || duplicates AS summary FROM z"),
         "concept_counts": chunked(" SELECT book_id, count(DISTINCT chapter_number) AS n_chapters, count(*) AS n_paragraphs, count(*) FILTER (concept <> '') AS n_concepts FROM ideas GROUP BY book_id"),
-        "inspection_report": chunked(f", {STATE}, s AS (SELECT book_id, count(*) AS units, count(*) FILTER (status = 'completed') AS completed FROM state GROUP BY book_id), c AS (SELECT book_id, count(*) AS n, min(toc_idx) AS a, max(toc_idx) AS b FROM saved GROUP BY book_id) SELECT coalesce(s.book_id, c.book_id) AS book_id, coalesce(units, 0) AS units, coalesce(completed, 0) AS completed, coalesce(round(CAST(completed AS DOUBLE) / units * 100, 4), 0) AS completion, coalesce(n, 0) AS n_chunks, a AS first_place, b AS last_place, coalesce(n, 0) AS n_ideas FROM s FULL JOIN c ON s.book_id = c.book_id"),
+        "inspection_report": chunked(f", {STATE}, s AS (SELECT book_id, count(*) AS units, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'processing') AS processing, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed FROM state GROUP BY book_id), c AS (SELECT book_id, count(*) AS n, min(page) AS p, max(page) AS q, min(toc_idx) AS a, max(toc_idx) AS b FROM saved GROUP BY book_id) SELECT coalesce(s.book_id, c.book_id) AS book_id, coalesce(units, 0) AS units, coalesce(pending, 0) AS pending, coalesce(processing, 0) AS processing, coalesce(completed, 0) AS completed, coalesce(failed, 0) AS failed, coalesce(round(CAST(completed AS DOUBLE) / units * 100, 4), 0) AS completion, coalesce(n, 0) AS n_chunks, p AS first_page, q AS last_page, a AS first_place, b AS last_place, coalesce(n, 0) AS n_ideas FROM s FULL JOIN c ON s.book_id = c.book_id"),
+        "result_tree_json": chunked(
+            """, pj AS (
+  SELECT *, '{"index":' || section_paragraph_index || ',"text":' || to_json(paragraph) || ',"text_length":' || length(paragraph) || CASE WHEN concept IS NULL THEN '' ELSE ',"concept":' || to_json(concept) END || '}' AS j FROM ideas
+),
+sj AS (
+  SELECT book_id, chapter_number, chapter_title, toc_idx, '{"toc_idx":' || toc_idx || ',"title":' || to_json(title) || ',"level":' || level || ',"hierarchy_path":' || to_json(hierarchy_path)
+         || ',"paragraph_count":' || count(*) || ',"paragraphs":[' || string_agg(j, ',' ORDER BY section_paragraph_index) || ']}' AS j
+  FROM pj GROUP BY book_id, chapter_number, chapter_title, toc_idx, title, level, hierarchy_path
+)
+SELECT book_id, chapter_number, '{"chapter_number":' || chapter_number || ',"title":' || to_json(chapter_title) || ',"section_count":' || count(*) || ',"sections":[' || string_agg(j, ',' ORDER BY toc_idx) || ']}' AS result
+FROM sj GROUP BY book_id, chapter_number, chapter_title"""
+        ),
         "section_forward_fill": base(", f AS (SELECT book_id, page_num, CASE page_num % 3 WHEN 1 THEN left(text, 12) WHEN 2 THEN 'NULL' END AS title FROM p) SELECT *, last_value(CASE WHEN lower(title) <> 'null' THEN title END IGNORE NULLS) OVER (PARTITION BY book_id ORDER BY page_num ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM f"),
         "table_run_filter": """WITH l AS (SELECT doc_id, unnest(range(0, len(x))) AS line_no, x FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
-s AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CASE WHEN line_no % 7 < 3 THEN '| ' || left(x[line_no + 1], 10) || ' |' ELSE left(x[line_no + 1], 10) END AS line FROM l),
+s AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, CASE WHEN line_no % 7 < 3 THEN '| ' || x[line_no + 1] || ' |' ELSE x[line_no + 1] END AS line FROM l),
 r AS (SELECT *, regexp_matches(line, '(\\|.*\\||\\t.*\\t|\\S {2,}\\S+ {2,}\\S)') AS tl FROM s),
 q AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - row_number() OVER (PARTITION BY doc_id, tl ORDER BY line_no) AS run FROM r),
 z AS (SELECT *, count(*) OVER (PARTITION BY doc_id, tl, run) AS n FROM q)

@@ -25,7 +25,7 @@ TABLES: dict[str, T.StructType] = {k: schema(v) for k, v in _ddl.items()}
 #: Engine input.
 PAGES = schema("book_id BIGINT, page_num INT, text STRING")
 TOC = schema("book_id BIGINT, toc_idx INT, level INT, title STRING, page INT")
-BOOK_META = schema("book_id BIGINT, title STRING, author STRING, source_path STRING, total_pages INT")
+BOOK_META = schema("book_id BIGINT, title STRING, author STRING, source_path STRING, total_pages INT, producer STRING, creator STRING")
 #: Model output, parsed with from_json.
 IDEA_JSON = "concept STRING"
 SPLIT_JSON = "paragraphs ARRAY<STRUCT<text: STRING, start_marker: STRING>>"

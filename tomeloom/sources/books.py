@@ -1,7 +1,7 @@
 """Where books come from: the engine's input contract, adapters for the test tables, samples, PDF and JDBC.
 
 Everything downstream takes pages(book_id, page_num, text), toc(book_id, toc_idx, level, title, page) and
-book_meta(book_id, title, author, source_path, total_pages).
+book_meta(book_id, title, author, source_path, total_pages, producer, creator).
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def conversation_meta(pages: DataFrame) -> DataFrame:
     meta = pages.groupBy("book_id").agg(F.count("*").cast("int").alias("total_pages"))
     title = F.when(F.col("book_id") % 3 != 0, F.concat(F.lit("Book "), F.col("book_id").cast("string")))
     author = F.when(F.col("book_id") % 2 != 0, F.concat(F.lit("Author "), F.col("book_id").cast("string")))
-    return meta.select("book_id", title.alias("title"), author.alias("author"), F.format_string("/books/vol-%d.pdf", "book_id").alias("source_path"), "total_pages")
+    return meta.select("book_id", title.alias("title"), author.alias("author"), F.format_string("/books/vol-%d.pdf", "book_id").alias("source_path"), "total_pages", F.when(F.col("book_id") % 5 != 0, "press").alias("producer"), F.lit("writer").alias("creator"))
 
 
 def normalize_toc(raw: DataFrame) -> DataFrame:
@@ -44,7 +44,8 @@ def normalize_toc(raw: DataFrame) -> DataFrame:
 
 def normalize_meta(raw: DataFrame) -> DataFrame:
     """Missing text fields are empty."""
-    return raw.select("book_id", *[F.coalesce(c, F.lit("")).alias(c) for c in ("title", "author", "source_path")], "total_pages")
+    text = lambda c: F.coalesce(c, F.lit("")) if c in raw.columns else F.lit("")
+    return raw.select("book_id", *[text(c).alias(c) for c in ("title", "author", "source_path")], "total_pages", *[text(c).alias(c) for c in ("producer", "creator")])
 
 
 #: Own sample paragraphs.
@@ -68,29 +69,73 @@ def sample_at(spark: SparkSession, indices: DataFrame) -> DataFrame:
     return wrapped.join(F.broadcast(samples(spark)), "idx").select("index", "text")
 
 
-def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
-    """pages of PDF files (needs PyMuPDF on the workers); book_id is a hash of the path."""
+def _read_pdfs(spark: SparkSession, path: str, rows_of, schema: str) -> DataFrame:
+    """path and what rows_of(document) yields as lists of rows, for each PDF file: read by the workers, which need PyMuPDF."""
 
-    def read(rows):
+    def read(batches):
         import fitz
         import pandas as pd
 
-        for pdf in rows:
+        names = [x.split()[0] for x in schema.split(", ")]
+        for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
                 with fitz.open(stream=content, filetype="pdf") as doc:
-                    for first in range(0, len(doc), 50):
-                        nums = range(first, min(first + 50, len(doc)))
-                        yield pd.DataFrame({"path": path, "page_num": list(nums), "text": [doc[i].get_text() for i in nums]})
+                    for rows in rows_of(doc):
+                        yield pd.DataFrame(rows, columns=names).assign(path=path)[["path", *names]]
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.pdf").load(path).select("path", "content")
-    found = files.mapInPandas(read, "path string, page_num int, text string")
-    return found.select(F.xxhash64("path").alias("book_id"), "page_num", "text")
+    return files.mapInPandas(read, f"path string, {schema}").withColumn("book_id", F.xxhash64("path"))
+
+
+def pdf_pages(spark: SparkSession, path: str) -> DataFrame:
+    """pages of PDF files; book_id is a hash of the path."""
+
+    def pages(doc):
+        for first in range(0, len(doc), 50):
+            yield [(i, doc[i].get_text()) for i in range(first, min(first + 50, len(doc)))]
+
+    return _read_pdfs(spark, path, pages, "page_num int, text string").select("book_id", "page_num", "text")
+
+
+def pdf_outline(spark: SparkSession, path: str) -> DataFrame:
+    """The raw outline of PDF files: pages from 1, titles as they are; normalize_toc() makes toc of it."""
+
+    def entries(doc):
+        yield [(i, level, title, page) for i, (level, title, page, *_) in enumerate(doc.get_toc())]
+
+    return _read_pdfs(spark, path, entries, "toc_idx int, level int, title string, page int").select("book_id", "toc_idx", "level", "title", "page")
+
+
+def pdf_meta(spark: SparkSession, path: str) -> DataFrame:
+    """The metadata of PDF files, with gaps; normalize_meta() fills them."""
+
+    def fields(doc):
+        meta = doc.metadata or {}
+        yield [(meta.get("title"), meta.get("author"), len(doc), meta.get("producer"), meta.get("creator"))]
+
+    found = _read_pdfs(spark, path, fields, "title string, author string, total_pages int, producer string, creator string")
+    return found.select("book_id", "title", "author", F.col("path").alias("source_path"), "total_pages", "producer", "creator")
 
 
 def parquet_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
 
 
+#: Without DATABASE_URL, a file in the working directory.
+LOCAL_URL = "jdbc:sqlite:local_dev.db"
+
+
+def jdbc_url(url: str | None = None) -> str:
+    """The given url, else DATABASE_URL's as JDBC, else LOCAL_URL."""
+    found = url or os.environ.get("DATABASE_URL") or LOCAL_URL
+    return found if found.startswith("jdbc:") else "jdbc:" + found
+
+
 def jdbc_table(spark: SparkSession, name: str, url: str | None = None, **options) -> DataFrame:
-    """A table of a database; the url is DATABASE_URL's unless given."""
-    return spark.read.jdbc(url or os.environ["DATABASE_URL"], name, properties=options)
+    """A table of a database."""
+    return spark.read.jdbc(jdbc_url(url), name, properties=options)
+
+
+def jdbc_append(rows: DataFrame, name: str, url: str | None = None, **options) -> None:
+    """Append rows to a table of a database, each partition over its own connection; the driver of the database must be on Spark's class path."""
+    rows.write.jdbc(jdbc_url(url), name, mode="append", properties=options)

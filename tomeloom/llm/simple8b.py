@@ -6,8 +6,9 @@ value of up to 64 bits as it is. Values are packed greedily: each word takes as
 
 A block holds whole documents and is decoded on its own: a header of six unsigned 64-bit integers (magic,
 documents, ids, words, offsets, bytes of the length section), then two such streams, each as words and a
-table of offsets. Every SKIP words the offset table notes how many values came before, so a reader may start
-at any such word. The first stream holds the documents' lengths, the second their ids.
+table of offsets. Every SKIP words the offset table notes how many values came before (its highest bit: the word there is the
+raw one of an escape), so the words of each stretch are placed by themselves, and a reader may start at any of them:
+from_block() reads a range of a block's documents without decoding the rest. The first stream holds the documents' lengths, the second their ids.
 
 write() range-partitions documents by doc_id (rows that agree in doc_id by text), sorts them and writes
 Parquet files whose rows are blocks, in order, each with its file part, place and number of ids. read()
@@ -30,7 +31,7 @@ from .tokens import encoder
 #: Fixed values of the format, by selector: values in a word and bits of each (0: escape).
 COUNT = [1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1]
 BITS = [64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
-MAGIC, SKIP = 0x53384242, 128
+MAGIC, SKIP, RAW = 0x53384242, 128, np.uint64(1 << 63)
 BROADCAST_BLOCKS = 500_000
 LIMITS = np.array([1 << b for b in BITS[1:]], np.uint64)
 NEED = (np.searchsorted(LIMITS, np.arange(1 << 16, dtype=np.uint64), "right") + 1).astype(np.uint8)
@@ -74,24 +75,38 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         out[place[mine]] = word
     before = np.zeros(len(out), np.uint64)
     before[place] = at
-    before[place[sel == 0] + 1] = at[sel == 0] + 1  # a raw word: its value is counted already
+    before[place[sel == 0] + 1] = (at[sel == 0] + 1).astype(np.uint64) | RAW  # its value is counted already
     return out, before[::SKIP]
 
 
-def unpack(words: np.ndarray) -> np.ndarray:
-    """All values of a stream, vectorised: one pass for each selector."""
+def unpack(words: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarray:
+    """All values of a stream or of a run of its stretches, vectorised: one pass for each selector.
+
+    With the stretches' offsets each is placed by itself; without, values are counted from the first word, which is no raw one.
+    """
     words = np.asarray(words, np.uint64)
+    if not len(words):
+        return np.zeros(0, np.uint64)
     sel = (words >> np.uint64(60)).astype(np.int64)
     raw = np.zeros(len(words), bool)
+    raw[0] = offsets is not None and offsets[0] >= RAW
     for i in np.flatnonzero(sel == 0):  # a raw word may look like an escape; escapes are rare
         raw[i + 1 : i + 2] = not raw[i]
     count = np.array(COUNT + [0], np.int64)[sel]
     count[raw] = 0
-    start = np.cumsum(count) - count
+    each = np.add.reduceat(count, np.arange(0, len(count), SKIP))
+    base = np.cumsum(each) - each if offsets is None else (offsets & ~RAW).astype(np.int64)
+    stretch = np.zeros(len(base) * SKIP, np.int64)
+    stretch[: len(count)] = count
+    stretch = stretch.reshape(-1, SKIP)
+    start = (np.cumsum(stretch, 1) - stretch + (base - base[0])[:, None]).reshape(-1)[: len(count)]
     out = np.zeros(int(count.sum()), np.uint64)
+    if start[-1] + count[-1] != len(out):
+        raise ValueError("a block is damaged")
     for s in np.unique(sel[~raw]):
         mine = np.flatnonzero((sel == s) & ~raw)
         if s == 0:
+            mine = mine[mine + 1 < len(words)]  # an escape at the end of a run of stretches: its word is not in it
             out[start[mine]] = words[mine + 1]
             continue
         mask = np.uint64((1 << BITS[s]) - 1)
@@ -107,17 +122,31 @@ def to_block(lengths: np.ndarray, ids: np.ndarray) -> bytes:
     return b"".join(x.astype("<u8").tobytes() for x in (head, np.array([len(lw), len(lo)]), lw, lo, w, o))
 
 
-def from_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Lengths and ids."""
+def from_block(block: bytes, first: int = 0, last: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and ids of the documents first to last (not included; none: the block's end)."""
     x = np.frombuffer(block, "<u8")
-    if len(x) < 6 or x[0] != MAGIC:
+    if len(x) < 8 or x[0] != MAGIC:
         raise ValueError("this is no Simple-8b block")
-    _, docs, n, w, _, section = (int(a) for a in x[:6])
-    lengths = unpack(x[8 : 8 + int(x[6])])
-    ids = unpack(x[6 + section // 8 :][:w])
-    if len(lengths) != docs or len(ids) != n:
+    _, docs, n, w, o, section = (int(a) for a in x[:6])
+    lw, lo = int(x[6]), int(x[7])
+    if 8 * len(x) != 48 + section + 8 * (w + o) or section != 8 * (2 + lw + lo):
+        raise ValueError("a block is damaged")
+    lengths = unpack(x[8 : 8 + lw], x[8 + lw : 8 + lw + lo])
+    words, offsets = x[8 + lw + lo :][:w], x[8 + lw + lo + w :]
+    if len(lengths) != docs or int(lengths.sum()) != n:
+        raise ValueError("a block is damaged")
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    a, b = int(ends[first]), int(ends[docs if last is None else last])
+    if a == b:
+        return lengths[first:last], np.zeros(0, np.uint64)
+    base = (offsets & ~RAW).astype(np.int64)
+    i, j = int(np.searchsorted(base, a, "right")) - 1, int(np.searchsorted(base, b, "left"))
+    over = int(j < len(base) and offsets[j] >= RAW)  # the word of an escape that ends the last stretch
+    ids = unpack(words[i * SKIP : j * SKIP + over], offsets[i : j + over])
+    ids = ids[a - base[i] : b - base[i]]
+    if len(ids) != b - a:
         raise ValueError("a block is damaged")
-    return lengths, ids
+    return lengths[first:last], ids
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, partitions: int | None = None, block_ids: int = 1 << 17) -> None:

@@ -1,8 +1,8 @@
 """Token ids of whole texts with the public tokenizers, with caches of words inside each worker.
 
 Both vocabularies split a text before each space or line feed that follows another character, so a text is the ids of its pieces in
-order, each with the space or line feed before it. A piece that ends in ASCII punctuation after a letter or digit is split
-there too. Texts in which that isn't certain (white space other than single spaces and one or two line
+order, each with the space or line feed before it. A piece that ends in ASCII punctuation after a letter or digit (one that
+composing leaves a letter: some scripts have letters that it takes apart into a letter and a mark) is split there too. Texts in which that isn't certain (white space other than single spaces and one or two line
 feeds, and a capital that lower case makes two of) are encoded whole. The caches hold a bounded number of pieces and words; what finds no room is encoded again.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import gc
 import os
 import re
+import unicodedata
 from array import array
 
 PIECES, WORDS, LONGEST = 300_000, 600_000, 48
@@ -20,6 +21,11 @@ MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _made: dict = {}
 
 
+def ends_word(c: str) -> bool:
+    """Marks after this character start anew: a letter or digit, as it stands and composed."""
+    return c.isalnum() and (c < "\u0300" or unicodedata.normalize("NFC", c)[-1].isalnum())
+
+
 class Encoder:
     """encode_all(texts) gives each text's ids as little-endian unsigned 32-bit integers."""
 
@@ -44,7 +50,7 @@ class Encoder:
         for x in missing:
             word = x.rstrip(MARKS)
             tail = x[len(word) :]
-            if tail and not word[-1:].isalnum():
+            if tail and not ends_word(word[-1:]):
                 word, tail = x, ""
             if folds:
                 word = word.lstrip("\n").lower() if word.isascii() else word.lstrip("\n")

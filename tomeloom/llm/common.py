@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir, ship, stored
 
-__all__ = ["batches", "crc_mod", "n_words", "shared_dir", "stored", "table", "text_key", "word_array"]
+__all__ = ["batches", "crc_mod", "first_rows", "n_words", "shared_dir", "stored", "table", "text_key", "word_array"]
 
 #: Runs of these characters stand between words (all ASCII but digits and a-z, after lower-casing A-Z).
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,6 +42,17 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % n
 
 
+def first_rows(rows: DataFrame, by: str, order: list[str], most_rows: int, most_bytes: Column, size: Column) -> DataFrame:
+    """The first rows of each value of `by` in the given order: at most most_rows, and as long as their sizes add up to most_bytes.
+
+    Spark keeps at most most_rows of a value in each task before it shuffles.
+    """
+    place = Window.partitionBy(by).orderBy(*order)
+    few = rows.withColumn("nth", F.row_number().over(place)).where(F.col("nth") <= most_rows).drop("nth")
+    total = F.sum(size).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    return few.withColumn("total", total).where(F.col("total") <= most_bytes).drop("total")
+
+
 def batches(rows, most_bytes: int = 2 << 20):
     """Slices of the text column `text` of Arrow batches, of about most_bytes of text each, as (batch slice, bytes, offsets).
 

@@ -2,15 +2,15 @@
 
 Subwords are the UTF-8 byte 3- and 4-grams of a lower-cased word with its edges, hashed into buckets. A
 text's vector is the mean of its subwords' embeddings; a linear softmax gives the class. Both are trained
-by stochastic gradient descent in numpy on the driver, on at most `per_lang` rows for each language
-(a hash sample of the labelled rows; the bound does not grow with the data). A fifth of the sample is
+by stochastic gradient descent in numpy on the driver, on at most `per_lang` rows and `per_lang_bytes` of features for each of the
+`most_langs` most common languages: those of least hash of doc_id and text. None of these bounds grows with the data. A fifth of the sample is
 held back to fit the softmax temperature and the rejection threshold: `accepted` is false for a score
 under which the held-back rows fall short of `precision`.
 
 Prediction reads whole texts in Arrow batches; the model is one bucket x language table of fixed size.
 
 Defined cases: null texts and texts without a letter give `und`, score 0, not accepted; with no
-labelled row every text gives `und`; extra columns are ignored; equal rows give equal results.
+labelled row every text gives `und`; a language beyond the most_langs most common ones is never predicted; of one doc_id on many rows each counts by itself; extra columns are ignored; equal rows give equal results.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, first_rows
 from .wordvec import LOW
 
 BITS = 15
@@ -51,7 +51,7 @@ def subwords(data: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.nd
 
 
 def features(rows):
-    """(lang, buckets, weights) of each text as bytes; weights add up to 1."""
+    """(lang, luck, buckets, weights) of each text; buckets and weights, which add up to 1, as bytes."""
     import pyarrow as pa
 
     for part, data, ends in batches(rows):
@@ -61,7 +61,7 @@ def features(rows):
             u, c = np.unique(np.concatenate([g[f[i] : f[i + 1]] for g, f in grams]), return_counts=True)
             ids.append(u.astype("<i4").tobytes())
             ws.append((c / max(1, c.sum())).astype("<f4").tobytes())
-        yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(ids, pa.binary()), pa.array(ws, pa.binary())], ["lang", "ids", "ws"])
+        yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("luck"), pa.array(ids, pa.binary()), pa.array(ws, pa.binary())], ["lang", "luck", "ids", "ws"])
 
 
 def train(rows: list, langs: list[str], dim: int = 16, epochs: int = 6, rate: float = 0.5, precision: float = 0.99, seed: int = 7) -> dict:
@@ -104,23 +104,24 @@ def train(rows: list, langs: list[str], dim: int = 16, epochs: int = 6, rate: fl
     return {"langs": langs, "table": np.ascontiguousarray(table.T), "temperature": float(temperature), "threshold": threshold}
 
 
-def fit(docs: DataFrame, may_learn: Column, per_lang: int = 1200, **options) -> dict:
-    """Learn from rows that meet may_learn and have a lang: at most about per_lang of each."""
+def fit(docs: DataFrame, may_learn: Column, per_lang: int = 1200, per_lang_bytes: int = 16 << 20, most_langs: int = 64, **options) -> dict:
+    """Learn from rows that meet may_learn and have a lang: for each of most_langs languages, per_lang rows and per_lang_bytes of features at most."""
     rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = dict(rows.groupBy("lang").count().collect())
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_lang / n))]) if counts else None
-    if share is None:
+    counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).collect())
+    if not counts:
         return {"langs": [], "table": None, "temperature": 1.0, "threshold": 1.0}
-    luck = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(luck < share[F.col("lang")]).select("lang", "text")
-    found = sample.mapInArrow(features, "lang string, ids binary, ws binary").collect()
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, (1.2 * per_lang + 100) / n))])  # a few more, then the exact limit
+    luck = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 40))
+    near = rows.select("lang", "text", luck.alias("luck")).where(F.col("luck") < share[F.col("lang")] * float(1 << 40))
+    found = near.mapInArrow(features, "lang string, luck long, ids binary, ws binary")
+    found = first_rows(found, "lang", ["luck", "ids", "ws"], per_lang, F.lit(per_lang_bytes), F.length("ids") + F.length("ws")).collect()
     return train(sorted((r.lang, bytes(r.ids), bytes(r.ws)) for r in found), sorted(counts), **options)
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score and accepted of every row."""
     langs, table, temperature, threshold = (model[k] for k in ("langs", "table", "temperature", "threshold"))
-    sent = docs.sparkSession.sparkContext.broadcast(table)  # 2^15 buckets x languages: a fixed size
+    sent = docs.sparkSession.sparkContext.broadcast(table)  # 2^15 buckets x at most most_langs languages
 
     def predict(rows):
         import pyarrow as pa

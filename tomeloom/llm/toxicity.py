@@ -2,10 +2,10 @@
 
 Features are the presence of a word, of two neighbouring words and of two words with one between them, hashed
 into 2^18 buckets. Per-coordinate rates and L1 sparsity leave a small sorted list of weights, which tasks get
-as a broadcast of bounded size. Labels are learned from at most about `sample` rows (a hash sample of
-the rows that may be learned from); training runs in numpy on the driver over their feature lists. Scores read whole texts.
+as a broadcast of bounded size. Labels are learned from at most `sample` rows and
+`sample_bytes` of feature lists: those of least hash of doc_id and text, of each label its share; training runs in numpy on the driver over their feature lists. Scores read whole texts.
 
-Defined cases: null and empty texts are scored by the bias alone; several labels of one doc_id count as
+Defined cases: of one doc_id on many rows each counts by itself; null and empty texts are scored by the bias alone; several labels of one doc_id count as
 their maximum, null labels are skipped; without learned rows every score is
 the sigmoid of -3, a clean verdict; extra columns are ignored; equal rows give equal results.
 """
@@ -13,10 +13,10 @@ the sigmoid of -3, a clean verdict; extra columns are ignored; equal rows give e
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches
+from .common import batches, first_rows
 from .wordvec import K1, K2, K3, mix, words
 
 BITS = 18
@@ -41,7 +41,7 @@ def features(rows):
         both = np.unique(where.astype(np.int64) << BITS | ids)
         cut = np.searchsorted(both >> BITS, np.arange(len(ends)))
         ids = (both & ((1 << BITS) - 1)).astype("<i4")
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], ["doc_id", "y", "ids"])
+        yield pa.RecordBatch.from_arrays([part.column("y"), part.column("luck"), pa.array([ids[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary())], ["y", "luck", "ids"])
 
 
 def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float = 1.0, l1: float = 6.0, l2: float = 0.5, epochs: int = 3, seed: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
@@ -71,14 +71,21 @@ def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float =
     return kept, w[kept].astype(np.float32), float(w[-1]) if rows else -3.0
 
 
-def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 8000, **options):
-    """Learn from labels rows that meet may_learn (a condition on doc_id)."""
-    known = labels.where(may_learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # about `sample` rows
-    found = texts.mapInArrow(features, "doc_id long, y int, ids binary").collect()
-    rows = sorted((r.doc_id, r.y, bytes(r.ids)) for r in found)
+def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 8000, sample_bytes: int = 128 << 20, **options):
+    """Learn from rows whose label meets may_learn (a condition on doc_id): at most `sample` of them and sample_bytes of features."""
+    known = labels.where(may_learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+    counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}  # two rows at most
+    n = max(1, sum(counts.values()))
+    share = F.create_map(*[F.lit(x) for y, c in (counts or {0: 1}).items() for x in (y, c / n)])[F.col("y")]
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 40))
+    some = known.select("doc_id", "y", drawn.alias("drawn")).where(F.col("drawn") < min(1.0, (1.2 * sample + 100) / n) * (1 << 40))
+    some = some.orderBy("drawn", "doc_id").limit(2 * sample + 200)  # a proven bound for what is broadcast
+    luck = F.xxhash64("doc_id", "text", F.lit(5))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id").select("y", luck.alias("luck"), "text")
+    found = first_rows(texts.mapInArrow(features, "y int, luck long, ids binary"), "y", ["luck", "ids"], sample, F.ceil(share * sample_bytes), F.length("ids"))
+    place = F.row_number().over(Window.partitionBy("y").orderBy("luck", "ids"))
+    found = found.withColumn("nth", place).where(F.col("nth") <= F.ceil(share * sample)).collect()
+    rows = sorted((r.luck, r.y, bytes(r.ids)) for r in found)
     return train([(y, np.frombuffer(ids, "<i4")) for _, y, ids in rows], **options)
 
 

@@ -9,7 +9,8 @@ word with the items' windows. Items of fewer words are one window, looked up by
 The items' tables are broadcast up to BROADCAST_ROWS rows, counted first; beyond that Spark shuffles both sides.
 
 Defined cases: null and empty texts have no words; items without an id or words are left out; items that share an id count as one; rows
-that agree in doc_id and text get the same result, each its own row; extra columns are ignored.
+that agree in doc_id and text get the same result, each its own row; extra columns are ignored. A document that has a window of
+many items lists them all.
 """
 
 from __future__ import annotations
@@ -48,17 +49,24 @@ def winnowed(texts: DataFrame, *keep: str) -> DataFrame:
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(size, window, items): each distinct window of words, with the sorted ids of the items that have it."""
+    """(item_id, size, window): the distinct windows of each item."""
     words = items.where("item_id is not null").select(F.col("item_id").cast("string").alias("item_id"), word_array(F.col("text")).alias("words")).where("size(words) > 0")
     size = F.least(F.size("words"), F.lit(WINDOW))
     each = words.select("item_id", "words", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("pos"))
     each = each.select("item_id", "size", F.array_join(F.slice("words", F.col("pos") + 1, F.col("size")), " ").alias("window"))
-    return each.groupBy("size", "window").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    return each.distinct()
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, key, start, size, items: places in documents where a window of items stands."""
-    windows = stored(item_windows(items), "item-windows")
+def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Places in documents where a window of items stands: doc_id, key, start, size, owners; and what owners names: owners, item_id.
+
+    owners names the set of items that have the window: their number and two sums of hashes of their ids. A hit carries that and no list, so a phrase of
+    all items is one row in the first table for each place, and one row for each item in the second.
+    """
+    owned = stored(item_windows(items), "item-windows")
+    total = lambda salt: F.sum(F.xxhash64(F.lit(salt), "item_id").cast("decimal(20,0)")).cast("string")
+    windows = owned.groupBy("size", "window").agg(F.concat_ws(" ", F.count("*").cast("string"), total(3), total(4)).alias("owners"))
+    windows = stored(windows, "item-sets")
     words = items.where("item_id is not null").select(word_array(F.col("text")).alias("words"))
     prints = stored(winnowed(words).select("fp").distinct(), "item-prints")
     n_windows, n_prints = windows.count(), prints.count()
@@ -71,16 +79,22 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = extended.select("doc_id", "key", (F.col("pos") + F.col("i")).alias("start"), F.lit(WINDOW).alias("size"), F.array_join(F.slice("near", F.col("i") + 1, WINDOW), " ").alias("window"))
     if short:
         firsts = [F.struct(F.lit(n).alias("size"), F.when(F.col("pos") + n <= F.size("words"), F.array_join(F.slice("words", F.col("pos") + 1, n), " ")).alias("window")) for n in short]
-        begin = windows.where(F.col("size") < WINDOW).select(F.substring_index("window", " ", 1).alias("w0")).distinct()
+        begin = stored(windows.where(F.col("size") < WINDOW).select(F.substring_index("window", " ", 1).alias("w0")).distinct(), "item-begins")  # stored: a join with it can be split at a hot word
         each = texts.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "w0")).join(sized(begin, n_windows), "w0", "left_semi")
         each = each.select("doc_id", "key", F.col("pos").alias("start"), F.inline(F.array(*firsts))).where("window is not null")
         found = found.union(each.select("doc_id", "key", "start", "size", "window"))
-    return found.join(sized(windows, n_windows), ["size", "window"]).select("doc_id", "key", "start", "size", "items").distinct()
+    found = found.join(sized(windows, n_windows), ["size", "window"]).select("doc_id", "key", "start", "size", "owners").distinct()
+    one = windows.groupBy("owners").agg(F.min(F.struct("size", "window")).alias("w")).select("owners", "w.size", "w.window")  # one window names the set
+    return found, one.join(owned, ["size", "window"]).select("owners", "item_id")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items and hit spans of each row of docs."""
-    by = hits(docs, items).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("start", F.expr("start + size").alias("end")))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    found, sets = hits(docs, items)
+    found, sets = stored(found, "window-hits"), stored(sets, "item-owners")
+    by = found.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("start", F.expr("start + size").alias("end")))).alias("spans"))
+    owned = found.select("doc_id", "key", "owners").distinct().join(sized(sets, sets.count()), "owners").groupBy(F.col("doc_id").alias("d"), F.col("key").alias("k")).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    by = by.join(owned, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d"))).drop("d", "k")
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("reach"))
     cover = F.aggregate("spans", zero, lambda a, x: F.struct((a.n + F.greatest(F.lit(0), x.end - F.greatest(x.start, a.reach))).cast("long").alias("n"), F.greatest(a.reach, x.end).alias("reach")), lambda a: a.n)
     by = by.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), cover.alias("hit"), "items", "spans")
@@ -95,7 +109,7 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without the rows in which a window of an item stands; columns as they were."""
     names = [F.col(f"`{c}`") for c in docs.columns]
     k1, k2 = (f"__{k}_" + "_".join(sorted(docs.columns)) for k in ("doc", "key"))  # clash with no column
-    bad = stored(hits(docs, items).select(F.col("doc_id").alias(k1), F.col("key").alias(k2)).distinct(), "contaminated")
+    bad = stored(hits(docs, items)[0].select(F.col("doc_id").alias(k1), F.col("key").alias(k2)).distinct(), "contaminated")
     rows = docs.select(*names, text_key(F.col("text")).alias("__" + k2))
     out = rows.join(sized(bad, bad.count()), (F.col("__" + k2) == F.col(k2)) & F.col("doc_id").cast("long").eqNullSafe(F.col(k1)), "left_anti")
     return out.select(*names)

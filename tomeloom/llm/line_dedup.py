@@ -48,9 +48,11 @@ def chunk_text(first, last) -> Column:
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, key, first, last: chunks to remove."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), "text")
-    each = chunked(rows, "doc_id", "key").select("doc_id", "key", "lines", F.inline_outer("spans")).where("last > first")
-    each = each.select("doc_id", "key", "first", "last", chunk_text(F.col("first"), F.col("last")).alias("chunk"))
-    each = stored(each.where(F.length("chunk") >= MIN_CHARS).select("doc_id", "key", "first", "last", F.xxhash64("chunk").alias("h")), "line-chunks")
+    several = F.filter("spans", lambda s: s["last"] > s["first"])
+    texts = F.transform(several, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), chunk_text(s["first"], s["last"]).alias("chunk")))
+    hashed = F.transform(F.filter(texts, lambda s: F.length(s["chunk"]) >= MIN_CHARS), lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), F.xxhash64(s["chunk"]).alias("h")))
+    each = chunked(rows, "doc_id", "key").select("doc_id", "key", F.inline_outer(hashed)).where("h is not null")  # outer: a plain one makes Spark build the array twice
+    each = stored(each, "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("key").alias("key"), F.col("first").alias("first"))
     again = each.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select("h", "one")
     again = stored(again, "line-again")  # a join right above an aggregate can't be split where a key is skewed
@@ -58,8 +60,9 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     wanted = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last", "h", "is_first")).alias("wanted")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "wanted")
     texts = rows.where("text is not null").select("doc_id", "key", "text").hint("merge").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), F.inline_outer("wanted"))
-    texts = stored(texts.select("doc_id", "key", "first", "last", "h", "is_first", chunk_text(F.col("first"), F.col("last")).cast("binary").alias("bytes")), "line-bytes")
+    found = lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), s["h"].alias("h"), s["is_first"].alias("is_first"), chunk_text(s["first"], s["last"]).cast("binary").alias("bytes"))
+    texts = texts.select("doc_id", "key", F.split("text", "\n", -1).alias("lines"), "wanted")
+    texts = stored(texts.select("doc_id", "key", F.inline_outer(F.transform("wanted", found))), "line-bytes")
     firsts = stored(texts.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes")), "line-firsts")
     return texts.where("not is_first").join(firsts, "h").where("bytes = first_bytes").select("doc_id", "key", "first", "last").distinct()
 
@@ -88,7 +91,7 @@ def windows(docs: DataFrame, *keep) -> DataFrame:
     spans = F.concat(F.transform(lines, lambda i: span(i, ahead(i))), F.transform(lines, lambda i: span(back(i), i)), F.transform("lines", lambda x, i: span(F.when(long_line(x), i), i)))
     rows = rows.withColumn("spans", F.filter(spans, lambda s: s["first"].isNotNull() & s["last"].isNotNull()))
     hashed = F.transform("spans", lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last"), F.xxhash64(F.slice("hashes", s["first"] + 1, s["last"] - s["first"] + 1)).alias("h")))
-    return rows.select(*keep, F.inline(hashed))
+    return rows.select(*keep, F.inline_outer(hashed)).where("h is not null")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
@@ -102,7 +105,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
     wanted = marked.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last", "h")).alias("wanted")).select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "wanted")
     texts = rows.where("text is not null").hint("merge").join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")))
-    texts = texts.select(F.split("text", "\n", -1).alias("lines"), F.inline("wanted")).select("h", chunk_text(F.col("first"), F.col("last")).cast("binary").alias("bytes"))
+    texts = texts.select(F.split("text", "\n", -1).alias("lines"), "wanted")
+    texts = texts.select(F.inline_outer(F.transform("wanted", lambda s: F.struct(s["h"].alias("h"), chunk_text(s["first"], s["last"]).cast("binary").alias("bytes")))))
     differ = stored(texts.groupBy("h").agg(F.min("bytes").alias("one"), F.max("bytes").alias("other")).where("one <> other").select("h"), "line-differ")
     return marked.where("not stays").join(differ, "h", "left_anti").select("doc_id", "key", "first", "last")
 
@@ -129,7 +133,9 @@ def without(docs: DataFrame, spans: DataFrame, stats: bool, least_lines: int = 1
     gone = spans.withColumnsRenamed({"doc_id": own("d"), "key": own("k"), "gone": own("gone")})
     rows = docs.select(*[F.col(f"`{c}`") for c in names], text_key(F.col("text")).alias(own("key")))
     rows = rows.hint("merge").join(gone, (F.col(own("key")) == F.col(own("k"))) & F.col("doc_id").cast("long").eqNullSafe(F.col(own("d"))), "left")
-    lines, sorted_ = F.split("text", "\n", -1), F.array_sort(own("gone"))
+    sorted_ = F.array_sort(own("gone"))
+    rows = rows.withColumn(own("lines"), F.split("text", "\n", -1))  # once for each text, not for each chunk that goes
+    lines = F.col(own("lines"))
     rows = rows.withColumn(own("gone"), sorted_ if least_lines < 2 else F.when(F.size(lines) >= least_lines, sorted_))
     gone = F.col(own("gone"))
 

@@ -279,6 +279,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     best = linked.join(each, "comp").select("h1", "h2", "best", "class_size")
     alone = texts.select("h1", "h2", F.col("at").alias("own"), "n").join(best, ["h1", "h2"], "left")
     info = alone.select("h1", "h2", F.coalesce("best", "own").alias("best"), F.coalesce("class_size", "n").alias("class_size"))
+    info = stored(info, "dart-info", texts.count())  # stored: the join below can be split where a text has very many copies
     found = marks.select("doc_id", "h1", "h2", "row").join(info, ["h1", "h2"])
     found = found.select("doc_id", "h1", "h2", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("row") == F.col("best.row")).alias("kept"))
     alone = rows.where("text is null").select("doc_id", "h1", "h2", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))

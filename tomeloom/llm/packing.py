@@ -87,7 +87,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
         seq, offset = sum_of_squares(pdf["length"].to_numpy(), capacity)
         return pd.DataFrame({"row": pdf["row"].to_numpy(), "sequence_id": pdf["grp"].to_numpy() * (2 * group * 1024) + seq, "offset": offset})
 
-    placed = slots.repartition(max(1, min(groups, 4096)), "grp").groupBy("grp").applyInPandas(place, "row long, sequence_id long, offset long")
+    tasks = max(min(groups, 4096), groups // 16)  # from one to sixteen groups each, whatever the input's size
+    placed = slots.repartition(tasks, "grp").groupBy("grp").applyInPandas(place, "row long, sequence_id long, offset long")
     short = made.where(F.col("length") < capacity).join(placed, "row").select(*names, "sequence_id", "offset")
     full = made.where(F.col("length") >= capacity).select(*names, (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return short.union(full)

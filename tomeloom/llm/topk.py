@@ -1,12 +1,14 @@
 """Exact top-k search by exhaustive term-at-a-time accumulation.
 
 Vectors are quantised to integers; their non-zero components are the terms. Queries and candidates are
-dealt into blocks of bounded size; each (query block, candidate block) is one task-sized unit. In a unit
+dealt into blocks of bounded size (a candidate is sent once for each query block, a query once for each candidate block); each
+(query block, candidate block) is one task-sized unit. In a unit
 the candidates become postings (term -> positions, weights), each query scatters its weighted postings
 into one dense score array, and a partition selection keeps its k best. The units' lists are then merged.
 
 Defined cases: null vectors, vectors with null, NaN or infinite components and null ids take no part;
-rows equal in id and vector count once; a query's own id is never its candidate; a missing component
+rows equal in id and vector count once; of an id with several vectors, as a query each one's best are listed under that id, together
+the k best; a query's own id is never its candidate; a missing component
 counts as zero, so lengths may differ; ties go to the smaller id; fewer candidates give fewer rows.
 """
 
@@ -60,12 +62,13 @@ def accumulate(cands: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFra
     return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding", query_block: int = 1024, cand_block: int = 4096) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding", query_block: int = 16384, cand_block: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score. is_query: a condition on the column `id`. Blocks bound a unit's memory at any input size."""
     v = stored(quantised(vectors, scale, id_col, vec_col).dropDuplicates(["id", "q"]), "topk-vectors")
     n, nq = v.agg(F.count("*"), F.count_if(is_query)).first()
     c_blocks, q_blocks = max(1, -(-n // cand_block)), max(1, -(-nq // query_block))
-    units = min(4096, c_blocks * q_blocks)
+    units = c_blocks * q_blocks
+    units = max(min(units, 4096), units // 16)  # tasks: from one to sixteen units each, whatever the input's size
     block = lambda blocks, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     cands = v.select("id", "q", block(c_blocks, 1).alias("c"), every(q_blocks).alias("b"))

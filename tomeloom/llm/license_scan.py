@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import n_words, stored, text_key, word_array
 
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
-#: Notices as words, and the label that the method gives.
+#: Notices as words, and the label that the method gives.
 TEMPLATES = [
     ("licensed under the apache license version 2 0", "apache-2.0"),
     ("you may not use this file except in compliance with the license you may obtain a copy of the license at", "apache-2.0"),
@@ -31,6 +31,16 @@ TEMPLATES = [
     ("this work is licensed under a creative commons attribution 4 0 international license", "cc-by-4.0"),
     ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "bsd"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "mit"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd"),
+    ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license", "lgpl"),
+    ("you can redistribute it and or modify it under the terms of the gnu affero general public license", "agpl"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0", "mpl-2.0"),
+    ("this program and the accompanying materials are made available under the terms of the eclipse public license", "epl"),
+    ("distributed under the boost software license version 1 0", "bsl-1.0"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("this work is licensed under a creative commons attribution sharealike 4 0 international license", "cc-by-sa-4.0"),
+    ("to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "cc0"),
     ("all rights reserved", "all-rights-reserved"),
 ]
 GRAM = 3

@@ -7,7 +7,7 @@ as a broadcast of bounded size. Labels are learned from at most `sample` rows an
 
 Defined cases: of one doc_id on many rows each counts by itself; null and empty texts are scored by the bias alone; several labels of one doc_id count as
 their maximum, null labels are skipped; without learned rows every score is
-the sigmoid of -3, a clean verdict; extra columns are ignored; equal rows give equal results.
+the sigmoid of -3, a clean verdict, and the bias starts there; extra columns are ignored; equal rows give equal results.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import batches, first_rows
 from .wordvec import K1, K2, K3, mix, words
 
-BITS = 18
+BITS, PRIOR = 18, -3.0
 
 
 def grams(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,6 +48,7 @@ def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float =
     """FTRL-proximal over (label, buckets). Returns the non-zero buckets, their weights and the bias."""
     size = 1 << BITS
     z, n = np.zeros(size + 1), np.zeros(size + 1)  # the last one is the bias, which L1 spares
+    z[-1] = -PRIOR * beta / alpha  # it starts from a clean verdict, so that a few labels don't make every text toxic
     rng = np.random.default_rng(seed)
 
     def weights(i):
@@ -68,7 +69,7 @@ def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float =
             n[i] += g * g
     w = weights(np.arange(size + 1))
     kept = np.flatnonzero(w[:-1]).astype(np.int32)
-    return kept, w[kept].astype(np.float32), float(w[-1]) if rows else -3.0
+    return kept, w[kept].astype(np.float32), float(w[-1])
 
 
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 8000, sample_bytes: int = 128 << 20, **options):

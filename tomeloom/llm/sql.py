@@ -116,5 +116,45 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN bl
 """
 
 
+def op6(rounds: int = 12) -> str:
+    """The rules come from the operator's own list; each round of propagation is a table of its own."""
+    from .url_filter import RULES
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    host = lambda url: f"translate(regexp_extract(regexp_extract({url}, '(?s)^.*?://(.*)$', 1), '^([^/?#]*)', 1), '{upper}', '{lower}')"
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+    ranks = "".join(
+        f"""r{i} AS (SELECT kind, host, sum(rank) AS rank FROM (
+  SELECT s.kind, s.dst AS host, r.rank * s.w * 0.85 AS rank FROM r{i - 1} r JOIN steps s ON r.kind = s.kind AND r.host = s.src UNION ALL SELECT * FROM r0) GROUP BY kind, host),
+"""
+        for i in range(1, rounds + 1)
+    )
+    return f"""
+WITH rules(rh, rp, rv) AS (VALUES {rules}),
+p AS (SELECT row_number() OVER () AS n, page_id, html, {host("coalesce(url, '')")} AS host,
+             regexp_extract(regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1), '^[^/?#]*([^?#]*)', 1) AS path FROM pages),
+f AS (SELECT n, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS rv FROM p, rules
+      WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY n),
+j AS (SELECT p.*, rule, rv FROM p LEFT JOIN f USING (n)),
+l0 AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\\s*=\\s*["'']?\\s*((?:https?:)?//[^"''\\s>]+)', 1)) AS u FROM j),
+l1 AS (SELECT src, {host("regexp_replace(u, '^//', 'http://')")} AS dst FROM l0),
+link AS (SELECT src, dst, count(*) AS n FROM l1 WHERE src <> dst AND src <> '' AND dst <> '' GROUP BY ALL),
+hosts AS (SELECT host FROM j WHERE host <> '' UNION SELECT dst FROM link),
+parts AS (SELECT DISTINCT array_to_string(x[i:], '.') AS a, array_to_string(x[i + 1:], '.') AS b
+          FROM (SELECT x, unnest(range(1, len(x))) AS i FROM (SELECT string_split(host, '.') AS x FROM hosts)) WHERE len(x) - i >= 2),
+edges AS (SELECT src, dst, sum(n) AS n FROM (SELECT * FROM link UNION ALL SELECT a, b, 1 FROM parts UNION ALL SELECT b, a, 1 FROM parts) GROUP BY ALL),
+steps AS (
+  SELECT 'trust' AS kind, src, dst, n / sum(n) OVER (PARTITION BY src) AS w FROM edges
+  UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM edges
+),
+seeds AS (SELECT host, avg(CASE WHEN rv = 'allow' THEN 1.0 ELSE 0.0 END) AS t, avg(CASE WHEN rv = 'block' THEN 1.0 ELSE 0.0 END) AS d FROM j WHERE host <> '' GROUP BY host),
+r0 AS (SELECT 'trust' AS kind, host, t * (1 - 0.85::DOUBLE) AS rank FROM seeds WHERE t > 0 UNION ALL SELECT 'distrust', host, d * (1 - 0.85::DOUBLE) FROM seeds WHERE d > 0),
+{ranks}sc AS (SELECT host, round(coalesce(sum(rank) FILTER (kind = 'trust'), 0.0), 9) AS trust, round(coalesce(sum(rank) FILTER (kind = 'distrust'), 0.0), 9) AS distrust FROM r{rounds} GROUP BY host)
+SELECT page_id, j.host, path, rule, coalesce(rv, CASE WHEN distrust > trust AND distrust > 0.01 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0.0)::DOUBLE AS trust, coalesce(distrust, 0.0)::DOUBLE AS distrust
+FROM j LEFT JOIN sc ON j.host = sc.host
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": OP1, "op4_near_dedup": OP4, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10}
+    return {"op6_url_filter": op6(), "op1_topk": OP1, "op4_near_dedup": OP4, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10}

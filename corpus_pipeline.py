@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tomeloom.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from tomeloom.llm.common import shared_dir, table
 from tomeloom.llm.tokens import vocabulary
+from tomeloom.session import scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +60,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
+    """All stages over the documents of sf_dir. What a stage stores on its way goes when its result is written."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}-{name}")
         docs = spark.read.parquet(f"{base}/{i}-{name}")
     return docs

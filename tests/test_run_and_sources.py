@@ -218,3 +218,18 @@ def test_urls_of_databases(monkeypatch):
     assert src.jdbc_url() == src.LOCAL_URL and src.jdbc_url("jdbc:x:y") == "jdbc:x:y"
     monkeypatch.setenv("DATABASE_URL", "postgresql://h/db")
     assert src.jdbc_url() == "jdbc:postgresql://h/db"
+
+
+def test_scratch_tables_go(spark):
+    from pathlib import Path
+
+    from tomeloom.session import scratch, shared_dir, stored
+
+    before = set(Path(shared_dir(spark).removeprefix("file://")).iterdir())
+    with scratch(spark):
+        df = stored(spark.range(5), "numbers")
+        assert df.count() == 5
+    with pytest.raises(Exception, match="numbers"), scratch(spark):
+        df.count()
+    left = set(Path(shared_dir(spark).removeprefix("file://")).iterdir()) - before
+    assert not left and stored(spark.range(5), "numbers", 5).count() == 5

@@ -5,11 +5,13 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _sent: set[str] = set()
+_inside: list[str] = []
 FILE_ROWS = 100_000
 
 
@@ -57,12 +59,23 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is stored inside is deleted at the end: for work whose result has been written by then."""
+    _inside.append(f"scratch-{uuid.uuid4().hex}/")
+    try:
+        yield
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_inside.pop()}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
     """df as written to a new table in the shared folder: lineage ends there, and a lost executor costs nothing.
 
     most_rows: a bound on the rows, if one is known. Small tables of narrow rows then come as few files, of some FILE_ROWS each.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{_inside[-1] if _inside else ''}{name}-{uuid.uuid4().hex}"
     if most_rows is not None:
         df = df.coalesce(max(1, -(-most_rows // FILE_ROWS)))
     df.write.parquet(path)

@@ -1,7 +1,7 @@
 """License scans by diagonal voting, with DataFrame functions only.
 
-Rolling hashes of three words of all documents are joined with those of the notice templates (a fixed short
-list, so it is broadcast); the three words themselves are compared too. Each hit votes for a diagonal, word place
+Rolling hashes of three words of all documents are joined with those of the notice templates (broadcast up to
+BROADCAST_GRAMS of them); the three words themselves are compared too. Each hit votes for a diagonal, word place
 minus template place, of its document and template. Neighbouring diagonals (a word put in or left out) are
 merged to spans, and a span counts if it covers enough of the template and isn't stretched too far. Base
 phrases are looked for at every word at the same time.
@@ -43,7 +43,7 @@ TEMPLATES = [
     ("to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "cc0"),
     ("all rights reserved", "all-rights-reserved"),
 ]
-GRAM = 3
+GRAM, BROADCAST_GRAMS = 3, 200_000
 
 
 def scan(docs: DataFrame, phrases=None, templates=None, cover: float = 0.75, stretch: float = 1.5, gap: int = 2) -> DataFrame:
@@ -65,7 +65,8 @@ def scan(docs: DataFrame, phrases=None, templates=None, cover: float = 0.75, str
         base = base.bitwiseOR(F.when(first & _all(rest), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
     each = each.select("doc_id", "key", "pos", base.alias("base"), "w0", word(1).alias("w1"), word(2).alias("w2"))
     same = (F.xxhash64("w0", "w1", "w2") == F.col("h")) & (F.col("w0") == F.col("g0")) & (F.col("w1") == F.col("g1")) & (F.col("w2") == F.col("g2"))
-    hits = each.join(F.broadcast(at), same, "left").where("base > 0 or votes is not null")
+    small = F.broadcast if len(grams) <= BROADCAST_GRAMS else lambda df: df
+    hits = each.join(small(at), same, "left").where("base > 0 or votes is not null")
     hits = stored(hits.select("doc_id", "key", F.col("pos").cast("long").alias("pos"), "base", "votes").distinct(), "license-hits")
 
     key = ["doc_id", "key"]
@@ -79,7 +80,7 @@ def scan(docs: DataFrame, phrases=None, templates=None, cover: float = 0.75, str
     new = F.coalesce(F.col("diag") - F.lag("diag").over(by) > gap, F.lit(True)).cast("int")
     diag = diag.withColumn("new", new).withColumn("span", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
     spans = diag.groupBy(*key, "tid", "span").agg(F.min("first").alias("first"), (F.max("last") + GRAM - 1).alias("last"), F.array_distinct(F.flatten(F.collect_list("tposes"))).alias("tposes"))
-    spans = spans.join(F.broadcast(named), "tid")
+    spans = spans.join(small(named), "tid")
     covered = F.size(F.array_distinct(F.flatten(F.transform("tposes", lambda t: F.sequence(t, t + GRAM - 1)))))
     spans = spans.withColumn("cover", F.round(covered / F.col("size"), 6)).withColumn("good", (F.col("cover") >= cover) & (F.col("last") - F.col("first") + 1 <= F.col("size") * stretch))
     method = spans.groupBy(*key).agg(F.max("cover").alias("best"), F.collect_set(F.when(F.col("good"), F.col("label"))).alias("more"), F.collect_list(F.when(F.col("good"), F.struct("label", "first", "last", "cover"))).alias("spans"))

@@ -388,7 +388,7 @@ def book_by_title(spark, d):
 
 @query
 def chunks_by_book(spark, d):
-    return store.lookup(store.chunks_persisted(book(spark, d).kept), ["toc_idx", "paragraph_index"], book_id=5).select("book_id", "toc_idx", "paragraph_index", "body_text")
+    return store.lookup(store.chunks_persisted(book(spark, d).kept), ["page_number", "paragraph_index"], book_id=5).select("book_id", "page_number", "toc_idx", "paragraph_index", "body_text")
 
 
 @query

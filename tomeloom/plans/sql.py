@@ -227,7 +227,7 @@ SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS memb
         "key_ideas_build": chunked(" SELECT book_id, chapter_number, toc_idx, hierarchy_path, concept AS core_idea_text FROM saved"),
         "book_by_id": base(" SELECT book_id AS id, CASE WHEN title = '' THEN 'vol-' || book_id ELSE title END AS title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE book_id = 5"),
         "book_by_title": base(" SELECT book_id AS id, title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE title = 'Book 7'"),
-        "chunks_by_book": chunked(" SELECT book_id, toc_idx, book_paragraph_index AS paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5"),
+        "chunks_by_book": chunked(" SELECT book_id, page AS page_number, toc_idx, book_paragraph_index AS paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5"),
         "ideas_by_book": chunked(" SELECT book_id, toc_idx, concept AS core_idea_text FROM saved WHERE book_id = 5"),
         "chapters_by_book": base(" SELECT * FROM chap WHERE book_id = 5"),
         "chapter_by_id": base(" SELECT * FROM chap WHERE book_id = 5 AND chapter_number = 2"),

@@ -42,15 +42,17 @@ def crc_mod(id_col: Column, n: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % n
 
 
-def first_rows(rows: DataFrame, by: str, order: list[str], most_rows: int, most_bytes: Column, size: Column) -> DataFrame:
-    """The first rows of each value of `by` in the given order: at most most_rows, and as long as their sizes add up to most_bytes.
+def first_rows(rows: DataFrame, by: str, luck: str, most_rows: int, limit: Column, most_bytes: Column, size: Column) -> DataFrame:
+    """The rows of least `luck` of each value of `by`: at most `limit` (itself at most most_rows) of them, and as long as their sizes add up to most_bytes.
 
-    Spark keeps at most most_rows of a value in each task before it shuffles.
+    rows are written once; only numbers are then ordered, and those chosen, at most most_rows for each value of `by`, pick the rows.
     """
-    place = Window.partitionBy(by).orderBy(*order)
-    few = rows.withColumn("nth", F.row_number().over(place)).where(F.col("nth") <= most_rows).drop("nth")
-    total = F.sum(size).over(place.rowsBetween(Window.unboundedPreceding, 0))
-    return few.withColumn("total", total).where(F.col("total") <= most_bytes).drop("total")
+    kept = stored(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("size", size.cast("long")), "sample")
+    place = Window.partitionBy(by).orderBy(luck, "row")
+    few = kept.select(by, luck, "row", "size").withColumn("nth", F.row_number().over(place)).where(F.col("nth") <= most_rows)
+    total = F.sum("size").over(place.rowsBetween(Window.unboundedPreceding, 0))
+    few = few.withColumn("total", total).where((F.col("nth") <= limit) & (F.col("total") <= most_bytes)).select("row")
+    return kept.join(F.broadcast(few), "row", "left_semi").select(*rows.columns)
 
 
 def batches(rows, most_bytes: int = 2 << 20):

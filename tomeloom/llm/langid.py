@@ -114,7 +114,7 @@ def fit(docs: DataFrame, may_learn: Column, per_lang: int = 1200, per_lang_bytes
     luck = F.pmod(F.xxhash64("doc_id", "text", F.lit(11)), F.lit(1 << 40))
     near = rows.select("lang", "text", luck.alias("luck")).where(F.col("luck") < share[F.col("lang")] * float(1 << 40))
     found = near.mapInArrow(features, "lang string, luck long, ids binary, ws binary")
-    found = first_rows(found, "lang", ["luck", "ids", "ws"], per_lang, F.lit(per_lang_bytes), F.length("ids") + F.length("ws")).collect()
+    found = first_rows(found, "lang", "luck", per_lang, F.lit(per_lang), F.lit(per_lang_bytes), F.length("ids") + F.length("ws")).collect()
     return train(sorted((r.lang, bytes(r.ids), bytes(r.ws)) for r in found), sorted(counts), **options)
 
 

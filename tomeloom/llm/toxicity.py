@@ -13,7 +13,7 @@ the sigmoid of -3, a clean verdict, and the bias starts there; extra columns are
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, first_rows
@@ -83,9 +83,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 800
     some = some.orderBy("drawn", "doc_id").limit(2 * sample + 200)  # a proven bound for what is broadcast
     luck = F.xxhash64("doc_id", "text", F.lit(5))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "doc_id").select("y", luck.alias("luck"), "text")
-    found = first_rows(texts.mapInArrow(features, "y int, luck long, ids binary"), "y", ["luck", "ids"], sample, F.ceil(share * sample_bytes), F.length("ids"))
-    place = F.row_number().over(Window.partitionBy("y").orderBy("luck", "ids"))
-    found = found.withColumn("nth", place).where(F.col("nth") <= F.ceil(share * sample)).collect()
+    found = texts.mapInArrow(features, "y int, luck long, ids binary")
+    found = first_rows(found, "y", "luck", sample, F.ceil(share * sample), F.ceil(share * sample_bytes), F.length("ids")).collect()
     rows = sorted((r.luck, r.y, bytes(r.ids)) for r in found)
     return train([(y, np.frombuffer(ids, "<i4")) for _, y, ids in rows], **options)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, license_scan, line_dedup, near_dedup, packing, simple8b, topk, toxicity, url_filter
+from . import bpe, decontaminate, langid, lexical, license_scan, line_dedup, near_dedup, packing, simple8b, topk, toxicity, url_filter, vector_codes
 from .common import crc_mod, table
 from .tokens import vocabulary
 
@@ -68,6 +68,15 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_results(line_dedup.dedup_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), stats=True))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).withColumn("codebooks_sha256", F.lit(books.sha256())).drop("label")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("byte_bpe_50k.json"))
     return bpe.digests(found).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -80,5 +89,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = (op1_topk, op2_langid, op3_tokens, op4_near_dedup, op5_toxicity, op6_url_filter, op7_license_scan, op8_packing, op9_decontaminate, op10_line_dedup, op10_line_runs, op13_bpe, pipeline)
+    found = (op1_topk, op2_langid, op3_tokens, op4_near_dedup, op5_toxicity, op6_url_filter, op7_license_scan, op8_packing, op9_decontaminate, op10_line_dedup, op10_line_runs, op11_vector_codes, op12_lexical, op13_bpe, pipeline)
     return {f.__name__: f for f in found}

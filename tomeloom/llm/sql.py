@@ -81,6 +81,49 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM documents d LEFT JOIN g USING (doc_id)
 """
 
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+s AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest({WORDS}) AS t FROM benchmark),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+wt AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s),
+im AS (SELECT r, doc_id, t, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(w) * nn) // ll)) AS impact FROM tf JOIN d USING (r), s),
+sc AS (SELECT item_id, r, doc_id, CAST(sum(weight * impact) AS BIGINT) AS score FROM q JOIN wt USING (t) JOIN im USING (t) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 50
+"""
+
+
+def op11(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Each round of the codebooks is a table of its own."""
+    floor_mean = "CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT)"
+    steps = "".join(
+        f"""a{i} AS MATERIALIZED (SELECT r, p, e, dist FROM (
+  SELECT r, p, e, dist, row_number() OVER (PARTITION BY r, p ORDER BY dist, e) AS nth FROM (
+    SELECT r, p, e, sum((x.v - c.v) * (x.v - c.v)) AS dist FROM x JOIN c{i} c USING (p, j) GROUP BY r, p, e)) WHERE nth = 1),
+"""
+        + (
+            f"""c{i + 1} AS MATERIALIZED (SELECT p, e, j, coalesce(n.v, o.v) AS v FROM c{i} o LEFT JOIN (
+  SELECT p, e, j, {floor_mean} AS v FROM (SELECT p, e, j, v AS x FROM a{i} JOIN x USING (r, p)) GROUP BY p, e, j) n USING (p, e, j)),
+"""
+            if i < rounds
+            else ""
+        )
+        for i in range(rounds + 1)
+    )
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 4096) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+x AS MATERIALIZED (SELECT r, i // (n // {parts}) AS p, i % (n // {parts}) AS j, q[i + 1] AS v FROM (SELECT r, q, len(q) AS n, unnest(range(0, len(q))) AS i FROM v)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, v FROM x WHERE r <= {entries}),
+{steps}f AS (SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(dist) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+l AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM v JOIN f USING (r) GROUP BY label),
+b AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM v JOIN f USING (r) JOIN l ON v.label IS NOT DISTINCT FROM l.label, b
+"""
+
 
 def op7() -> str:
     """The templates and phrases come from the operator's own lists."""
@@ -157,4 +200,4 @@ FROM j LEFT JOIN sc ON j.host = sc.host
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": op6(), "op1_topk": OP1, "op4_near_dedup": OP4, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10}
+    return {"op6_url_filter": op6(), "op1_topk": OP1, "op4_near_dedup": OP4, "op7_license_scan": op7(), "op9_decontaminate": OP9, "op10_line_dedup": OP10, "op11_vector_codes": op11(), "op12_lexical": OP12}

@@ -69,7 +69,7 @@ def test_books_from_pdf_files(spark, tmp_path):
         with pytest.raises(IndexError):
             page_text(book.pages, mine.book_id, n)
     chunks = store.chunks_persisted(book.kept).orderBy("paragraph_index").collect()
-    assert [(r.page_number, r.toc_idx) for r in chunks] == [(1, 1), (2, 2)]
+    assert [(r.page_number, r.toc_idx, r.section_id is None) for r in chunks] == [(1, 1, False), (2, 2, True)]
 
 
 def plain_book(spark, **options):
@@ -79,20 +79,6 @@ def plain_book(spark, **options):
     return Book(pages, toc, meta, **options)
 
 
-def test_saving_twice(spark, tmp_path):
-    path, book = str(tmp_path / "store"), plain_book(spark)
-    book.save(path)
-    count = lambda: {n: spark.read.parquet(f"{path}/{n}").count() for n in ("books", "chapters", "sections", "paragraph_chunks", "key_ideas")}
-    first = count()
-    assert first == {"books": 2, "chapters": 3, "sections": 0, "paragraph_chunks": 3, "key_ideas": 3}
-    with pytest.raises(ValueError, match="First"):
-        book.save(path)
-    assert count() == first
-    for name, rows in book.tables().items():  # as a run that is started again would
-        store.append(rows, name, path)
-    assert count() == first
-
-
 def test_prompts_reach_the_model_and_failures_are_counted(spark):
     def chat():
         def answer(prompt, text):

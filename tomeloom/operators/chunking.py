@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import SPACES, marker_position, strip, truncate
-from ..schemas import SPLIT_JSON
+from ..schemas import SPLIT_JSON, key_id
 
 PIECE = "array<struct<text:string,start_char:int,end_char:int>>"
 
@@ -150,7 +150,7 @@ def chunks_build(leaves: DataFrame, splitter=None, config: EngineConfig = DEFAUL
     book = F.row_number().over(Window.partitionBy("book_id").orderBy(*order)) - 1
     chapter = F.row_number().over(Window.partitionBy("book_id", "chapter_number").orderBy("toc_idx", "paragraph_index")) - 1
     parts = parts.withColumns({"book_paragraph_index": book, "chapter_paragraph_index": chapter}).withColumnRenamed("paragraph_index", "section_paragraph_index")
-    return parts.withColumn("chunk_id", F.xxhash64("book_id", "toc_idx", "section_paragraph_index"))
+    return parts.withColumn("chunk_id", key_id("book_id", "toc_idx", "section_paragraph_index"))
 
 
 def chunk_quality(chunks: DataFrame, leaves: DataFrame, low: int = 100, high: int = 1200) -> DataFrame:

@@ -85,7 +85,7 @@ def leaf_sections(tree: DataFrame) -> DataFrame:
     """Leaves in preorder with their path; a chapter without sections gives one leaf with an empty title, level 2 and its own span."""
     path = F.aggregate("anc", F.lit(""), lambda a, x: F.when(a == "", x.title).otherwise(F.concat(a, F.lit(" > "), x.title)))
     alone = F.col("level") == 1
-    return tree.where("is_leaf").select("book_id", "chapter_number", "toc_idx", F.when(alone, "").otherwise(F.col("title")).alias("title"), F.when(alone, 2).otherwise(F.col("level")).alias("level"), path.alias("hierarchy_path"), F.get("anc", F.lit(0))["title"].alias("chapter_title"), F.when(F.size("anc") > 2, F.get("anc", F.size("anc") - 2)["title"]).alias("parent_title"), "page", "start_char", "end_char")
+    return tree.where("is_leaf").select("book_id", "chapter_number", "toc_idx", F.when(alone, "").otherwise(F.col("title")).alias("title"), F.when(alone, 2).otherwise(F.col("level")).alias("level"), path.alias("hierarchy_path"), F.get("anc", F.lit(0))["title"].alias("chapter_title"), F.get("anc", F.lit(0))["idx"].alias("chapter_idx"), F.when(F.size("anc") > 2, F.get("anc", F.size("anc") - 2)["title"]).alias("parent_title"), "page", "start_char", "end_char")
 
 
 def with_content(spans: DataFrame, pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Progress of chapters as an append-only event log; the state is the latest event of each unit."""
+"""Progress of chapters as an append-only event log; the state is the latest event of each unit.
+
+The stored log is progress_events: an event's seq is one more than the largest of its unit that its writer saw, so a unit's events
+are ordered by (seq, at, writer), and attempts are counted, never overwritten: two writers at once lose none.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import percentage
+from ..schemas import key_id
 
 STATES = ("pending", "processing", "completed", "failed")
 KEY = ["book_id", "unit_id"]
@@ -58,3 +63,22 @@ def remaining(rows: DataFrame, state: DataFrame) -> DataFrame:
 def stuck(state_times: DataFrame, now, minutes: int = 30) -> DataFrame:
     """Units in processing whose last attempt (last_attempt_at) is more than so many minutes before now."""
     return state_times.where((F.col("status") == "processing") & (F.col("last_attempt_at") < now - F.expr(f"INTERVAL {minutes} MINUTES")))
+
+
+def latest(events: DataFrame) -> DataFrame:
+    """The rows of processing_progress that stored events (schemas.TABLES, progress_events) amount to: one for each unit."""
+    place, when = F.struct("seq", "at", "writer"), lambda s: F.when(F.col("status") == s, F.col("at"))
+    failed = F.col("status") == "failed"
+    found = events.groupBy("book_id", "chapter_id", "processing_unit").agg(
+        F.max_by("status", place).alias("status"), F.max_by(F.when(failed, F.col("error_message")), F.when(failed, place)).alias("error_message"), F.count_if(F.col("status") == "processing").cast("int").alias("attempt_count"),
+        F.max(when("processing")).alias("last_attempt_at"), F.max(when("completed")).alias("completed_at"), F.min("at").alias("created_at"), F.max("at").alias("updated_at"), F.max("seq").alias("last_seq"),
+    )
+    return found.withColumns({"id": key_id("book_id", "chapter_id", F.lit(1)), "page_number": F.lit(None).cast("int")})
+
+
+def events_of(units: DataFrame, state: DataFrame, writer: str) -> DataFrame:
+    """Events of units (book_id, chapter_id, status, and error_message where it failed): each one's seq follows the last one that state, of latest(), has for it."""
+    last = state.select("book_id", "chapter_id", "last_seq")
+    rows = units.join(last, ["book_id", "chapter_id"], "left").withColumn("seq", F.coalesce("last_seq", F.lit(0)) + 1)
+    message = F.col("error_message") if "error_message" in units.columns else F.lit(None).cast("string")
+    return rows.select(key_id("book_id", "chapter_id", "seq", F.xxhash64(F.lit(writer)), F.xxhash64("status")).alias("id"), "book_id", "chapter_id", "seq", "status", message.alias("error_message"), F.current_timestamp().alias("at"), F.lit(writer).alias("writer"), F.lit("chapter").alias("processing_unit"))

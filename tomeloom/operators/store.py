@@ -1,12 +1,12 @@
-"""Rows of the stored tables, lookups in them and deletes from them. Ids come from natural keys, so a rerun makes the same rows."""
+"""Rows of the stored tables, lookups and deletes on frames of them; sources/snapshots.py stores them. Ids come from natural keys, so a rerun makes the same rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import file_title
-from ..schemas import TABLES
+from ..schemas import key_id
 
 
 def books_build(meta: DataFrame) -> DataFrame:
@@ -20,13 +20,19 @@ def new_books(books: DataFrame, stored: DataFrame) -> DataFrame:
     return books.join(stored.select("title"), "title", "left_anti").select(*books.columns)
 
 
+def repeated_titles(books: DataFrame) -> DataFrame:
+    """books whose title one of a smaller id has."""
+    first = books.groupBy("title").agg(F.min("id").alias("first"))
+    return books.join(first, "title").where("id > first").select(*books.columns)
+
+
 def book_exists(books: DataFrame, stored: DataFrame) -> DataFrame:
     known = stored.select("title").distinct().withColumn("known", F.lit(True))
     return books.join(known, "title", "left").select("id", "title", F.coalesce("known", F.lit(False)).alias("already_stored"))
 
 
 def chapters_build(tree: DataFrame) -> DataFrame:
-    return tree.where("level = 1").select(F.xxhash64("book_id", "toc_idx").alias("id"), "book_id", "chapter_number", "title", "level", F.lit("toc").alias("detection_method"))
+    return tree.where("level = 1").select(key_id("book_id", "toc_idx").alias("id"), "book_id", "chapter_number", "title", "level", F.lit("toc").alias("detection_method"))
 
 
 def sections_build(tree: DataFrame) -> DataFrame:
@@ -34,8 +40,8 @@ def sections_build(tree: DataFrame) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("book_id", "chapter_number").orderBy("toc_idx"))
     under = F.size("anc") > 2
     return tree.where("level > 1").select(
-        F.xxhash64("book_id", "toc_idx").alias("id"), F.xxhash64("book_id", F.get("anc", F.lit(0))["idx"]).alias("chapter_id"), "book_id", "chapter_number", number.alias("section_number"),
-        "title", "level", F.when(under, F.xxhash64("book_id", "parent_idx")).alias("parent_section_id"), F.when(under, F.col("parent_idx")).alias("parent_idx"), "toc_idx", F.lit("toc").alias("detection_method"),
+        key_id("book_id", "toc_idx").alias("id"), key_id("book_id", F.get("anc", F.lit(0))["idx"]).alias("chapter_id"), "book_id", "chapter_number", number.alias("section_number"),
+        "title", "level", F.when(under, key_id("book_id", "parent_idx")).alias("parent_section_id"), F.when(under, F.col("parent_idx")).alias("parent_idx"), "toc_idx", F.lit("toc").alias("detection_method"),
     )
 
 
@@ -68,13 +74,17 @@ def parent_section_lookup(wanted: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def chunks_persisted(kept: DataFrame) -> DataFrame:
-    """paragraph_chunks of kept ideas: chunks without an idea (null concept) or with a repeated one were dropped before. page_number is their section's first page."""
-    return kept.where("concept is not null").select(F.col("chunk_id").alias("id"), "book_id", "chapter_number", "toc_idx", F.col("page").alias("page_number"), F.col("book_paragraph_index").alias("paragraph_index"), "chapter_paragraph_index", F.col("paragraph").alias("body_text"))
+    """paragraph_chunks of kept ideas: chunks without an idea (null concept) or with a repeated one were dropped before. page_number is their section's first page;
+    a chunk that stands right under a chapter has no section."""
+    return kept.where("concept is not null").select(
+        F.col("chunk_id").alias("id"), "book_id", "chapter_number", "toc_idx", F.col("page").alias("page_number"), F.col("book_paragraph_index").alias("paragraph_index"), "chapter_paragraph_index",
+        F.col("paragraph").alias("body_text"), key_id("book_id", "chapter_idx").alias("chapter_id"), F.when(F.col("toc_idx") != F.col("chapter_idx"), key_id("book_id", "toc_idx")).alias("section_id"),
+    )
 
 
 def key_ideas_build(kept: DataFrame) -> DataFrame:
     """key_ideas, one for each persisted chunk; an empty concept is kept as it is."""
-    return kept.where("concept is not null").select(F.xxhash64("chunk_id", F.lit("idea")).alias("id"), "chunk_id", "book_id", "chapter_number", "toc_idx", "hierarchy_path", F.col("concept").alias("core_idea_text"))
+    return kept.where("concept is not null").select(key_id("book_id", "chunk_id", F.lit(0)).alias("id"), "chunk_id", "book_id", "chapter_number", "toc_idx", "hierarchy_path", F.col("concept").alias("core_idea_text"))
 
 
 def lookup(rows: DataFrame, order: list[str] | None = None, **equal) -> DataFrame:
@@ -90,18 +100,3 @@ def delete_where(rows: DataFrame, keys: DataFrame, on: list[str], children: dict
     gone = rows.join(keys, on, "left_semi")
     counts = gone.agg(F.count("*").alias("deleted"))
     return left, counts, {name: child.join(gone.select(*cols).distinct(), cols, "left_anti") for name, (child, cols) in (children or {}).items()}
-
-
-def table_at(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """A stored table; init_tables() has made it."""
-    return spark.read.schema(TABLES[name]).parquet(f"{path}/{name}")
-
-
-def append(rows: DataFrame, name: str, path: str, stamp: bool = True) -> None:
-    """Write the rows whose id a stored table lacks to it, in its columns; missing columns are null. So a rerun adds nothing. init_tables() has made the table."""
-    schema = TABLES[name]
-    if stamp and "created_at" in schema.names and "created_at" not in rows.columns:
-        rows = rows.withColumn("created_at", F.current_timestamp())
-    cols = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
-    fresh = rows.select(*cols).join(table_at(rows.sparkSession, name, path).select("id"), "id", "left_anti")
-    fresh.select(*schema.names).write.mode("append").parquet(f"{path}/{name}")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions import text as T
 from ..operators import chunking, concepts, dedup, hierarchy, pages, progress, reports, store
-from ..session import ship, stored
+from ..session import shared_dir, ship, stored
 from ..sources import books as src
+from ..sources.snapshots import Store
 from .pipeline import Book
 
 QUERIES: dict = {}
@@ -175,7 +178,7 @@ def section_counts(spark, d):
 
 @query
 def leaf_sections(spark, d):
-    return hierarchy.leaf_sections(book(spark, d).tree)
+    return hierarchy.leaf_sections(book(spark, d).tree).drop("chapter_idx")
 
 
 @query
@@ -368,7 +371,7 @@ def parent_section_lookup(spark, d):
 
 @query
 def chunks_persisted(spark, d):
-    return store.chunks_persisted(book(spark, d).kept).drop("id")
+    return store.chunks_persisted(book(spark, d).kept).drop("id", "chapter_id", "section_id")
 
 
 @query
@@ -376,54 +379,136 @@ def key_ideas_build(spark, d):
     return store.key_ideas_build(book(spark, d).kept).drop("id", "chunk_id")
 
 
+BUCKETS = 8  # of the stores that queries make: the test tables hold few books
+_stores: dict = {}
+
+
+def saved(spark, d) -> Store:
+    """The tables of all books as saved, once for each application and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _stores:
+        path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+        book(spark, d).save(path, buckets=BUCKETS)
+        _stores[key] = Store(spark, path)
+    return _stores[key]
+
+
+def stored_id(found: DataFrame) -> int:
+    """The id of the one row found; one that nothing has if there is none."""
+    row = found.select("id").first()
+    return row.id if row else -1
+
+
 @query
 def book_by_id(spark, d):
-    return store.lookup(store.books_build(book(spark, d).meta), id=5)
+    return saved(spark, d).lookup("books", id=5).select("id", "title", "author", "source_path")
 
 
 @query
 def book_by_title(spark, d):
-    return store.lookup(store.books_build(book(spark, d).meta), title="Book 7")
+    return saved(spark, d).lookup("books", title="Book 7").select("id", "title", "author", "source_path")
 
 
 @query
 def chunks_by_book(spark, d):
-    return store.lookup(store.chunks_persisted(book(spark, d).kept), ["page_number", "paragraph_index"], book_id=5).select("book_id", "page_number", "toc_idx", "paragraph_index", "body_text")
+    return saved(spark, d).lookup("paragraph_chunks", ["page_number", "paragraph_index"], book_id=5).select("book_id", "page_number", "paragraph_index", "body_text")
 
 
 @query
 def ideas_by_book(spark, d):
-    return store.lookup(store.key_ideas_build(book(spark, d).kept), book_id=5).select("book_id", "toc_idx", "core_idea_text")
+    return saved(spark, d).lookup("key_ideas", book_id=5).select("book_id", "core_idea_text")
+
+
+CHAPTER = ["book_id", "chapter_number", "title", "level", "detection_method", "start_page", "end_page"]
 
 
 @query
 def chapters_by_book(spark, d):
-    return store.lookup(store.chapters_build(book(spark, d).tree), ["chapter_number"], book_id=5).drop("id")
+    return saved(spark, d).lookup("chapters", ["chapter_number"], book_id=5).select(*CHAPTER)
 
 
 @query
 def chapter_by_id(spark, d):
-    return store.lookup(store.chapters_build(book(spark, d).tree), book_id=5, chapter_number=2).drop("id")
+    s = saved(spark, d)
+    return s.lookup("chapters", id=stored_id(s.lookup("chapters", book_id=5, chapter_number=2))).select(*CHAPTER)
 
 
 @query
 def chunks_by_chapter(spark, d):
-    return store.lookup(store.chunks_persisted(book(spark, d).kept), ["chapter_paragraph_index"], book_id=5, chapter_number=1).select("book_id", "chapter_number", "chapter_paragraph_index", "body_text")
+    s = saved(spark, d)
+    chapter = stored_id(s.lookup("chapters", book_id=5, chapter_number=1))
+    return s.lookup("paragraph_chunks", ["chapter_paragraph_index"], chapter_id=chapter).select("book_id", "chapter_paragraph_index", "body_text")
 
 
 @query
 def sections_by_chapter(spark, d):
-    return store.lookup(store.sections_build(book(spark, d).tree), ["section_number"], book_id=5, chapter_number=1).select("book_id", "chapter_number", "section_number", "title")
+    s = saved(spark, d)
+    chapter = stored_id(s.lookup("chapters", book_id=5, chapter_number=1))
+    return s.lookup("sections", ["section_number"], chapter_id=chapter).select("book_id", "section_number", "title")
 
 
 @query
 def section_by_id(spark, d):
-    return store.lookup(store.sections_build(book(spark, d).tree), book_id=5, toc_idx=2).select("book_id", "toc_idx", "title", "level")
+    s = saved(spark, d)
+    chapter = stored_id(s.lookup("chapters", book_id=5, chapter_number=1))
+    return s.lookup("sections", id=stored_id(s.lookup("sections", chapter_id=chapter, section_number=2))).select("book_id", "section_number", "title", "level")
 
 
 @query
 def chunks_by_section(spark, d):
-    return store.lookup(store.chunks_persisted(book(spark, d).kept), ["chapter_paragraph_index"], book_id=5, toc_idx=2).select("book_id", "toc_idx", "chapter_paragraph_index", "body_text")
+    s = saved(spark, d)
+    chapter = stored_id(s.lookup("chapters", book_id=5, chapter_number=1))
+    section = stored_id(s.lookup("sections", chapter_id=chapter, section_number=2))
+    return s.lookup("paragraph_chunks", ["chapter_paragraph_index"], section_id=section).select("book_id", "chapter_paragraph_index", "body_text")
+
+
+@query
+def stored_chunks(spark, d):
+    """Each saved chunk with its book, chapter, section and idea, found by the keys that are stored."""
+    s = saved(spark, d)
+    at = s.snapshot()
+    chunks = s.table("paragraph_chunks", at).select(F.col("id").alias("chunk_id"), "book_id", "chapter_id", "section_id", "page_number", "paragraph_index", "chapter_paragraph_index", F.length("body_text").cast("long").alias("n_chars"))
+    books = s.table("books", at).select(F.col("id").alias("book_id"), F.col("title").alias("book_title"))
+    chapters = s.table("chapters", at).select(F.col("id").alias("chapter_id"), "chapter_number", F.col("title").alias("chapter_title"))
+    sections = s.table("sections", at).select(F.col("id").alias("section_id"), "section_number", F.col("title").alias("section_title"))
+    ideas = s.table("key_ideas", at).select("chunk_id", "core_idea_text")
+    return chunks.join(books, "book_id").join(chapters, "chapter_id").join(sections, "section_id", "left").join(ideas, "chunk_id").drop("chunk_id", "chapter_id", "section_id")
+
+
+@query
+def stored_chapters(spark, d):
+    """Saved chapters with their pages and the state of their work."""
+    s = saved(spark, d)
+    at = s.snapshot()
+    state = s.table("processing_progress", at).select("chapter_id", "status", "attempt_count", "processing_unit")
+    return s.table("chapters", at).withColumnRenamed("id", "chapter_id").join(state, "chapter_id").select(*CHAPTER, "status", "attempt_count", "processing_unit")
+
+
+@query
+def stored_after_delete(spark, d):
+    """What is left in the store of each book after the chapters of book 5 and a section of book 7 went, with all that hangs on them."""
+    s = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", BUCKETS)
+    book(spark, d).save(s.path)  # the store has its buckets already
+    s.delete("chapters", cascade=True, book_id=5)
+    s.delete("sections", cascade=True, book_id=7, section_number=2)
+    at = s.snapshot()
+    count = lambda name: s.table(name, at).groupBy("book_id").agg(F.count("*").alias(name))
+    rows = s.table("books", at).select(F.col("id").alias("book_id"))
+    for name in ("chapters", "sections", "paragraph_chunks", "key_ideas", "processing_progress"):
+        rows = rows.join(count(name), "book_id", "left")
+    return rows.na.fill(0)
+
+
+@query
+def resumed_run(spark, d):
+    """Key ideas saved by a run that was stopped after a step and started again."""
+    path, b = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", book(spark, d)
+    halves = Book(b.pages.where("book_id % 2 = 0"), b.raw_toc.where("book_id % 2 = 0"), b.raw_meta.where("book_id % 2 = 0"))
+    halves.resume(path, buckets=BUCKETS)
+    b.resume(path, steps=2)
+    s = Store(spark, path)
+    chunks = s.table("paragraph_chunks").select(F.col("id").alias("chunk_id"), "paragraph_index")
+    return s.table("key_ideas").join(chunks, "chunk_id").select("book_id", "paragraph_index", "core_idea_text")
 
 
 @query

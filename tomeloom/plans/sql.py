@@ -86,6 +86,16 @@ split AS (
 )"""
 
 
+#: Chapters with their pages, and counts of what a delete leaves of each book.
+CHAPTER = """book_id, chapter_number, title, level, detection_method, start_page, end_page FROM (SELECT t.book_id, t.chapter_number, t.title, t.level, 'toc' AS detection_method, t.page AS start_page,
+  CAST(coalesce(lead(t.page) OVER (PARTITION BY t.book_id ORDER BY t.toc_idx), q.last_page) AS INTEGER) AS end_page
+  FROM tree t JOIN (SELECT book_id, max(page_num) AS last_page FROM p GROUP BY book_id) q ON q.book_id = t.book_id WHERE t.level = 1)"""
+LEFT = """CAST((SELECT count(*) FROM chap c WHERE c.book_id = m.book_id AND m.book_id <> 5) AS BIGINT) AS chapters,
+  CAST((SELECT count(*) FROM sec c WHERE c.book_id = m.book_id AND m.book_id <> 5 AND NOT (m.book_id = 7 AND c.section_number = 2)) AS BIGINT) AS sections,
+  CAST((SELECT count(*) FROM left_ c WHERE c.book_id = m.book_id) AS BIGINT) AS paragraph_chunks, CAST((SELECT count(*) FROM left_ c WHERE c.book_id = m.book_id) AS BIGINT) AS key_ideas,
+  CAST((SELECT count(*) FROM chap c WHERE c.book_id = m.book_id AND m.book_id <> 5) AS BIGINT) AS processing_progress"""
+
+
 CHUNKS = (
     BASE
     + rule("eligible", "book_id, toc_idx")
@@ -227,14 +237,18 @@ SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS memb
         "key_ideas_build": chunked(" SELECT book_id, chapter_number, toc_idx, hierarchy_path, concept AS core_idea_text FROM saved"),
         "book_by_id": base(" SELECT book_id AS id, CASE WHEN title = '' THEN 'vol-' || book_id ELSE title END AS title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE book_id = 5"),
         "book_by_title": base(" SELECT book_id AS id, title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta WHERE title = 'Book 7'"),
-        "chunks_by_book": chunked(" SELECT book_id, page AS page_number, toc_idx, book_paragraph_index AS paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5"),
-        "ideas_by_book": chunked(" SELECT book_id, toc_idx, concept AS core_idea_text FROM saved WHERE book_id = 5"),
-        "chapters_by_book": base(" SELECT * FROM chap WHERE book_id = 5"),
-        "chapter_by_id": base(" SELECT * FROM chap WHERE book_id = 5 AND chapter_number = 2"),
-        "chunks_by_chapter": chunked(" SELECT book_id, chapter_number, chapter_paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5 AND chapter_number = 1"),
-        "sections_by_chapter": base(" SELECT book_id, chapter_number, section_number, title FROM sec WHERE book_id = 5 AND chapter_number = 1"),
-        "section_by_id": base(" SELECT book_id, toc_idx, title, level FROM sec WHERE book_id = 5 AND toc_idx = 2"),
-        "chunks_by_section": chunked(" SELECT book_id, toc_idx, chapter_paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5 AND toc_idx = 2"),
+        "chunks_by_book": chunked(" SELECT book_id, page AS page_number, book_paragraph_index AS paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5"),
+        "ideas_by_book": chunked(" SELECT book_id, concept AS core_idea_text FROM saved WHERE book_id = 5"),
+        "chapters_by_book": base(f" SELECT {CHAPTER} WHERE book_id = 5"),
+        "chapter_by_id": base(f" SELECT {CHAPTER} WHERE book_id = 5 AND chapter_number = 2"),
+        "chunks_by_chapter": chunked(" SELECT book_id, chapter_paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5 AND chapter_number = 1"),
+        "sections_by_chapter": base(" SELECT book_id, section_number, title FROM sec WHERE book_id = 5 AND chapter_number = 1"),
+        "section_by_id": base(" SELECT book_id, section_number, title, level FROM sec WHERE book_id = 5 AND chapter_number = 1 AND section_number = 2"),
+        "chunks_by_section": chunked(" SELECT book_id, chapter_paragraph_index, paragraph AS body_text FROM saved WHERE book_id = 5 AND toc_idx IN (SELECT toc_idx FROM sec WHERE book_id = 5 AND chapter_number = 1 AND section_number = 2)"),
+        "stored_chunks": chunked(" SELECT s.book_id, s.page AS page_number, s.book_paragraph_index AS paragraph_index, s.chapter_paragraph_index, length(s.paragraph) AS n_chars, CASE WHEN meta.title = '' THEN 'vol-' || s.book_id ELSE meta.title END AS book_title, s.chapter_number, c.title AS chapter_title, sec.section_number, sec.title AS section_title, s.concept AS core_idea_text FROM saved s JOIN meta USING (book_id) JOIN chap c ON c.book_id = s.book_id AND c.chapter_number = s.chapter_number LEFT JOIN sec ON sec.book_id = s.book_id AND sec.toc_idx = s.toc_idx"),
+        "stored_chapters": base(f" SELECT c.*, 'completed' AS status, CAST(1 AS INTEGER) AS attempt_count, 'chapter' AS processing_unit FROM (SELECT {CHAPTER}) c"),
+        "stored_after_delete": chunked(f", cut AS (SELECT book_id, toc_idx FROM sec WHERE book_id = 7 AND section_number = 2), left_ AS (SELECT book_id FROM saved WHERE book_id <> 5 AND NOT EXISTS (SELECT 1 FROM cut WHERE cut.book_id = saved.book_id AND cut.toc_idx = saved.toc_idx)) SELECT m.book_id, {LEFT} FROM meta m"),
+        "resumed_run": chunked(" SELECT book_id, book_paragraph_index AS paragraph_index, concept AS core_idea_text FROM saved"),
         "delete_chapters_by_book": base(" SELECT * FROM chap WHERE book_id % 10 <> 0"),
         "delete_sections_by_chapter": base(" SELECT count(*) AS deleted FROM sec WHERE book_id = 5 AND chapter_number = 1"),
         "progress_transition": f"WITH {STATE} SELECT * FROM state",

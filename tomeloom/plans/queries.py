@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions import text as T
-from ..operators import chunking, concepts, dedup, hierarchy, pages, progress, reports, store
+from ..operators import chunking, concepts, dedup, hierarchy, near_vectors, pages, progress, reports, store
 from ..session import shared_dir, ship, stored
 from ..sources import books as src
 from ..sources.snapshots import Store
@@ -320,6 +320,30 @@ def idea_groups(spark, d):
     return dedup.idea_groups(pairs, vectors.select(F.col("vec_id").alias("id"), F.concat(F.lit("idea "), F.col("vec_id").cast("string")).alias("core_idea_text")))
 
 
+@query
+def idea_groups_index(spark, d):
+    """Groups of vectors of cosine 0.9 or more, by the index: each embedding with a bent copy of it."""
+    x = src.table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    bent = F.transform("embedding", lambda v, i: v * (1 + 0.3 * ((i + F.col("vec_id")) % 3 - 1)))
+    both = stored(x.union(x.select(F.col("vec_id") + 1_000_000, bent)), "bent")
+    links = near_vectors.near_links(both, 0.9)
+    return dedup.idea_groups(links.select("vec_a", "vec_b"), both.select(F.col("vec_id").alias("id"), F.concat(F.lit("idea "), F.col("vec_id").cast("string")).alias("core_idea_text")))
+
+
+@query
+def stored_idea_groups(spark, d):
+    """Saved ideas grouped by vectors, in two runs of which the second finds the first one's groups; a vector of bytes of the concept's hash stands in for an embedding."""
+    s = Store(spark, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", BUCKETS)
+    book(spark, d).save(s.path)
+    part = lambda i: F.conv(F.substring(F.md5(F.col("core_idea_text").cast("binary")), 2 * i + 1, 2), 16, 10).cast("double") - 127.5
+    vectors = s.table("key_ideas").select("id", "book_id", F.array(*[part(i) for i in range(16)]).alias("vector"))
+    near_vectors.save_groups(s, vectors.where("book_id % 2 = 0"))
+    near_vectors.save_groups(s, vectors)
+    at = s.snapshot()
+    members = s.table("key_ideas", at).groupBy(F.col("idea_group_id").alias("id")).agg(F.count("*").alias("members"))
+    return s.table("idea_groups", at).join(members, "id").select("canonical_idea_text", "members")
+
+
 # --- store
 
 
@@ -505,7 +529,7 @@ def resumed_run(spark, d):
     path, b = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", book(spark, d)
     halves = Book(b.pages.where("book_id % 2 = 0"), b.raw_toc.where("book_id % 2 = 0"), b.raw_meta.where("book_id % 2 = 0"))
     halves.resume(path, buckets=BUCKETS)
-    b.resume(path, steps=2)
+    b.resume(path)
     s = Store(spark, path)
     chunks = s.table("paragraph_chunks").select(F.col("id").alias("chunk_id"), "paragraph_index")
     return s.table("key_ideas").join(chunks, "chunk_id").select("book_id", "paragraph_index", "core_idea_text")

@@ -225,6 +225,12 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS IN
   WHERE round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) >= 0.4),
 r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
 SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS members FROM (SELECT x, min(y) AS g FROM r GROUP BY x) GROUP BY g""",
+        "idea_groups_index": """WITH RECURSIVE x AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  UNION ALL SELECT vec_id + 1000000, list_transform(CAST(embedding AS DOUBLE[]), lambda v, i: v * (1 + 0.3 * ((i - 1 + vec_id) % 3 - 1))) FROM embeddings),
+e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM x a JOIN x b ON a.vec_id <> b.vec_id WHERE round(list_cosine_similarity(a.v, b.v), 6) >= 0.9),
+r AS (SELECT vec_id AS x, vec_id AS y FROM x UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT g AS idea_group_id, 'idea ' || g AS canonical_idea_text, count(*) AS members FROM (SELECT x, min(y) AS g FROM r GROUP BY x) GROUP BY g""",
+        "stored_idea_groups": chunked(" SELECT concept AS canonical_idea_text, count(*) AS members FROM saved GROUP BY concept"),
         "books_build": base(" SELECT book_id AS id, CASE WHEN title = '' THEN 'vol-' || book_id ELSE title END AS title, CASE WHEN author = '' THEN 'Unknown' ELSE author END AS author, source_path FROM meta"),
         "book_exists": base(" SELECT book_id AS id, CASE WHEN title = '' THEN 'vol-' || book_id ELSE title END AS title, book_id % 2 = 0 AS already_stored FROM meta"),
         "chapters_build": base(" SELECT * FROM chap"),

@@ -1,0 +1,150 @@
+"""The data sources: a database by sqlite3, PDF files by a stand-in that notes which pages it opens."""
+
+import json
+import sqlite3
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.test_store import many_books
+from tomeloom.schemas import TABLES
+from tomeloom.sources import databases, pdf
+
+READER = '''
+import io
+import json
+
+class Page:
+    def __init__(self, doc, i):
+        self.doc, self.i = doc, i
+    def get_text(self):
+        with io.open(self.doc.path + ".log", "a") as f:
+            f.write(f"{self.i}\\n")
+        return self.doc.texts[self.i]
+
+class Document:
+    def __init__(self, path):
+        self.path, self.texts = path, json.load(io.open(path))
+        io.open(path + ".log", "a").write("open\\n")
+    def __enter__(self):
+        return self
+    def __exit__(self, *_):
+        pass
+    def __len__(self):
+        return len(self.texts)
+    def __getitem__(self, i):
+        return Page(self, i)
+
+def open(path):
+    return Document(path)
+'''
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    (tmp_path / "paged_reader.py").write_text(READER)
+    spark.sparkContext.addPyFile(str(tmp_path / "paged_reader.py"))
+    top = tmp_path / "in"
+    (top / "deep").mkdir(parents=True)
+    (top / "a.pdf").write_text(json.dumps([f"a{i}" for i in range(200)]))
+    (top / "deep" / "b.pdf").write_text(json.dumps([f"b{i}" for i in range(3)]))
+    (top / "none.pdf").write_text("[]")
+    (top / "notes.txt").write_text("no book")
+    return top
+
+
+def noted(path):
+    log = path.parent / (path.name + ".log")
+    return log.read_text().split() if log.exists() else []
+
+
+def test_all_pages_in_slices(spark, folder):
+    got = pdf.pages(spark, str(folder), library="paged_reader", sliceBytes=300)
+    rows = sorted((r.path.split("/")[-1], r.page_num, r.text) for r in got.collect())
+    assert rows == sorted([("a.pdf", i, f"a{i}") for i in range(200)] + [("b.pdf", i, f"b{i}") for i in range(3)])
+    assert got.rdd.getNumPartitions() >= 5  # the long book is read by several tasks
+    assert got.where("book_id <> xxhash64(path)").count() == 0
+
+
+def test_only_asked_pages_are_opened(spark, folder):
+    got = pdf.pages(spark, str(folder), library="paged_reader", sliceBytes=300)
+    one = got.where((F.col("path") == str(folder / "a.pdf")) & (F.col("page_num") == 150)).select("text").collect()
+    assert [r.text for r in one] == ["a150"] and noted(folder / "a.pdf") == ["open", "150"] and noted(folder / "deep" / "b.pdf") == []
+    some = got.where("page_num >= 1 and page_num < 3").select("path", "page_num").collect()
+    assert len(some) == 4 and sorted(x for x in noted(folder / "deep" / "b.pdf") if x != "open") == ["1", "2"]
+    assert sorted(x for x in noted(folder / "a.pdf") if x not in ("open", "150")) == ["1", "2"]
+    assert got.where("page_num > 199").count() == 0 and got.where("page_num < 0").count() == 0 and got.where("text = 'b2'").count() == 1
+
+
+@pytest.fixture()
+def url(tmp_path):
+    made = f"sqlite:///{tmp_path}/books.db"
+    databases.create_tables(made)
+    return made
+
+
+def rows_of(url, statement):
+    link = sqlite3.connect(url.removeprefix("sqlite:///"))
+    try:
+        return link.execute(statement).fetchall()
+    finally:
+        link.close()
+
+
+def test_tables_go_to_a_database_and_back(spark, url):
+    for name, rows in many_books(spark, 4).tables().items():
+        made = rows.select(*[(F.col(f.name) if f.name in rows.columns else F.current_timestamp() if f.name == "created_at" else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name]])
+        databases.append_table(made.repartition(3), name, url)
+    assert rows_of(url, "SELECT count(*), count(DISTINCT chapter_id) FROM paragraph_chunks") == [(12, 8)]
+    assert rows_of(url, "SELECT count(*) FROM sqlite_master WHERE name GLOB 'stage_*'") == [(0,)]
+    chunks = databases.read_table(spark, "paragraph_chunks", url, partitions=4)
+    assert chunks.rdd.getNumPartitions() == 4 and chunks.schema == TABLES["paragraph_chunks"]
+    want = rows_of(url, "SELECT id, body_text, section_id FROM paragraph_chunks")
+    assert sorted(map(tuple, chunks.select("id", "body_text", "section_id").collect())) == sorted(want, key=lambda r: r[0])
+    assert chunks.where("created_at is not null").count() == 12
+    joined = chunks.join(databases.read_table(spark, "chapters", url).withColumnRenamed("id", "chapter_id"), ["book_id", "chapter_id"])
+    assert joined.count() == 12
+
+
+def test_filters_and_ranges_reach_the_query(spark, url):
+    link = sqlite3.connect(url.removeprefix("sqlite:///"))
+    link.executemany("INSERT INTO books (id, title) VALUES (?, ?)", [(i * 7 - 300, f"t{i % 3}") for i in range(100)])
+    link.execute('CREATE TABLE odd (id BIGINT, "a b" TEXT)')
+    link.executemany("INSERT INTO odd VALUES (?, ?)", [(None, "x"), (1, None), (9, "y")])
+    link.commit()
+    link.close()
+    reader = databases.Reader(TABLES["books"], {"url": url, "table": "books", "partitions": "6"})
+    from pyspark.sql.datasource import EqualTo, In, IsNotNull, StringStartsWith
+
+    rest = list(reader.pushFilters([EqualTo(("title",), "t1"), StringStartsWith(("title",), "t"), In(("id",), (-293, 400)), IsNotNull(("title",))]))
+    assert [type(f) for f in rest] == [StringStartsWith]
+    assert reader.query("id", [])[0] == 'SELECT id FROM "books" WHERE "title" = ? AND "id" IN (?, ?) AND "title" IS NOT NULL'
+    parts = reader.partitions()
+    assert [r[0] for p in parts for r in reader.read(p)] == [-293] and len(parts) == 1
+    books = databases.read_table(spark, "books", url, partitions=6)
+    assert books.count() == 100 and books.where("id >= 0 and title = 't1'").count() == sum(i * 7 >= 300 and i % 3 == 1 for i in range(100))
+    assert books.where("title like 't%' and id < -290").count() == 2
+    odd = databases.read_table(spark, "odd", url, partitions=3, schema=spark.createDataFrame([], "id long, `a b` string").schema)
+    assert sorted(map(repr, odd.collect())) == sorted(map(repr, spark.createDataFrame([(None, "x"), (1, None), (9, "y")], "id long, `a b` string").collect()))
+    empty = databases.read_table(spark, "chapters", url)
+    assert empty.count() == 0
+
+
+def test_a_write_that_fails_leaves_nothing(spark, url):
+    bad = spark.range(50).repartition(4).select("id", F.when(F.col("id") == 33, F.raise_error(F.lit("stop"))).otherwise(F.lit("t")).cast("string").alias("title"))
+    with pytest.raises(Exception, match="stop"):
+        databases.append_table(bad, "books", url)
+    assert rows_of(url, "SELECT count(*) FROM books") == [(0,)] and rows_of(url, "SELECT count(*) FROM sqlite_master WHERE name GLOB 'stage_*'") == [(0,)]
+    databases.append_table(spark.createDataFrame([(1, "t")], "id long, title string"), "books", url)
+    with pytest.raises(Exception, match="UNIQUE|IntegrityError"):
+        databases.append_table(spark.createDataFrame([(2, "u"), (1, "again")], "id long, title string"), "books", url)
+    assert rows_of(url, "SELECT id FROM books") == [(1,)]
+
+
+def test_urls(monkeypatch):
+    monkeypatch.delenv("DATABASE_URL", raising=False)
+    assert databases.database_url().startswith("sqlite:///") and databases.database_url("sqlite:///x") == "sqlite:///x"
+    monkeypatch.setenv("DATABASE_URL", "postgresql://h/db")
+    assert databases.Database(databases.database_url()).kind == "postgresql"
+    with pytest.raises(ValueError, match="driver"):
+        databases.Database("mysql://h")

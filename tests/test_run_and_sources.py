@@ -13,7 +13,6 @@ from tomeloom.functions.text import SPACE, strip
 from tomeloom.operators import chunking, concepts, dedup, hierarchy, reports, store
 from tomeloom.operators.pages import page_text
 from tomeloom.plans.pipeline import Book
-from tomeloom.sources import books as src
 
 TOC = "book_id long, toc_idx int, level int, title string, page int"
 READER = '''
@@ -199,13 +198,6 @@ def test_groups_of_long_chains(spark):
     assert (got[0], got[90], len(got)) == (41, 2, 95 - 40 - 1)
 
 
-def test_urls_of_databases(monkeypatch):
-    monkeypatch.delenv("DATABASE_URL", raising=False)
-    assert src.jdbc_url() == src.LOCAL_URL and src.jdbc_url("jdbc:x:y") == "jdbc:x:y"
-    monkeypatch.setenv("DATABASE_URL", "postgresql://h/db")
-    assert src.jdbc_url() == "jdbc:postgresql://h/db"
-
-
 def test_scratch_tables_go(spark):
     from pathlib import Path
 

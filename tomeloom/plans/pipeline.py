@@ -37,7 +37,7 @@ class Book:
 
     @classmethod
     def from_pdf(cls, spark: SparkSession, path: str, **options) -> Book:
-        """All PDF files under path, read by the workers."""
+        """All PDF files under path, read by the workers. (For pages in slices of long files, on paths that pyarrow reads, see sources/pdf.py.)"""
         return cls(sources.pdf_pages(spark, path), sources.pdf_outline(spark, path), sources.pdf_meta(spark, path), **options)
 
     @cached_property

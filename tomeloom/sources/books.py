@@ -1,4 +1,4 @@
-"""Where books come from: the engine's input contract, adapters for the test tables, samples, PDF and JDBC.
+"""Where books come from: the engine's input contract, adapters for the test tables, samples, and PDF files whose outline is needed too (sources/pdf.py reads pages alone, sources/databases.py tables of a database).
 
 Everything downstream takes pages(book_id, page_num, text), toc(book_id, toc_idx, level, title, page) and
 book_meta(book_id, title, author, source_path, total_pages, producer, creator).
@@ -6,8 +6,6 @@ book_meta(book_id, title, author, source_path, total_pages, producer, creator).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,23 +117,3 @@ def pdf_meta(spark: SparkSession, path: str) -> DataFrame:
 
 def parquet_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGES).parquet(path)
-
-
-#: Without DATABASE_URL, a file in the working directory.
-LOCAL_URL = "jdbc:sqlite:local_dev.db"
-
-
-def jdbc_url(url: str | None = None) -> str:
-    """The given url, else DATABASE_URL's as JDBC, else LOCAL_URL."""
-    found = url or os.environ.get("DATABASE_URL") or LOCAL_URL
-    return found if found.startswith("jdbc:") else "jdbc:" + found
-
-
-def jdbc_table(spark: SparkSession, name: str, url: str | None = None, **options) -> DataFrame:
-    """A table of a database."""
-    return spark.read.jdbc(jdbc_url(url), name, properties=options)
-
-
-def jdbc_append(rows: DataFrame, name: str, url: str | None = None, **options) -> None:
-    """Append rows to a table of a database, each partition over its own connection; the driver of the database must be on Spark's class path."""
-    rows.write.jdbc(jdbc_url(url), name, mode="append", properties=options)

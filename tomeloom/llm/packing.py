@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import stored
 from .tokens import encoder
 
@@ -52,6 +53,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
 
 def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian unsigned 32-bit integers) of all pieces."""
+    ship(docs.sparkSession)
 
     def encode(rows):
         import pyarrow as pa
@@ -77,6 +79,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = CA
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """pieces (with a column `length` of 1 to capacity) with sequence_id and offset. The rows are written once before they are dealt."""
+    ship(pieces.sparkSession)
     made = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     names = [c for c in made.columns if c != "row"]
     groups = max(1, -(-made.where(F.col("length") < capacity).count() // group))

@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
 from .common import shared_dir
 from .tokens import encoder
 
@@ -151,6 +152,7 @@ def from_block(block: bytes, first: int = 0, last: int | None = None) -> tuple[n
 
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, partitions: int | None = None, block_ids: int = 1 << 17) -> None:
     """Encode whole texts and write their ids as blocks in ascending doc_id order."""
+    ship(docs.sparkSession)
 
     def encode(rows):
         import pyarrow as pa
@@ -187,6 +189,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1, partitio
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids (little-endian unsigned 32-bit integers) of every document in the files."""
+    ship(spark)
     blocks = spark.read.schema("part long, place long, n_ids long, doc_ids array<long>, block binary").parquet(path)
     sizes = blocks.select("part", "place", "n_ids")
     before_part = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

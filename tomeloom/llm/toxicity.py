@@ -3,7 +3,8 @@
 Features are the presence of a word, of two neighbouring words and of two words with one between them, hashed
 into 2^18 buckets. Per-coordinate rates and L1 sparsity leave a small sorted list of weights, which tasks get
 as a broadcast of bounded size. Labels are learned from at most `sample` rows and
-`sample_bytes` of feature lists: those of least hash of doc_id and text, of each label its share; training runs in numpy on the driver over their feature lists. Scores read whole texts.
+`sample_bytes` of feature lists: those of least hash of doc_id and text, of each label its share, among documents that are there; training runs in numpy on the driver over their feature lists. Scores read whole texts. Models of two thirds of these rows,
+asked about the other third, show from which logit on it pays to call a text toxic; a shift of the bias makes that the score 0.3.
 
 Defined cases: of one doc_id on many rows each counts by itself; null and empty texts are scored by the bias alone; several labels of one doc_id count as
 their maximum, null labels are skipped; without learned rows every score is
@@ -16,7 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, first_rows
+from ..session import ship
+from .common import batches, first_rows, stored
 from .wordvec import K1, K2, K3, mix, words
 
 BITS, PRIOR = 18, -3.0
@@ -72,9 +74,37 @@ def train(rows: list[tuple[int, np.ndarray]], alpha: float = 0.5, beta: float =
     return kept, w[kept].astype(np.float32), float(w[-1])
 
 
+def logits(rows: list[tuple[int, np.ndarray]], model) -> np.ndarray:
+    kept, weight, bias = model
+    table = np.zeros(1 << BITS)
+    table[kept] = weight
+    return np.array([table[ids].sum() + bias for _, ids in rows])
+
+
+def threshold_shift(rows: list[tuple[int, np.ndarray]], at: float = 0.3, price: float = 3.0, folds: int = 3, **options) -> float:
+    """What to add to a logit so that `at` is the score from which it pays to call a text toxic: there the share of toxic rows caught less `price` times
+    the share of clean rows called toxic is largest. Each row is judged by a model of the other folds. 0 without rows of both kinds in each fold."""
+    y = np.array([t for t, _ in rows])
+    fold = np.arange(len(rows)) % folds  # rows come in order of luck
+    if not len(rows) or any(len(np.unique(y[fold == f])) < 2 for f in range(folds)):
+        return 0.0
+    found = np.zeros(len(rows))
+    for f in range(folds):
+        model = train([r for r, k in zip(rows, fold, strict=True) if k != f], **options)
+        found[fold == f] = logits([r for r, k in zip(rows, fold, strict=True) if k == f], model)
+    order = np.argsort(-found, kind="stable")
+    gain = np.cumsum(np.where(y[order] == 1, 1 / (y == 1).sum(), -price / (y == 0).sum()))
+    ends = np.append(found[order][1:] < found[order][:-1], True)  # equal ones fall together
+    best = int(np.flatnonzero(ends)[np.argmax(gain[ends])])
+    below = found[order][best + 1] if best + 1 < len(order) else found[order][best] - 1
+    return float(np.log(at / (1 - at)) - (found[order][best] + below) / 2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 8000, sample_bytes: int = 128 << 20, **options):
     """Learn from rows whose label meets may_learn (a condition on doc_id): at most `sample` of them and sample_bytes of features."""
+    ship(docs.sparkSession)
     known = labels.where(may_learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("y"))
+    known = stored(known.join(docs.select("doc_id").distinct(), "doc_id"), "toxic-labels")  # those that meet a text: ids alone are read
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}  # two rows at most
     n = max(1, sum(counts.values()))
     share = F.create_map(*[F.lit(x) for y, c in (counts or {0: 1}).items() for x in (y, c / n)])[F.col("y")]
@@ -86,11 +116,14 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, sample: int = 800
     found = texts.mapInArrow(features, "y int, luck long, ids binary")
     found = first_rows(found, "y", "luck", sample, F.ceil(share * sample), F.ceil(share * sample_bytes), F.length("ids")).collect()
     rows = sorted((r.luck, r.y, bytes(r.ids)) for r in found)
-    return train([(y, np.frombuffer(ids, "<i4")) for _, y, ids in rows], **options)
+    rows = [(y, np.frombuffer(ids, "<i4")) for _, y, ids in rows]
+    kept, weight, bias = train(rows, **options)
+    return kept, weight, bias + threshold_shift(rows, **options)
 
 
 def score(docs: DataFrame, model, carry: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """The columns of carry, as they are in docs, and the score."""
+    ship(docs.sparkSession)
     kept, weight, bias = model
     sent = docs.sparkSession.sparkContext.broadcast((kept, weight))  # at most 2^18 weights
 

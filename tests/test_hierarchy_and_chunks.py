@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tomeloom.config import DEFAULT
 from tomeloom.operators import chunking as C
-from tomeloom.operators import concepts, dedup, hierarchy, progress, reports, store
+from tomeloom.operators import calls, concepts, dedup, hierarchy, progress, reports, store
 from tomeloom.operators import pages as P
 from tomeloom.plans.pipeline import Book
 
@@ -172,7 +172,7 @@ def test_retries_wait_and_give_up():
         raise ValueError
 
     try:
-        concepts.with_retries(call, DEFAULT.updated(retry_attempts=5), waits.append)("x")
+        calls.with_retries(call, DEFAULT.updated(retry_attempts=5), waits.append)("x")
     except ValueError:
         pass
     assert len(n) == 5 and waits == [1, 2, 4, 4]
@@ -242,7 +242,7 @@ def test_stream_of_pages(spark, tmp_path):
 
 def test_resume_asks_only_what_is_open(spark):
     chunks = spark.createDataFrame([(1, "first text"), (2, "second text")], "chunk_id long, paragraph string")
-    answers = chunks.where("chunk_id = 1").select(concepts.request_key(F.col("paragraph")).alias("request_key"))
+    answers = chunks.where("chunk_id = 1").select(calls.request_key(F.col("paragraph"), concepts.IDEA_PROMPT).alias("request_key"))
     assert [r.chunk_id for r in concepts.not_answered(chunks, answers).collect()] == [2]
     assert concepts.not_answered(chunks, answers, config=DEFAULT.updated(model_version="other")).count() == 2
     times = spark.sql("SELECT 1 AS book_id, 'processing' AS status, timestamp '2024-01-01 10:00:00' AS last_attempt_at UNION ALL SELECT 2, 'processing', timestamp '2024-01-01 10:50:00'")

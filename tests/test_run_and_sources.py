@@ -122,6 +122,16 @@ def test_one_call_that_cuts_and_names(spark):
     assert [len(r.chunk) for r in chunking.chunks_greedy_merge(long, config=DEFAULT.updated(merge_max=DEFAULT.big_chunk)).collect()] == [3008, 2406]
 
 
+def test_equal_rows_are_named_apart(spark):
+    def factory():
+        return lambda prompt, text: json.dumps({"paragraphs": [{"text": w, "concept": w[0], "section_title": t} for w, t in zip(text.split(), [text.split()[0].title(), None], strict=False)]})
+
+    rows = spark.createDataFrame([(1, "first one"), (1, "second two"), (1, "second two")], "id int, content string")
+    got = sorted((r.paragraph_index, r.paragraph, r.section_title) for r in concepts.split_and_name(rows, factory, config=DEFAULT.updated(merge_min=1)).collect())
+    assert got == [(0, "first", "First"), (0, "second", "Second"), (0, "second", "Second"), (1, "one", "First"), (1, "two", "Second"), (1, "two", "Second")]
+    assert concepts.split_and_name(rows.select("content"), factory, config=DEFAULT.updated(merge_min=1)).where("paragraph_index = 1").count() == 3
+
+
 def test_result_files(spark, tmp_path):
     reports.write_result_json(plain_book(spark).ideas, str(tmp_path / "json"))
     rows = spark.read.text(str(tmp_path / "json")).collect()
@@ -179,9 +189,10 @@ def test_levels_of_an_outline(spark):
     got = {r.toc_idx: r for r in hierarchy.nested(rows([1, 3, 1_000_000, 3, None, 1]), sizes).collect()}
     assert {i: r.parent_idx for i, r in got.items()} == {0: None, 1: 0, 2: 1, 3: 0, 5: None}
     assert {i: r.term for i, r in got.items()} == {0: 5, 1: 3, 2: 3, 3: 5, 5: None}
-    for levels in ([0, 1], range(1, hierarchy.MOST_LEVELS + 2)):
-        with pytest.raises(ValueError, match="levels"):
-            hierarchy.nested(rows(levels), sizes)
+    many = range(1, hierarchy.MOST_LEVELS + 2)
+    both = rows([0, 1]).union(rows([1, 2]).withColumn("book_id", F.lit(2))).union(rows(many).withColumn("book_id", F.lit(3))).union(rows([3, 1, 90]).withColumn("book_id", F.lit(4)))
+    assert sorted({(r.book_id, r.toc_idx) for r in hierarchy.nested(both, sizes).collect()}) == [(2, 0), (2, 1), (4, 1), (4, 2)]
+    assert {r.book_id: r.error for r in hierarchy.bad_outlines(both).collect()} == {1: "a level below 1", 3: "over 64 levels"}
 
 
 def test_vectors_of_odd_shape(spark):

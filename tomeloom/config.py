@@ -19,6 +19,8 @@ class EngineConfig:
     dehyphenate_join: bool = False  # True: a word that a page break cuts is joined again
     retry_delays: tuple[float, ...] = (1, 2, 4)
     retry_attempts: int = 3
+    model_calls: int = 8  # at once in a task
+    calls_per_second: float | None = None  # of a task
     stuck_minutes: int = 30
     model_version: str = "rule-1"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import SPACES, marker_position, strip, truncate
 from ..schemas import SPLIT_JSON, key_id
+from .calls import replies
 
 PIECE = "array<struct<text:string,start_char:int,end_char:int>>"
 
@@ -81,14 +82,7 @@ def split_paragraphs(rows: DataFrame, splitter: Callable[[str], str] | None = No
         rows = rows.withColumn("reply", F.lit(None).cast("string"))
     else:
         rows = rows.withColumn("ask", F.when(~short, truncate(F.col(text), config.truncate_at)))
-
-        def call(batches):
-            for pdf in batches:
-                pdf["reply"] = [None if t is None else splitter(t) for t in pdf.pop("ask")]
-                yield pdf
-
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("ask").schema)
-        rows = rows.mapInPandas(call, f"{schema}, reply string")
+        rows = replies(rows, "ask", lambda: splitter, config).drop("ask", "error")  # a failed call leads to the rule split
     said = F.from_json("reply", SPLIT_JSON)["paragraphs"]
     rows = rows.withColumn("said", F.filter(said, lambda p: F.length(p.text) > 0))
     body = F.col(text)

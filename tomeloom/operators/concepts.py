@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 from typing import Protocol
 
@@ -12,6 +11,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import strip
 from ..schemas import CHUNK_JSON, IDEA_JSON, SPLIT_JSON
+from ..session import stored
+from .calls import ask_once, replies, request_key
 from .chunking import chunks_greedy_merge
 
 #: Own prompts. What a model is asked for one paragraph:
@@ -63,86 +64,42 @@ class ConceptModel(Protocol):
     def __call__(self, text: str) -> str: ...
 
 
-def with_retries(call: Callable[[str], str], config: EngineConfig = DEFAULT, wait=time.sleep) -> Callable[[str], str]:
-    """call, tried again after each of the delays (the last one repeats); the last error is raised."""
-
-    def tried(text: str) -> str:
-        for i in range(config.retry_attempts):
-            try:
-                return call(text)
-            except Exception:
-                if i + 1 == config.retry_attempts:
-                    raise
-                wait(config.retry_delays[min(i, len(config.retry_delays) - 1)])
-
-    return tried
-
-
 def rule_concept(text: Column) -> Column:
     """A stand-in for a model: the first capitalised ASCII word, or an empty concept."""
     return F.regexp_extract(text, "([A-Z][a-z]+)", 1)
 
 
-def concept_extract(chunks: DataFrame, factory: Callable[[], ConceptModel] | None = None, text: str = "paragraph", config: EngineConfig = DEFAULT) -> DataFrame:
+def concept_extract(chunks: DataFrame, factory: Callable[[], ConceptModel] | None = None, text: str = "paragraph", config: EngineConfig = DEFAULT, answers: str | None = None) -> DataFrame:
     """chunks with concept (null for chunks of under min_concept_text characters) and error (what the model raised or mis-said).
 
-    Short chunks never reach the model. Store the result before using it twice.
+    Short chunks never reach the model. With answers, a path, what was answered before is taken from there and new answers go there; without, store the result before using it twice.
     """
     long = F.length(strip(F.col(text))) >= config.min_concept_text
     if factory is None:
         return chunks.withColumn("concept", F.when(long, rule_concept(F.col(text)))).withColumn("error", F.lit(None).cast("string"))
     asked = chunks.withColumn("ask", F.when(long, F.col(text)))
-
-    def call(batches):
-        model = with_retries(factory(), config)
-        for pdf in batches:
-            replies, errors = [], []
-            for t in pdf.pop("ask"):
-                reply = error = None
-                if t is not None:
-                    try:
-                        reply = model(t)
-                    except Exception as e:  # one row's failure stays that row's
-                        error = f"{type(e).__name__}: {e}"
-                replies.append(reply)
-                errors.append(error)
-            yield pdf.assign(reply=replies, error=errors)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema)
-    said = asked.mapInPandas(call, f"{schema}, reply string, error string")
+    said = ask_once(asked, "ask", IDEA_PROMPT, factory, answers, config) if answers else replies(asked, "ask", factory, config)
     concept = F.from_json("reply", IDEA_JSON)["concept"]
     bad = F.col("reply").isNotNull() & concept.isNull()
-    return said.withColumn("concept", concept).withColumn("error", F.when(bad, "no concept in the reply").otherwise(F.col("error"))).drop("reply")
+    return said.drop("ask").withColumn("concept", concept).withColumn("error", F.when(bad, "no concept in the reply").otherwise(F.col("error"))).drop("reply")
 
 
 def split_and_name(rows: DataFrame, factory: Callable[[], ChatModel], text: str = "content", config: EngineConfig = DEFAULT) -> DataFrame:
     """rows without text, with paragraph_index, paragraph, concept, section_title and error: large chunks (big_chunk characters), each cut and named in one call.
 
     A chunk whose reply can't be read is one paragraph without a concept, and error says so. Paragraphs without a section title take the one before in
-    the row. The model is called once for each chunk; store the result before using it twice.
+    the row; rows that are equal in all other columns are rows of their own. The model is called once for each chunk; store the result before using it twice.
     """
-    others = [c for c in rows.columns if c != text]
+    others, rows = [c for c in rows.columns if c != text], rows.withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows, "rows-to-name")  # so that a row keeps its number
     asked = chunks_greedy_merge(rows, text, config.updated(merge_max=config.big_chunk)).drop("para_start", "para_end").withColumnRenamed("paragraph_index", "chunk_index")
-
-    def call(batches):
-        model = with_retries(Prompted(factory, SPLIT_AND_NAME_PROMPT), config)
-        for pdf in batches:
-            said = []
-            for t in pdf["chunk"]:
-                try:
-                    said.append((model(t), None))
-                except Exception as e:  # one chunk's failure stays that chunk's
-                    said.append((None, f"{type(e).__name__}: {e}"))
-            yield pdf.assign(reply=[r for r, _ in said], error=[e for _, e in said])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in asked.schema)
-    found = asked.mapInPandas(call, f"{schema}, reply string, error string")
+    found = replies(asked, "chunk", lambda: Prompted(factory, SPLIT_AND_NAME_PROMPT), config)
     said = F.filter(F.from_json("reply", CHUNK_JSON)["paragraphs"], lambda p: F.length(p.text) > 0)
     whole = F.array(F.struct(F.col("chunk").alias("text"), F.lit(None).cast("string").alias("concept"), F.lit(None).cast("string").alias("section_title")))
     read = F.coalesce(F.size(said) > 0, F.lit(False))
     found = found.withColumn("error", F.when(~read, F.coalesce("error", F.lit("no paragraphs in the reply"))))
-    each = found.select(*others, "chunk_index", "error", F.posexplode(F.when(read, said).otherwise(whole)).alias("part", "p"))
-    in_row = Window.partitionBy(*others).orderBy("chunk_index", "part") if others else Window.orderBy("chunk_index", "part")
+    each = found.select(*others, "row", "chunk_index", "error", F.posexplode(F.when(read, said).otherwise(whole)).alias("part", "p"))
+    in_row = Window.partitionBy("row").orderBy("chunk_index", "part")
     title = F.last(F.when(F.lower("p.section_title") != "null", F.col("p.section_title")), ignorenulls=True).over(in_row.rowsBetween(Window.unboundedPreceding, 0))
     return each.select(*others, (F.row_number().over(in_row) - 1).alias("paragraph_index"), F.col("p.text").alias("paragraph"), F.col("p.concept").alias("concept"), title.alias("section_title"), "error")
 
@@ -153,11 +110,6 @@ def parse_replies(rows: DataFrame, reply: str = "reply") -> DataFrame:
     return rows.withColumns({"concept": F.from_json(reply, IDEA_JSON)["concept"], "n_paragraphs": F.when(split.isNotNull(), F.size(split)), "n_pairs": F.when(pairs.isNotNull(), F.size(F.filter(pairs, lambda p: p.concept.isNotNull())))})
 
 
-def request_key(text: Column, config: EngineConfig = DEFAULT) -> Column:
-    """What a model's answer depends on, as a hash: its version, the prompt and the text."""
-    return F.sha2(F.concat_ws("\u0000", F.lit(config.model_version), F.lit(IDEA_PROMPT), text), 256)
-
-
 def not_answered(chunks: DataFrame, answers: DataFrame, text: str = "paragraph", config: EngineConfig = DEFAULT) -> DataFrame:
     """chunks whose request_key is not among answers (request_key): what a run that goes on has still to ask."""
-    return chunks.withColumn("request_key", request_key(F.col(text), config)).join(answers.select("request_key").distinct(), "request_key", "left_anti").select(*chunks.columns)
+    return chunks.withColumn("request_key", request_key(F.col(text), IDEA_PROMPT, config)).join(answers.select("request_key").distinct(), "request_key", "left_anti").select(*chunks.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
 from ..functions.text import is_front_matter
+from ..session import stored
 from .pages import normalized_pages, positions
 
 BUCKET = 1 << 14
@@ -26,29 +27,38 @@ def text_sizes(pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     return normalized_pages(pages, config).groupBy("book_id").agg(F.max("end_char").alias("size"))
 
 
+def with_depth(toc: DataFrame) -> DataFrame:
+    """Entries that have a level, with depth (the rank of their level in their book), and the book's least level and largest depth."""
+    book = Window.partitionBy("book_id")
+    ranked = toc.where("level is not null").withColumn("depth", F.dense_rank().over(book.orderBy("level")))
+    return ranked.withColumns({"least": F.min("level").over(book), "deepest": F.max("depth").over(book)})
+
+
+def bad_outlines(toc: DataFrame) -> DataFrame:
+    """book_id and error of outlines with a level below 1, or of more than MOST_LEVELS distinct levels: such books have no tree."""
+    bad = with_depth(toc).where((F.col("least") < 1) | (F.col("deepest") > MOST_LEVELS)).groupBy("book_id").agg(F.min("least").alias("least"))
+    return bad.select("book_id", F.when(F.col("least") < 1, "a level below 1").otherwise(f"over {MOST_LEVELS} levels").alias("error"))
+
+
 def nested(toc: DataFrame, sizes: DataFrame) -> DataFrame:
     """Each entry under a level 1: book_id, toc_idx, level, title, page, term (next entry of its level or above), anc (its
     enclosing entries from the outside, then itself: idx and title), parent_idx, start_char, end_char, is_leaf, chapter_number.
 
     An entry's enclosing ones are, for each smaller level l, the last entry before it of level l or less. So one
-    sort of a book gives all: running maxima for each level that occurs, none of them a join of entries with entries. An
-    outline of more than MOST_LEVELS distinct levels, or with one below 1, is a ValueError; entries without a level are left out.
+    sort of a book gives all: running maxima for each depth, none of them a join of entries with entries. Levels are ranked in their own book, whatever others have.
+    Entries without a level are left out, and the books of bad_outlines().
     """
-    toc = toc.where("level is not null")
-    levels = sorted(r.level for r in toc.select("level").distinct().limit(MOST_LEVELS + 1).collect())
-    if len(levels) > MOST_LEVELS or levels and levels[0] < 1:
-        raise ValueError(f"levels of an outline go from 1, and are {MOST_LEVELS} at most")
-    levels = levels or [1]
+    toc = stored(with_depth(toc).where((F.col("least") >= 1) & (F.col("deepest") <= MOST_LEVELS)).drop("least"), "outline")
+    levels = list(range(1, (toc.agg(F.max("deepest")).first()[0] or 1) + 1))
     key = Window.partitionBy("book_id").orderBy("toc_idx")
     back = Window.partitionBy("book_id").orderBy(F.desc("toc_idx")).rowsBetween(Window.unboundedPreceding, -1)
     own = F.struct(F.col("toc_idx").alias("idx"), "title", "pos", "term", "until")
     rows = toc.join(sizes, "book_id", "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    next_ = [F.min(F.when(F.col("level") <= v, F.struct(F.col("toc_idx").alias("idx"), "pos"))).over(back) for v in levels]
-    nth = F.array_position(F.array(*[F.lit(v) for v in levels]), F.col("level").cast("int")).cast("int") - 1
-    rows = rows.withColumn("next", F.get(F.array(*next_), nth))
+    next_ = [F.min(F.when(F.col("depth") <= v, F.struct(F.col("toc_idx").alias("idx"), "pos"))).over(back) for v in levels]
+    rows = rows.withColumn("next", F.get(F.array(*next_), F.col("depth") - 1))
     rows = rows.withColumn("term", F.col("next.idx")).withColumn("until", F.coalesce("next.pos", "size"))
     fore = key.rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.when(F.col("level") > v, F.max(F.when(F.col("level") <= v, own)).over(fore)) for v in levels[:-1]]
+    last = [F.when(F.col("depth") > v, F.max(F.when(F.col("depth") <= v, own)).over(fore)) for v in levels[:-1]]
     rows = rows.withColumn("anc", F.array_sort(F.array_distinct(F.array_compact(F.array(*last, own)))))
     rows = rows.withColumn("is_leaf", F.coalesce(F.lead("level").over(key) <= F.col("level"), F.lit(True)))
     rows = rows.withColumn("chapter_number", F.sum((F.col("level") == 1).cast("int")).over(key.rowsBetween(Window.unboundedPreceding, 0)))

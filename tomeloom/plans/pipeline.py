@@ -27,6 +27,7 @@ class Book:
     config: EngineConfig = DEFAULT
     splitter: object = None
     concept_model: object = None
+    answers: str | None = None  # a path for what the concept model says, so that later runs don't ask it again
     chat: object = None  # a factory of chat models: asked with the package's prompts where splitter and concept_model are unset
 
     def __post_init__(self):
@@ -66,7 +67,7 @@ class Book:
     @cached_property
     def extracted(self) -> DataFrame:
         """Chunks with their concept; stored where a model gives it."""
-        made = concepts.concept_extract(self.chunks, self.concept_model, config=self.config)
+        made = concepts.concept_extract(self.chunks, self.concept_model, config=self.config, answers=self.answers)
         return stored(made, "ideas") if self.concept_model else made
 
     @cached_property
@@ -80,8 +81,9 @@ class Book:
         return dedup.dedup_within_book(self.extracted)
 
     def without_toc(self) -> DataFrame:
-        """Books that have no outline, with the error that stops them."""
-        return self.meta.join(self.toc.select("book_id").distinct(), "book_id", "left_anti").select("book_id", F.lit("no outline").alias("error"))
+        """Books that have no outline, or one that can't be read, with the error that stops them."""
+        none = self.meta.join(self.toc.select("book_id").distinct(), "book_id", "left_anti").select("book_id", F.lit("no outline").alias("error"))
+        return none.unionByName(hierarchy.bad_outlines(self.toc))
 
     @cached_property
     def books(self) -> DataFrame:
@@ -181,7 +183,7 @@ class Book:
             now = state()
             leaves = self.leaves.join(mine.select("book_id", "chapter_number"), ["book_id", "chapter_number"], "left_semi")
             chunks = stored(chunking.chunks_build(leaves, self.splitter, self.config), "chunks")
-            made = stored(concepts.concept_extract(chunks, self.concept_model, config=self.config), "ideas")
+            made = stored(concepts.concept_extract(chunks, self.concept_model, config=self.config, answers=self.answers), "ideas")
             done = stored(self.outcomes(made).join(mine.select("book_id", "chapter_id"), ["book_id", "chapter_id"], "left_semi"), "outcomes")
             last_try = now.where(F.col("attempt_count") >= self.config.retry_attempts).select("book_id", "chapter_id")
             keep = done.where("status = 'completed'").select("book_id", "chapter_id").union(done.where("status = 'failed'").select("book_id", "chapter_id").join(last_try, ["book_id", "chapter_id"], "left_semi"))

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
+from ..functions.prefix import is_small, running
 from ..functions.text import SPACES, marker_position, strip, truncate
 from ..schemas import SPLIT_JSON, key_id
+from ..session import stored
 from .calls import replies
 
 PIECE = "array<struct<text:string,start_char:int,end_char:int>>"
@@ -137,14 +139,29 @@ def eligible_sections(leaves: DataFrame, config: EngineConfig = DEFAULT) -> Data
     return leaves.where(F.length(strip(F.col("content"))) >= config.min_section)
 
 
+def placed_by_sections(parts: DataFrame) -> DataFrame:
+    """parts with each paragraph's index in its book and chapter: its section's place, of a running count over sections, and its own in the section."""
+    parts = stored(parts, "paragraphs")
+    sections = stored(parts.groupBy("book_id", "chapter_number", "toc_idx").agg(F.count("*").alias("n")), "section-sizes")
+    sections = running(sections, ["book_id"], "toc_idx", {"in_book": ("sum_before", F.col("n"))})
+    first = sections.groupBy("book_id", "chapter_number").agg(F.min("in_book").alias("first"))
+    sections = sections.join(first, ["book_id", "chapter_number"]).select("book_id", "toc_idx", "in_book", (F.col("in_book") - F.col("first")).alias("in_chapter"))
+    placed = parts.join(sections, ["book_id", "toc_idx"])
+    index = {"book_paragraph_index": "in_book", "chapter_paragraph_index": "in_chapter"}
+    return placed.withColumns({c: (F.col(at) + F.col("paragraph_index")).cast("int") for c, at in index.items()}).select(*parts.columns, *index)
+
+
 def chunks_build(leaves: DataFrame, splitter=None, config: EngineConfig = DEFAULT) -> DataFrame:
     """Chunks of eligible leaves in document order, with the index in the section, chapter and book, and a stable chunk_id."""
     parts = split_paragraphs(eligible_sections(leaves, config), splitter, "content", config)
-    order = ["chapter_number", "toc_idx", "paragraph_index"]
-    book = F.row_number().over(Window.partitionBy("book_id").orderBy(*order)) - 1
-    chapter = F.row_number().over(Window.partitionBy("book_id", "chapter_number").orderBy("toc_idx", "paragraph_index")) - 1
-    parts = parts.withColumns({"book_paragraph_index": book, "chapter_paragraph_index": chapter}).withColumnRenamed("paragraph_index", "section_paragraph_index")
-    return parts.withColumn("chunk_id", key_id("book_id", "toc_idx", "section_paragraph_index"))
+    if is_small(leaves):  # few sections: windows over their paragraphs
+        order, book = ["chapter_number", "toc_idx", "paragraph_index"], Window.partitionBy("book_id")
+        at = {"book_paragraph_index": book.orderBy(*order), "chapter_paragraph_index": Window.partitionBy("book_id", "chapter_number").orderBy("toc_idx", "paragraph_index")}
+        placed = parts.withColumns({c: F.row_number().over(w) - 1 for c, w in at.items()})
+    else:
+        placed = placed_by_sections(parts)
+    placed = placed.withColumnRenamed("paragraph_index", "section_paragraph_index")
+    return placed.withColumn("chunk_id", key_id("book_id", "toc_idx", "section_paragraph_index"))
 
 
 def chunk_quality(chunks: DataFrame, leaves: DataFrame, low: int = 100, high: int = 1200) -> DataFrame:

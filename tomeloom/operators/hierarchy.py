@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
+from ..functions.prefix import is_small, running
 from ..functions.text import is_front_matter
 from ..session import stored
 from .pages import normalized_pages, positions
@@ -27,11 +28,14 @@ def text_sizes(pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
     return normalized_pages(pages, config).groupBy("book_id").agg(F.max("end_char").alias("size"))
 
 
-def with_depth(toc: DataFrame) -> DataFrame:
+def with_depth(toc: DataFrame, small: bool = False) -> DataFrame:
     """Entries that have a level, with depth (the rank of their level in their book), and the book's least level and largest depth."""
-    book = Window.partitionBy("book_id")
-    ranked = toc.where("level is not null").withColumn("depth", F.dense_rank().over(book.orderBy("level")))
-    return ranked.withColumns({"least": F.min("level").over(book), "deepest": F.max("depth").over(book)})
+    if small:
+        book, toc = Window.partitionBy("book_id"), toc.where("level is not null").withColumn("depth", F.dense_rank().over(Window.partitionBy("book_id").orderBy("level")))
+        return toc.withColumns({"least": F.min("level").over(book), "deepest": F.max("depth").over(book)})
+    book, levels = Window.partitionBy("b"), toc.where("level is not null").select(F.col("book_id").alias("b"), F.col("level").alias("l")).distinct()
+    ranked = levels.withColumns({"depth": F.row_number().over(book.orderBy("l")), "least": F.min("l").over(book), "deepest": F.count("*").over(book).cast("int")})
+    return toc.join(stored(ranked, "levels"), F.col("book_id").eqNullSafe(F.col("b")) & (F.col("level") == F.col("l"))).drop("b", "l")
 
 
 def bad_outlines(toc: DataFrame) -> DataFrame:
@@ -44,25 +48,29 @@ def nested(toc: DataFrame, sizes: DataFrame) -> DataFrame:
     """Each entry under a level 1: book_id, toc_idx, level, title, page, term (next entry of its level or above), anc (its
     enclosing entries from the outside, then itself: idx and title), parent_idx, start_char, end_char, is_leaf, chapter_number.
 
-    An entry's enclosing ones are, for each smaller level l, the last entry before it of level l or less. So one
-    sort of a book gives all: running maxima for each depth, none of them a join of entries with entries. Levels are ranked in their own book, whatever others have.
+    An entry's enclosing ones are, for each smaller level l, the last entry before it of level l or less. So running
+    maxima for each depth give all, none of them a join of entries with entries; a long outline is dealt into blocks. Levels are ranked in their own book, whatever others have.
     Entries without a level are left out, and the books of bad_outlines().
     """
-    toc = stored(with_depth(toc).where((F.col("least") >= 1) & (F.col("deepest") <= MOST_LEVELS)).drop("least"), "outline")
+    small = is_small(toc)
+    toc = with_depth(toc, small).where((F.col("least") >= 1) & (F.col("deepest") <= MOST_LEVELS)).drop("least")
+    toc = toc if small else stored(toc, "outline")
     levels = list(range(1, (toc.agg(F.max("deepest")).first()[0] or 1) + 1))
-    key = Window.partitionBy("book_id").orderBy("toc_idx")
-    back = Window.partitionBy("book_id").orderBy(F.desc("toc_idx")).rowsBetween(Window.unboundedPreceding, -1)
     own = F.struct(F.col("toc_idx").alias("idx"), "title", "pos", "term", "until")
     rows = toc.join(sizes, "book_id", "left").withColumn("size", F.coalesce("size", F.lit(0)))
-    next_ = [F.min(F.when(F.col("depth") <= v, F.struct(F.col("toc_idx").alias("idx"), "pos"))).over(back) for v in levels]
-    rows = rows.withColumn("next", F.get(F.array(*next_), F.col("depth") - 1))
+    place = F.struct(F.col("toc_idx").alias("idx"), "pos")
+    after = {f"next{v}": ("min_after", F.when(F.col("depth") <= v, place)) for v in levels}
+    more = {"next_level": ("next", F.col("level")), "chapters": ("sum_before", (F.col("level") == 1).cast("int"))}
+    rows = running(rows, ["book_id"], "toc_idx", after | more, small=small)
+    rows = rows if small else stored(rows, "outline-ends")
+    rows = rows.withColumn("next", F.get(F.array(*after), F.col("depth") - 1)).drop(*after)
     rows = rows.withColumn("term", F.col("next.idx")).withColumn("until", F.coalesce("next.pos", "size"))
-    fore = key.rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.when(F.col("depth") > v, F.max(F.when(F.col("depth") <= v, own)).over(fore)) for v in levels[:-1]]
-    rows = rows.withColumn("anc", F.array_sort(F.array_distinct(F.array_compact(F.array(*last, own)))))
-    rows = rows.withColumn("is_leaf", F.coalesce(F.lead("level").over(key) <= F.col("level"), F.lit(True)))
-    rows = rows.withColumn("chapter_number", F.sum((F.col("level") == 1).cast("int")).over(key.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.where("chapter_number > 0")
+    before = {f"last{v}": ("max_before", F.when(F.col("depth") <= v, own)) for v in levels[:-1]}
+    rows = running(rows, ["book_id"], "toc_idx", before, small=small) if before else rows
+    above = [F.when(F.col("depth") > v, F.col(f"last{v}")) for v in levels[:-1]]
+    rows = rows.withColumn("anc", F.array_sort(F.array_distinct(F.array_compact(F.array(*above, own)))))
+    rows = rows.withColumn("is_leaf", F.coalesce(F.col("next_level") <= F.col("level"), F.lit(True)))
+    rows = rows.withColumn("chapter_number", F.col("chapters") + (F.col("level") == 1).cast("int")).where("chapter_number > 0")
     start, end = F.array_max(F.transform("anc", lambda a: a.pos)), F.array_min(F.transform("anc", lambda a: a.until))
     parent = F.when(F.size("anc") > 1, F.get("anc", F.size("anc") - 2)["idx"])
     return rows.select("book_id", "toc_idx", "level", "title", "page", "term", "anc", parent.alias("parent_idx"), start.alias("start_char"), end.alias("end_char"), "is_leaf", F.col("chapter_number").cast("int").alias("chapter_number"))

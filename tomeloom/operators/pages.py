@@ -6,12 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
+from ..functions.prefix import NONE, is_small, running
 from ..functions.text import collapse, strip
-
-
-def so_far():
-    """A book's pages up to this one."""
-    return Window.partitionBy("book_id").orderBy("page_num").rowsBetween(Window.unboundedPreceding, 0)
+from ..session import stored
 
 
 def page_lookup(pages: DataFrame, book_id: int, page_num: int) -> DataFrame:
@@ -34,8 +31,8 @@ def page_count(pages: DataFrame) -> DataFrame:
 
 def page_positions(pages: DataFrame) -> DataFrame:
     """Offsets in the raw text: each page is followed by one line feed."""
-    end = F.sum(F.length("text") + 1).over(so_far())
-    return pages.select("book_id", "page_num", (end - F.length("text") - 1).alias("start_char"), end.alias("end_char"), "text")
+    found = running(pages.select("book_id", "page_num", "text"), ["book_id"], "page_num", {"start_char": ("sum_before", F.length("text") + 1)}, small=is_small(pages))
+    return found.select("book_id", "page_num", "start_char", (F.col("start_char") + F.length("text") + 1).alias("end_char"), "text")
 
 
 def normalized_pages(pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFrame:
@@ -45,17 +42,22 @@ def normalized_pages(pages: DataFrame, config: EngineConfig = DEFAULT) -> DataFr
     another page with text follows. glue is what stands after the page. Blank pages start where the next text would.
     """
     flat = pages.select("book_id", "page_num", collapse(strip(F.coalesce("text", F.lit("")))).alias("text"))
-    later = Window.partitionBy("book_id").orderBy(F.desc("page_num")).rowsBetween(Window.unboundedPreceding, -1)
-    flat = flat.withColumn("more", F.coalesce(F.max(F.col("text") != "").over(later), F.lit(False)))
+    small, shown = is_small(pages), F.when(F.col("text") != "", F.coalesce(F.col("page_num").cast("long"), F.lit(NONE)))
+    if small:
+        flat = flat.withColumn("last_shown", F.max(shown).over(Window.partitionBy("book_id")))
+    else:
+        last = flat.groupBy(F.col("book_id").alias("b")).agg(F.max(shown).alias("last_shown"))
+        flat = flat.join(stored(last, "last-pages"), F.col("book_id").eqNullSafe(F.col("b")))
+    flat = flat.withColumn("more", F.coalesce(F.coalesce(F.col("page_num").cast("long"), F.lit(NONE)) < F.col("last_shown"), F.lit(False)))
     hyphen = F.col("more") & F.col("text").endswith("-")
     flat = flat.withColumn("hyphen", hyphen & (F.col("text") != ""))
     flat = flat.withColumn("text", F.when(F.col("hyphen"), F.expr("left(text, length(text) - 1)")).otherwise(F.col("text")))
     joined = F.when(F.col("hyphen"), F.lit("")).otherwise(F.lit("\n\n")) if config.dehyphenate_join else F.lit("\n\n")
     shown = (F.col("text") != "") | F.col("hyphen")
-    flat = flat.withColumn("glue", F.when(F.col("more") & shown, joined).otherwise(F.lit("")))
-    end = F.sum(F.length("text") + F.length("glue")).over(so_far())
-    flat = flat.withColumn("end_char", end)
-    return flat.select("book_id", "page_num", "text", "glue", (F.col("end_char") - F.length("text") - F.length("glue")).alias("start_char"), "end_char")
+    flat = flat.select("book_id", "page_num", "text", F.when(F.col("more") & shown, joined).otherwise(F.lit("")).alias("glue"))
+    size = F.length("text") + F.length("glue")
+    found = running(flat, ["book_id"], "page_num", {"start_char": ("sum_before", size)}, small=small)
+    return found.select("book_id", "page_num", "text", "glue", "start_char", (F.col("start_char") + size).alias("end_char"))
 
 
 def book_text(pages: DataFrame, normalize: bool = True, config: EngineConfig = DEFAULT) -> DataFrame:

@@ -525,11 +525,9 @@ def stored_after_delete(spark, d):
 
 @query
 def resumed_run(spark, d):
-    """Key ideas saved by a run that was stopped after a step and started again."""
-    path, b = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", book(spark, d)
-    halves = Book(b.pages.where("book_id % 2 = 0"), b.raw_toc.where("book_id % 2 = 0"), b.raw_meta.where("book_id % 2 = 0"))
-    halves.resume(path, buckets=BUCKETS)
-    b.resume(path)
+    """Key ideas saved by a run that marks its chapters' progress and goes by steps."""
+    path = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    book(spark, d).resume(path, buckets=BUCKETS)
     s = Store(spark, path)
     chunks = s.table("paragraph_chunks").select(F.col("id").alias("chunk_id"), "paragraph_index")
     return s.table("key_ideas").join(chunks, "chunk_id").select("book_id", "paragraph_index", "core_idea_text")

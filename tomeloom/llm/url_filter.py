@@ -6,8 +6,8 @@ the domain it belongs to. Hosts with pages that an allow rule fits are trusted s
 a block rule are blocked seeds, each in the share of their pages. Personalised PageRank carries trust
 along the edges, and distrust against them; a host is blocked where its distrust exceeds its trust and `least`.
 
-Edges are counted by pair of hosts before anything else is shuffled, each round is one join and one
-aggregate, and every fourth round is written to the shared folder. Defined cases: a null url or one without
+Edges are counted by pair of hosts before anything else is shuffled; each round is one join and one
+aggregate, written to the shared folder each time, or every fourth time in graphs of up to FEW_EDGES edges, which fit a task. Defined cases: a null url or one without
 `://` has empty host and path, fits no rule and is allowed (as are hosts that nothing reaches); null html has no links;
 rows that repeat are judged each; extra columns are ignored.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, stored
 
+FEW_EDGES = 1 << 20
 #: (host, path prefix, verdict)
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -49,7 +50,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     dst = split_url(F.regexp_replace("url", "^//", "http://"))[0]
     link = link.select("src", dst.alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
     names = pages.select("host").distinct().union(link.select("dst")).distinct().where("host <> ''")
-    up = names.select("host", F.expr("filter(transform(sequence(1, size(split(host, '[.]'))), i -> array_join(slice(split(host, '[.]'), i, 99), '.')), x -> size(split(x, '[.]')) >= 2)").alias("ups"))
+    up = names.select("host", F.split("host", "[.]").alias("labels"))
+    up = up.select("host", F.expr("transform(sequence(1, greatest(size(labels) - 1, 1)), i -> array_join(slice(labels, i, size(labels)), '.'))").alias("ups"))
     pairs = up.where("size(ups) > 1").select(F.explode(F.expr("transform(sequence(0, size(ups) - 2), i -> struct(ups[i] as a, ups[i + 1] as b))")).alias("x")).select("x.a", "x.b").distinct()
     tree = pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")).union(pairs.select("b", "a")).withColumn("n", F.lit(1).cast("long"))
     return link.union(tree).groupBy("src", "dst").agg(F.sum("n").alias("n"))
@@ -57,18 +59,19 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = 12, damping: float = 0.85) -> DataFrame:
     """(host, trust, distrust). seeds: (host, trust, distrust), each from 0 to 1."""
-    out = edges.groupBy("src").agg(F.sum("n").alias("all"))
-    into = edges.groupBy("dst").agg(F.sum("n").alias("all"))
+    sums = [edges.groupBy(end).agg(F.sum("n").alias("all")) for end in ("src", "dst")]
+    out, into = sums if edges.count() <= FEW_EDGES else [stored(x, "host-sums") for x in sums]
     steps = edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("w"), F.lit("trust").alias("kind"))
     back = edges.join(into, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("n") / F.col("all"), F.lit("distrust"))
     steps = stored(steps.union(back), "host-steps")
     base = seeds.select("host", F.explode(F.create_map(F.lit("trust"), "trust", F.lit("distrust"), "distrust")).alias("kind", "seed")).where("seed > 0")
     base = stored(base.select("kind", "host", (F.col("seed") * (1 - damping)).alias("rank")), "host-seeds")
     rank = base
+    every = 4 if steps.count() <= FEW_EDGES else 1  # ranks that are written let Spark split the next join at a host of very many edges
     for i in range(rounds):
         moved = rank.withColumnRenamed("host", "src").join(steps, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("rank") * F.col("w") * damping).alias("rank"))
         rank = moved.union(base).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if i % 4 == 3:
+        if i % every == every - 1:
             rank = stored(rank, "host-ranks")
     of = lambda kind: F.coalesce(F.round(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), 9), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(of("trust"), of("distrust"))

@@ -9,6 +9,7 @@ from dataclasses import dataclass, fields, replace
 class EngineConfig:
     min_section: int = 100  # shorter sections (stripped) are skipped, or one chunk
     truncate_at: int = 10_000  # text for a model, 80 % from the front
+    align_pieces: bool = False  # True: a model's pieces are aligned with the text, else placed by their markers
     min_paragraph: int = 50  # rule split
     merge_min: int = 100  # greedy merge: a shorter rest is dropped
     merge_max: int = 1500  # greedy merge: a buffer of so many characters is a chunk

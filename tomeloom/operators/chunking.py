@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, EngineConfig
+from ..functions.align import aligned_pieces
 from ..functions.prefix import is_small, running
 from ..functions.text import SPACES, marker_position, strip, truncate
 from ..schemas import SPLIT_JSON, key_id
@@ -75,6 +76,8 @@ def split_paragraphs(rows: DataFrame, splitter: Callable[[str], str] | None = No
 
     A text of under min_section characters (stripped) is one paragraph; an empty one has none. No JSON, no paragraph or
     no splitter leads to the rule split of the whole text. method says which: whole, llm or rule; position_exact, whether the marker was found as it is.
+    With config.align_pieces the model's pieces are aligned with the text: paragraphs are the text's own characters, without gap or overlap, also where the
+    model changed white space or letters; a reply that is no copy of the text leads to the rule split too.
     The model is called once for each row, after the filters; store the result before using it twice.
     """
     others = [c for c in rows.columns if c != text]
@@ -94,8 +97,13 @@ def split_paragraphs(rows: DataFrame, splitter: Callable[[str], str] | None = No
         return F.struct(p.text.alias("text"), at.alias("start_char"), (at + F.length(p.text)).cast("int").alias("end_char"))
 
     method = F.when(short, "whole").when(F.size("said") > 0, "llm").otherwise("rule")
+    as_said = F.transform("said", placed).cast(PIECE)
+    if config.align_pieces and splitter is not None:
+        rows = stored(rows.withColumn("aligned", aligned_pieces(body, F.when(~short, F.transform("said", lambda p: p.text)), PIECE)), "aligned-pieces")  # stored: the model is called once
+        method = F.when(short, "whole").when(F.size("aligned") > 0, "llm").otherwise("rule")
+        as_said = F.col("aligned")
     rows = rows.withColumn("method", method)
-    pieces = F.when(F.col("method") == "whole", whole_piece(body)).when(F.col("method") == "llm", F.transform("said", placed).cast(PIECE)).otherwise(rule_pieces(F.when(F.col("method") == "rule", body), config))
+    pieces = F.when(F.col("method") == "whole", whole_piece(body)).when(F.col("method") == "llm", as_said).otherwise(rule_pieces(F.when(F.col("method") == "rule", body), config))
     found = rows.select(*others, text, "method", F.posexplode(pieces).alias("paragraph_index", "piece"))
     exact = F.col("piece.text") == F.expr(f"substring(`{text}`, piece.start_char + 1, length(piece.text))")
     return found.select(*others, "method", "paragraph_index", F.col("piece.text").alias("paragraph"), F.col("piece.start_char").alias("para_start"), F.col("piece.end_char").alias("para_end"), exact.alias("position_exact"))

@@ -395,7 +395,9 @@ def test_sum_of_squares_takes_the_least_sum():
 # --- 9
 
 
-def test_decontamination_matches_brute_force(spark):
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_ROWS, 0])
+def test_decontamination_matches_brute_force(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
     rng = random.Random(11)
     items = [(i, prose(rng, rng.choice([3, 9, 10, 11, 25, 40]))) for i in range(14)] + [(20, None), (21, ""), (22, "la " * 30), (3, prose(rng, 12)), (None, prose(rng, 20)), (23, "Un deux; trois")]
     rows = []

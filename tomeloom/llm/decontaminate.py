@@ -78,9 +78,14 @@ def hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     extended = near.select("doc_id", "key", "pos", "near", F.explode(F.sequence(F.lit(0), F.size("near") - WINDOW)).alias("i"))
     found = extended.select("doc_id", "key", (F.col("pos") + F.col("i")).alias("start"), F.lit(WINDOW).alias("size"), F.array_join(F.slice("near", F.col("i") + 1, WINDOW), " ").alias("window"))
     if short:
-        firsts = [F.struct(F.lit(n).alias("size"), F.when(F.col("pos") + n <= F.size("words"), F.array_join(F.slice("words", F.col("pos") + 1, n), " ")).alias("window")) for n in short]
         begin = stored(windows.where(F.col("size") < WINDOW).select(F.substring_index("window", " ", 1).alias("w0")).distinct(), "item-begins")  # stored: a join with it can be split at a hot word
-        each = texts.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "w0")).join(sized(begin, n_windows), "w0", "left_semi")
+        each = texts.select("doc_id", "key", "words", F.posexplode_outer("words").alias("pos", "w0"))
+        near = F.slice("words", F.col("pos") + 1, short[-1]).alias("near")
+        if begin.count() <= BROADCAST_ROWS:
+            each = each.join(F.broadcast(begin), "w0", "left_semi").select("doc_id", "key", "pos", near)
+        else:  # the shuffle carries a few words for each place, not the text
+            each = each.select("doc_id", "key", "pos", "w0", near).join(begin, "w0", "left_semi")
+        firsts = [F.struct(F.lit(n).alias("size"), F.when(F.size("near") >= n, F.array_join(F.slice("near", 1, n), " ")).alias("window")) for n in short]
         each = each.select("doc_id", "key", F.col("pos").alias("start"), F.inline(F.array(*firsts))).where("window is not null")
         found = found.union(each.select("doc_id", "key", "start", "size", "window"))
     found = found.join(sized(windows, n_windows), ["size", "window"]).select("doc_id", "key", "start", "size", "owners").distinct()

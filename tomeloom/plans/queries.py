@@ -241,6 +241,22 @@ def paragraphs_split_model(spark, d):
     return chunking.split_paragraphs(book(spark, d).leaves.select("book_id", "toc_idx", "content"), _halves).select("book_id", "toc_idx", "method", "paragraph_index", "paragraph")
 
 
+def _loose_halves(text: str) -> str:
+    """A stand-in for a model that doesn't keep white space: two halves, all runs of it doubled."""
+    import json
+    import re
+
+    half = len(text) // 2
+    return json.dumps({"paragraphs": [{"text": re.sub(r"\s+", "\n ", t), "start_marker": ""} for t in (text[:half], text[half:])]})
+
+
+@query
+def paragraphs_split_aligned(spark, d):
+    """Exact spans for pieces with changed white space."""
+    leaves = book(spark, d).leaves.select("book_id", "toc_idx", "content")
+    return chunking.split_paragraphs(leaves, _loose_halves, config=DEFAULT.updated(align_pieces=True))
+
+
 @query
 def chunks_greedy_merge(spark, d):
     return chunking.chunks_greedy_merge(pages.book_text(src.conversation_pages(spark, d)).withColumnRenamed("full_text", "content"))

@@ -193,6 +193,13 @@ def oracle_sql() -> dict[str, str]:
 SELECT book_id, toc_idx, 'rule' AS method, paragraph_index, paragraph FROM split
 UNION ALL SELECT book_id, toc_idx, 'llm', i, CASE i WHEN 0 THEN left(ask, length(ask) // 2) ELSE substring(ask, length(ask) // 2 + 1) END FROM (SELECT *, CAST(unnest([0, 1]) AS INTEGER) AS i FROM lg WHERE length(ask) % 7 <> 0)
 UNION ALL SELECT book_id, toc_idx, 'whole', 0, content FROM leaf WHERE content <> '' AND length({strip("content")}) < 100"""
+        ),
+        "paragraphs_split_aligned": base(
+            f""", lg AS (SELECT *, least(length(content), 10000 + length('[... truncated ...]') + 4) // 2 AS half FROM leaf WHERE length({strip("content")}) >= 100),
+ cuts AS (SELECT *, half + length(substring(content, half + 1)) - length(regexp_replace(substring(content, half + 1), '^\\s+', '')) AS cut FROM lg)
+SELECT book_id, toc_idx, 'llm' AS method, i AS paragraph_index, CASE i WHEN 0 THEN left(content, cut) ELSE substring(content, cut + 1) END AS paragraph, CAST(CASE i WHEN 0 THEN 0 ELSE cut END AS INTEGER) AS para_start,
+  CAST(CASE i WHEN 0 THEN cut ELSE length(content) END AS INTEGER) AS para_end, TRUE AS position_exact FROM (SELECT *, CAST(unnest([0, 1]) AS INTEGER) AS i FROM cuts)
+UNION ALL SELECT book_id, toc_idx, 'whole', 0, content, 0, CAST(length(content) AS INTEGER), TRUE FROM leaf WHERE content <> '' AND length({strip("content")}) < 100"""
         ),
         "chunks_greedy_merge": "WITH RECURSIVE " + BASE + f"""
 g0 AS (SELECT book_id, list_filter(list_transform(string_split(full_text, chr(10) || chr(10)), lambda x: {strip("x")}), lambda x: x <> '') AS b FROM full_text),

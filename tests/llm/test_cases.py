@@ -164,6 +164,26 @@ def test_a_first_text_far_from_hundreds_of_near_copies(spark):
     assert {i: got.get(i, i) for i in texts} == brute.near_classes(sorted(texts.items()))
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 24, 2000])
+def test_texts_of_one_template_meet_by_rare_shingles(spark, monkeypatch, block_bytes):
+    """A bucket of texts from one template, few of them similar; blocks of few texts, so that what is left is regrouped."""
+    rng, texts, asked, rare = random.Random(9), {}, [], near_dedup.rarest
+    frame = [prose(rng, 12) for _ in range(8)]
+    for i in range(240):
+        texts[i] = " ".join(f"{part} f{i}x{k} g{i}y{k}" for k, part in enumerate(frame))
+        if i % 6 == 1:  # like the one before, but for a word
+            w = texts[i - 1].split()
+            w[rng.randrange(len(w))] = "edit"
+            texts[i] = " ".join(w)
+    texts[240], texts[241] = "la " * 300, "la " * 310
+    member = spark.createDataFrame([(i, [7]) for i in texts], "id long, bands array<long>")
+    wanted = spark.createDataFrame(list(texts.items()), "id long, text string")
+    monkeypatch.setattr(near_dedup, "rarest", lambda *a: asked.append(1) or rare(*a))
+    got = {r.id: r.comp for r in near_dedup.links(member, lambda ids: wanted.join(ids, "id"), 0.8, block=4, block_bytes=block_bytes).collect()}
+    want = brute.near_classes(sorted(texts.items()))
+    assert {i: got.get(i, i) for i in texts} == want and asked and 190 < len(set(want.values())) < 240
+
+
 def test_a_block_gives_back_a_forest():
     rng = np.random.default_rng(4)
     for _ in range(30):

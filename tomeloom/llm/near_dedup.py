@@ -10,7 +10,8 @@ coordinate stays empty, that rank is doubled.
 
 Bands of ROWS coordinates are joined. A bucket never emits all pairs: each member is compared with the bucket's
 first text, links are verified exactly (weighted Jaccard >= threshold) and merged to components. In large buckets that
-still hold several, the members outside the largest component are compared with the first of them, some rounds long; what
+still hold several, the members outside the largest component are compared with the first of them, some rounds long; texts of
+buckets that are still large (made from one template, say) are regrouped by their rarest shingles, of which similar texts must share one; what
 is left then is compared with the members of all other components, as blocks of texts by matrix products, and only a
 spanning forest of the links leaves a block. So every pair of a bucket is either verified or inside one
 component, and no link between different texts is lost to that. Components are merged by contraction: a later
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -192,8 +193,7 @@ def crossed(asks: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.D
         return none
     open_ = asks["comp"].to_numpy()[:, None] != members["comp"].to_numpy()
     x, y = np.stack(asks["bands"]), np.stack(members["bands"])
-    band = int(np.flatnonzero(x[0] == asks["bucket"].iloc[0])[0])
-    for i in range(band):
+    for i in range(int(np.argmax(x[0] == asks["bucket"].iloc[0])) if x.size else 0):
         open_ &= x[:, i][:, None] != y[:, i]
     rows, cols = np.flatnonzero(open_.any(1)), np.flatnonzero(open_.any(0))
     if not len(rows):
@@ -222,13 +222,48 @@ def mixed_buckets(crowded: DataFrame, comp: DataFrame) -> DataFrame:
     return stored(seen.join(groups, "bucket"), "dart-mixed", rows)
 
 
-def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256, rounds: int = 4) -> DataFrame:
+def costly(left: DataFrame, block: int) -> bool:
+    """Would comparing what is left of the buckets in blocks cost more than some blocks for each text?"""
+    each = left.groupBy("bucket").agg(F.max(F.col("n") * F.col("m")).alias("c"), F.max("m").alias("m"))
+    cost = each.agg(F.sum("c").alias("c"), F.sum("m").alias("m")).first()
+    return bool(cost.c) and cost.c > 4 * block * cost.m
+
+
+def rarest(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, id, hub): each text's rarest elements, as many as two texts of that similarity can't both lack: of n elements, n - ceil(threshold * n) + 1.
+
+    An element is a shingle with its occurrence, so weighted Jaccard is that of sets. In one order of all elements by the number of
+    texts (id, text) that have them, two texts with a similarity of at least the threshold share one of these. hub is -1, no text.
+    """
+
+    def sets(rows):
+        import pyarrow as pa
+
+        for part, data, ends in batches(rows):
+            sh, count, text = weighted(data, ends)
+            count = count.astype(np.int64)
+            nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            key, text = mix(np.repeat(sh, count) + nth.astype(np.uint64) * K3).astype(np.int64), np.repeat(text, count)
+            size = np.bincount(text, minlength=len(ends) - 1)[text]
+            ids = part.column("id").to_numpy()[text]
+            for i in range(0, len(key), 65536):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 65536]) for c in (ids, size, key)], ["id", "n", "bucket"])
+
+    each = stored(texts.select("id", "text").mapInArrow(sets, "id long, n long, bucket long"), "dart-elements")
+    often = stored(each.groupBy("bucket").agg(F.count("*").alias("often")).where("often > 1"), "dart-often")  # stored: the join below can be split at a frequent element
+    order = Window.partitionBy("id").orderBy(F.coalesce("often", F.lit(1)), "bucket")
+    first = each.join(often, "bucket", "left").withColumn("place", F.row_number().over(order)).where("often > 1").where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1)
+    return stored(first.select("bucket", "id", F.lit(-1).cast("long").alias("hub")), "dart-rarest")
+
+
+def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256, rounds: int = 4, block_bytes: int = 1 << 24) -> DataFrame:
     """(id, comp): components under verified links among texts (id, bands) that share a bucket, a value in bands.
 
     wanted_of gives (id, text) for a table of ids. First each member is compared with its bucket's first text. As long as buckets
     hold several components and comparing the rest in blocks would cost more than it has texts (at most `rounds` times), the members
-    outside the largest component are compared with the first of them. Those then left meet all members of other components, in
-    units of at most about block x block texts that give back a spanning forest of their links alone.
+    outside the largest component are compared with the first of them. Where blocks would still cost that much, texts that are left meet by their rarest
+    elements instead, which loses no pair either: texts made from one template share most shingles, but hardly the rare ones. Those then left meet all members of
+    other components, in units of at most about block x block texts, and block_bytes of them on a side, that give back a spanning forest of their links alone.
     """
     most = BANDS * banded.count()
     member = banded.select("id", F.explode("bands").alias("bucket"))
@@ -239,7 +274,7 @@ def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256, roun
     tried = verified(crowded.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), wanted)
     comp = components(tried.where(F.col("sim") >= threshold).select("a", "b"))
     left = mixed_buckets(crowded, comp)
-    while rounds and (cost := left.groupBy("bucket").agg(F.max(F.col("n") * F.col("m")).alias("c"), F.max("m").alias("m")).agg(F.sum("c").alias("c"), F.sum("m").alias("m")).first()).c and cost.c > 4 * block * cost.m:
+    while rounds and costly(left, block):
         rest = left.where("comp <> big")
         firsts = stored(rest.groupBy("bucket").agg(F.min(F.struct("id", "comp")).alias("hub")), "dart-hubs", left.count())
         asked = rest.join(firsts, "bucket").where("comp <> hub.comp").select(F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.comp").alias("comp_a"), F.col("comp").alias("comp_b")).distinct()
@@ -247,15 +282,21 @@ def links(banded: DataFrame, wanted_of, threshold: float, block: int = 256, roun
         near = verified(asked.select("a", "b"), wanted).where(F.col("sim") >= threshold)
         comp = merged(comp, asked.join(near, ["a", "b"]).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
         left, rounds = mixed_buckets(crowded, comp), rounds - 1
+    if costly(left, block):
+        left = mixed_buckets(rarest(wanted.join(left.select("id").distinct(), "id", "left_semi"), threshold), comp)
+        banded = banded.select("id", F.array().cast("array<bigint>").alias("bands"))
     if left.isEmpty():
         return comp
     full = left.join(wanted, "id").join(banded, "id")
-    many = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int")
-    mine = lambda c, salt: F.pmod(F.xxhash64("id", F.lit(salt)), many(c)).cast("int")
-    every = lambda c: F.explode(F.sequence(F.lit(0), many(c) - 1))
+    size, small = F.octet_length("text"), F.col("comp") != F.col("big")
+    units = lambda count, size: F.greatest(F.lit(1), F.ceil(count / block), F.ceil(size / block_bytes)).cast("int")
+    parts = full.groupBy("bucket").agg(units(F.count("*"), F.sum(size)).alias("ns"), units(F.count_if(small), F.sum(F.when(small, size))).alias("ms"))
+    full = full.join(stored(parts, "dart-units", left.count() // 2), "bucket")
+    mine = lambda c, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     own = lambda: [F.col(c).alias(c) for c in ("bucket", "id", "comp", "bands", "text")]  # noqa: E731  new columns for each side
-    asks = full.where("comp <> big").select(*own(), mine("m", 1).alias("p"), every("n").alias("q"))
-    others = full.select(*own(), mine("n", 2).alias("q"), every("m").alias("p"))
+    asks = full.where("comp <> big").select(*own(), mine("ms", 1).alias("p"), every("ns").alias("q"))
+    others = full.select(*own(), mine("ns", 2).alias("q"), every("ms").alias("p"))
     met = asks.groupBy("bucket", "p", "q").cogroup(others.groupBy("bucket", "p", "q")).applyInPandas(lambda x, y: crossed(x, y, threshold), "a long, b long")
     found = stored(met, "dart-crossed")
     return comp if found.isEmpty() else merged(comp, found)

@@ -60,6 +60,13 @@ def test_vectors_of_odd_shape(spark):
     assert near_vectors.near_links(df.limit(0)).count() == 0
 
 
+def test_cosines_count_as_rounded(spark):
+    at = lambda c: [c, (1 - c * c) ** 0.5]
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, at(0.8999997)), (3, [0.0, -5.0, 0.0]), (4, [0.0, -0.8999993, -((1 - 0.8999993**2) ** 0.5)])], VECTORS)
+    for links in (dedup.near_dup_cosine(df, 0.9), near_vectors.near_links(df, 0.9)):
+        assert [tuple(r) for r in links.collect()] == [(1, 2, 0.9)]
+
+
 def test_groups_are_found_again(spark, tmp_path):
     rng, path = random.Random(5), str(tmp_path / "s")
     many_books(spark, 6).save(path, buckets=4)

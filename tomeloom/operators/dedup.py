@@ -9,6 +9,7 @@ from ..session import stored
 from .components import components
 
 ORDER = ["chapter_number", "toc_idx", "section_paragraph_index", "chunk_id"]
+ROUNDING = 1e-6  # cosines are compared as rounded to six digits: one just under the threshold may reach it
 
 
 def _place(order: list[str]):
@@ -91,7 +92,7 @@ def near_dup_cosine(vectors: DataFrame, threshold: float, block: int = 512) -> D
             a, b = np.stack(x["v"].to_numpy()[rows]), np.stack(y["v"].to_numpy()[cols])
             norm = np.outer(np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1)))
             sim[np.ix_(rows, cols)] = np.divide(a @ b.T, norm, out=np.zeros_like(norm), where=norm > 0)
-        i, j = np.nonzero(sim >= threshold - 1e-9)
+        i, j = np.nonzero(sim >= threshold - ROUNDING)
         va, vb, s = x["vec_id"].to_numpy()[i], y["vec_id"].to_numpy()[j], sim[i, j]
         keep = (va < vb) if x["p"].iloc[0] == x["q"].iloc[0] else va != vb
         return pd.DataFrame({"vec_a": np.minimum(va, vb)[keep], "vec_b": np.maximum(va, vb)[keep], "cosine": s[keep]})

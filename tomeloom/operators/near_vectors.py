@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..session import ship, stored
 from ..sources.snapshots import Conflict, Store, bucket_column
 from .components import components
+from .dedup import ROUNDING
 
 BUCKET, BLOCK, UNIT = 8, 512, 8192
 PROBES = 4
@@ -109,7 +110,7 @@ def near_links(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98,
             if b - a < 2:
                 continue
             x = np.stack(lists[a:b])
-            near = x @ x.T >= threshold - 1e-9
+            near = x @ x.T >= threshold - ROUNDING
             near &= own[a:b, None] | own[None, a:b]  # two that are here by a turned sign each may be far apart: others show them
             near &= is_p[a:b, None] & is_q[None, a:b] | is_q[a:b, None] & is_p[None, a:b]
             near &= ids[a:b, None] < ids[None, a:b]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.test_store import many_books
 from tomeloom.operators import dedup, near_vectors
 from tomeloom.operators.components import components
+from tomeloom.plans import queries
 from tomeloom.sources.snapshots import Store
 
 VECTORS = "vec_id long, embedding array<double>"
@@ -67,6 +68,14 @@ def test_cosines_count_as_rounded(spark):
         assert [tuple(r) for r in links.collect()] == [(1, 2, 0.9)]
 
 
+def test_texts_that_differ_have_far_vectors(spark):
+    concepts = ["Erhe", "Eare", "Oued", "Erntha", "Ntndea", "Edshou", "Diech", "Onwher", ""]  # of each pair, the first 16 bytes of a hash were near
+    df = spark.createDataFrame([(i, c) for i, c in enumerate([*concepts, "Oued"])], "vec_id long, c string")
+    vectors = df.select("vec_id", queries.hash_vector(F.col("c")).alias("embedding"))
+    assert {len(r.embedding) for r in vectors.collect()} == {64}
+    assert [tuple(r) for r in near_vectors.near_links(vectors, 0.9).collect()] == [(2, 9, 1.0)]
+
+
 def test_groups_are_found_again(spark, tmp_path):
     rng, path = random.Random(5), str(tmp_path / "s")
     many_books(spark, 6).save(path, buckets=4)

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tests.test_run_and_sources import TOC, plain_book
 from tomeloom.config import DEFAULT
 from tomeloom.operators import progress
+from tomeloom.plans import queries
 from tomeloom.plans.pipeline import Book
 from tomeloom.schemas import TABLES, book_bucket, init_tables, key_id
 from tomeloom.sources.snapshots import Conflict, Store
 from tomeloom.streaming.track import track
 
+SF = "/root/testdata/sf0.001"
 WORDS = "One Intro words and more of them. " * 6
 
 
@@ -295,3 +297,11 @@ def test_a_stream_of_events(spark, tmp_path):
 
     apply(store, spark.read.parquet(source), ("progress", 1))  # a batch that is run again
     assert store.snapshot().version == version
+
+
+def test_lookups_tell_the_place_in_the_outline(spark):
+    chunks = queries.QUERIES["chunks_by_book"](spark, SF)
+    assert chunks.columns == ["book_id", "page_number", "toc_idx", "paragraph_index", "body_text"]
+    rows = [tuple(r) for r in chunks.collect()]
+    kept = queries.book(spark, SF).kept.where("book_id = 5 and concept is not null").select("book_id", "page", "toc_idx", "book_paragraph_index", "paragraph")
+    assert rows and sorted(rows) == sorted(tuple(r) for r in kept.collect()) and rows == sorted(rows, key=lambda r: (r[1], r[3]))

@@ -456,7 +456,7 @@ def book_by_title(spark, d):
 
 @query
 def chunks_by_book(spark, d):
-    return saved(spark, d).lookup("paragraph_chunks", ["page_number", "paragraph_index"], book_id=5).select("book_id", "page_number", "paragraph_index", "body_text")
+    return saved(spark, d).lookup("paragraph_chunks", ["page_number", "paragraph_index"], book_id=5).select("book_id", "page_number", "toc_idx", "paragraph_index", "body_text")
 
 
 @query

@@ -305,3 +305,6 @@ def test_lookups_tell_the_place_in_the_outline(spark):
     rows = [tuple(r) for r in chunks.collect()]
     kept = queries.book(spark, SF).kept.where("book_id = 5 and concept is not null").select("book_id", "page", "toc_idx", "book_paragraph_index", "paragraph")
     assert rows and sorted(rows) == sorted(tuple(r) for r in kept.collect()) and rows == sorted(rows, key=lambda r: (r[1], r[3]))
+    ideas = queries.QUERIES["ideas_by_book"](spark, SF)
+    kept = queries.book(spark, SF).kept.where("book_id = 5 and concept is not null").select("book_id", "toc_idx", "concept")
+    assert ideas.columns == ["book_id", "toc_idx", "core_idea_text"] and sorted(map(tuple, ideas.collect())) == sorted(map(tuple, kept.collect()))

@@ -461,7 +461,9 @@ def chunks_by_book(spark, d):
 
 @query
 def ideas_by_book(spark, d):
-    return saved(spark, d).lookup("key_ideas", book_id=5).select("book_id", "core_idea_text")
+    s = saved(spark, d)
+    chunks = s.lookup("paragraph_chunks", book_id=5).select(F.col("id").alias("chunk_id"), "toc_idx")
+    return s.lookup("key_ideas", book_id=5).join(chunks, "chunk_id").select("book_id", "toc_idx", "core_idea_text")
 
 
 CHAPTER = ["book_id", "chapter_number", "title", "level", "detection_method", "start_page", "end_page"]

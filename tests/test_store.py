@@ -308,3 +308,6 @@ def test_lookups_tell_the_place_in_the_outline(spark):
     ideas = queries.QUERIES["ideas_by_book"](spark, SF)
     kept = queries.book(spark, SF).kept.where("book_id = 5 and concept is not null").select("book_id", "toc_idx", "concept")
     assert ideas.columns == ["book_id", "toc_idx", "core_idea_text"] and sorted(map(tuple, ideas.collect())) == sorted(map(tuple, kept.collect()))
+    sections = queries.QUERIES["sections_by_chapter"](spark, SF)
+    rows = [tuple(r) for r in sections.collect()]
+    assert sections.columns == ["book_id", "chapter_number", "section_number", "title"] and rows and {r[:2] for r in rows} == {(5, 1)} and [r[2] for r in rows] == list(range(1, len(rows) + 1))

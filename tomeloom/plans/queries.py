@@ -490,8 +490,9 @@ def chunks_by_chapter(spark, d):
 @query
 def sections_by_chapter(spark, d):
     s = saved(spark, d)
-    chapter = stored_id(s.lookup("chapters", book_id=5, chapter_number=1))
-    return s.lookup("sections", ["section_number"], chapter_id=chapter).select("book_id", "section_number", "title")
+    chapter = s.lookup("chapters", book_id=5, chapter_number=1)
+    sections = s.lookup("sections", chapter_id=stored_id(chapter)).join(chapter.select(F.col("id").alias("chapter_id"), "chapter_number"), "chapter_id")
+    return sections.orderBy("section_number").select("book_id", "chapter_number", "section_number", "title")
 
 
 @query

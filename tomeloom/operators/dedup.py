@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import ship, stored
 from .components import components
 
 ORDER = ["chapter_number", "toc_idx", "section_paragraph_index", "chunk_id"]
 ROUNDING = 1e-6  # cosines are compared as rounded to six digits: one just under the threshold may reach it
+BLOCKS, BLOCK_ROWS, BLOCK_BYTES, STRIP = 16, 16384, 16 << 20, 1 << 21  # of near_dup_cosine: blocks, the most rows and bytes of one, and products at a time
 
 
 def _place(order: list[str]):
@@ -65,39 +66,120 @@ def duplicates_skipped(ideas: DataFrame, order: list[str] | None = None) -> Data
     return mark_duplicates(ideas, ["book_id"], order).where("is_duplicate").drop("is_duplicate")
 
 
-def near_dup_cosine(vectors: DataFrame, threshold: float, block: int = 512) -> DataFrame:
-    """vec_a, vec_b, cosine of all pairs vec_a < vec_b at or over threshold: exact, in blocks.
-
-    Vectors are dealt into blocks of about `block` rows; each pair of blocks is one unit of bounded size, multiplied as matrices.
+def finite(vectors: DataFrame) -> DataFrame:
+    """vec_id and v, in doubles; null vectors and ids and vectors with null, NaN or infinite components are left out."""
+    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return vectors.where("embedding is not null and vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.forall("v", fine))
+
+
+def block_rows(n: int, width: int) -> int:
+    """Rows of a block, for n vectors of width components: BLOCKS blocks, so that each vector is sent as often whatever n is, until a block has BLOCK_ROWS rows or BLOCK_BYTES."""
+    return max(512, min(-(-n // BLOCKS), BLOCK_ROWS, BLOCK_BYTES // (8 * max(width, 1))))
+
+
+def compare_blocks(batches, threshold: float, spanning: bool):
+    """Pairs of each unit, whose rows (unit, is_right, vec_id, v) come one after the other; a unit without a right side is a block against itself. Arrow batches in and out."""
+    import numpy as np
+    import pyarrow as pa
+
+    def units():
+        now, held = None, []
+        for batch in batches:
+            unit, lists = batch.column("unit").to_numpy(), batch.column("v")
+            right, ids = batch.column("is_right").to_numpy(zero_copy_only=False), batch.column("vec_id").to_numpy()
+            offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            starts = [0, *(np.flatnonzero(unit[1:] != unit[:-1]) + 1).tolist(), len(unit)]
+            for i, j in zip(starts[:-1], starts[1:]):
+                if i == j:
+                    continue
+                if held and unit[i] != now:
+                    yield held
+                    held = []
+                now = unit[i]
+                held.append((right[i:j], ids[i:j], np.diff(offsets[i : j + 1]), flat[offsets[i] : offsets[j]]))
+        if held:
+            yield held
+
+    def of_length_one(x):
+        top = np.abs(x).max(1, keepdims=True, initial=0)
+        x = np.divide(x, top, out=np.zeros_like(x), where=top > 0)  # squares of huge components stay finite
+        size = np.sqrt((x * x).sum(1, keepdims=True))
+        return np.divide(x, size, out=np.zeros_like(x), where=size > 0)
+
+    for held in units():
+        right, ids, sizes, flat = (np.concatenate(c) for c in zip(*held, strict=True))
+        ends = np.cumsum(sizes)
+        for d in np.unique(sizes).tolist():
+            sides = [np.flatnonzero((sizes == d) & (right == r)) for r in (False, True)]
+            same = not right.any()
+            sides[1] = sides[0] if same else sides[1]
+            if not len(sides[0]) or not len(sides[1]):
+                continue
+            x, y = (of_length_one(flat[(ends[rows] - d)[:, None] + np.arange(d)]) for rows in sides)
+            (va, vb), label = (ids[rows] for rows in sides), np.arange(len(ids))
+            step = max(1, STRIP // len(y))
+            for lo in range(0, len(x), step):
+                sim = x[lo : lo + step] @ y.T
+                i, j = np.nonzero(sim >= threshold - ROUNDING)
+                cosine = sim[i, j]
+                i += lo
+                ok = ((va[i] < vb[j]) if same else (va[i] != vb[j])) & (np.round(cosine, 6) >= threshold)
+                i, j, cosine = i[ok], j[ok], cosine[ok]
+                if spanning:
+                    i, j, cosine = forest(sides[0][i], sides[1][j], cosine, label)
+                    a, b = ids[i], ids[j]
+                else:
+                    a, b = va[i], vb[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(cosine)], ["vec_a", "vec_b", "cosine"])
+
+
+def forest(i, j, cosine, label):
+    """Of the links (i, j), those that join what label (each node's smallest known neighbour, changed in place) does not: a link for each node at a time, so a crowd takes few steps."""
+    import numpy as np
+
+    kept = [(i[:0], j[:0], cosine[:0])]
+    while True:
+        open_ = label[i] != label[j]
+        i, j, cosine = i[open_], j[open_], cosine[open_]
+        if not len(i):
+            return tuple(np.concatenate(c) for c in zip(*kept, strict=True))
+        joins = []
+        for n in np.unique(i, return_index=True)[1].tolist():
+            a, b = int(i[n]), int(j[n])
+            while label[a] != a:
+                a = int(label[a])
+            while label[b] != b:
+                b = int(label[b])
+            if a != b:
+                label[max(a, b)] = min(a, b)
+                joins.append(n)
+        while (label != label[label]).any():
+            label[:] = label[label]
+        kept.append((i[joins], j[joins], cosine[joins]))
+
+
+def near_dup_cosine(vectors: DataFrame, threshold: float, block: int | None = None, spanning: bool = False) -> DataFrame:
+    """vec_a, vec_b, cosine of all pairs vec_a < vec_b at or over threshold: exact, in blocks. The cosine counts as rounded to six digits.
+
+    Vectors are dealt into blocks of about `block` rows (see block_rows); each pair of blocks is one unit of bounded size, multiplied as matrices, a strip of rows at a time.
+    spanning: of each unit only links that join what others of it don't (a forest), which connect the same vectors as all pairs do, and are at most as many as the unit has rows.
     Null vectors and ids and vectors with null, NaN or infinite components take no part; vectors of different length are no pair; a zero vector has cosine 0.
     """
-    fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    good = vectors.where("embedding is not null and vec_id is not null").select("vec_id", F.col("embedding").cast("array<double>").alias("v")).where(F.forall("v", fine))
-    blocks = max(1, -(-good.count() // block))
-    mine = good.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    own = lambda: [F.col(c).alias(c) for c in ("vec_id", "v")]  # noqa: E731  new columns for each side
-    left = mine.withColumn("other", F.explode(F.filter(every, lambda x: x >= F.col("b")))).select(F.col("b").alias("p"), F.col("other").alias("q"), *own())
-    right = mine.withColumn("other", F.explode(F.filter(every, lambda x: x <= F.col("b")))).select(F.col("other").alias("p"), F.col("b").alias("q"), *own())
-
-    def multiply(x, y):
-        import numpy as np
-        import pandas as pd
-
-        if x.empty or y.empty:
-            return pd.DataFrame({"vec_a": [], "vec_b": [], "cosine": []})
-        sim, sizes = np.full((len(x), len(y)), -2.0), [np.array([len(v) for v in side["v"]]) for side in (x, y)]
-        for n in np.intersect1d(*sizes):
-            rows, cols = (np.flatnonzero(s == n) for s in sizes)
-            a, b = np.stack(x["v"].to_numpy()[rows]), np.stack(y["v"].to_numpy()[cols])
-            norm = np.outer(np.sqrt((a * a).sum(1)), np.sqrt((b * b).sum(1)))
-            sim[np.ix_(rows, cols)] = np.divide(a @ b.T, norm, out=np.zeros_like(norm), where=norm > 0)
-        i, j = np.nonzero(sim >= threshold - ROUNDING)
-        va, vb, s = x["vec_id"].to_numpy()[i], y["vec_id"].to_numpy()[j], sim[i, j]
-        keep = (va < vb) if x["p"].iloc[0] == x["q"].iloc[0] else va != vb
-        return pd.DataFrame({"vec_a": np.minimum(va, vb)[keep], "vec_b": np.maximum(va, vb)[keep], "cosine": s[keep]})
-
-    found = left.groupBy("p", "q").cogroup(right.groupBy("p", "q")).applyInPandas(multiply, "vec_a long, vec_b long, cosine double")
+    ship(vectors.sparkSession)
+    good = finite(vectors)
+    n, width = good.agg(F.count("*"), F.max(F.size("v"))).first()
+    blocks = max(1, -(-n // (block or block_rows(n, width or 1))))
+    mine = good.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    mine = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    unit = F.least("b", "other") * blocks + F.greatest("b", "other")
+    rows = mine.select(unit.cast("long").alias("unit"), (F.col("b") > F.col("other")).alias("is_right"), F.col("vec_id").cast("long").alias("vec_id"), "v")
+
+    def compare(batches):
+        from tomeloom.operators.dedup import compare_blocks
+
+        return compare_blocks(batches, threshold, spanning)
+
+    found = rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(compare, "vec_a long, vec_b long, cosine double")
     return found.withColumn("cosine", F.round("cosine", 6)).where(F.col("cosine") >= threshold)
 
 

@@ -332,7 +332,7 @@ def near_dup_cosine(spark, d):
 @query
 def idea_groups(spark, d):
     vectors = src.table(spark, d, "embeddings")
-    pairs = dedup.near_dup_cosine(vectors, 0.4)
+    pairs = dedup.near_dup_cosine(vectors, 0.4, spanning=True)
     return dedup.idea_groups(pairs, vectors.select(F.col("vec_id").alias("id"), F.concat(F.lit("idea "), F.col("vec_id").cast("string")).alias("core_idea_text")))
 
 

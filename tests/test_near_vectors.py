@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.test_store import many_books
@@ -59,6 +60,20 @@ def test_spanning_links_connect_what_all_pairs_do(spark):
         assert connected(links) == want and links.count() <= len(rows) * (len(rows) // (block or 512) + 2)
 
 
+def test_codes_grow_no_faster_than_the_vectors():
+    plans = [near_vectors.plan(n, 0.9, 0.98) for n in (20_512, 205_120, 1_000_000)]
+    assert len(set(plans)) == 1 and near_vectors.plan(4_000_000, 0.9, 0.98)[0] == 14
+
+
+def test_short_vectors_keep_their_bound():
+    rng = np.random.default_rng(1)
+    v = rng.standard_normal((50, 24))
+    v /= np.sqrt((v * v).sum(1))[:, None]
+    short, scale, lost = near_vectors.shortened(v)
+    x = short * scale[:, None]
+    assert short.dtype == np.int16 and (np.abs(v @ v.T - x @ x.T) <= lost[:, None] * (1 + lost) + lost + 1e-12).all() and lost.max() < 1e-4
+
+
 def test_a_crowd_gives_few_links(spark):
     rng = random.Random(4)
     base = [rng.gauss(0, 1) for _ in range(16)]

@@ -18,13 +18,14 @@ from ..sources.snapshots import Conflict, Store, bucket_column
 from .components import components
 from .dedup import ROUNDING
 
-BUCKET, BLOCK, UNIT = 8, 512, 8192
+BUCKET, WIDE_BUCKET, WIDE_BITS, BLOCK = 8, 256, 12, 2048
 PROBES = 4
 
 
 def plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
     """Bits of a code and bands, for n vectors: a pair at the threshold shares a bucket with a chance of at least recall."""
-    bits = max(6, min(40, math.ceil(math.log2(max(n, 2) / BUCKET))))
+    few, many = (math.ceil(math.log2(max(n, 2) / b)) for b in (BUCKET, WIDE_BUCKET))
+    bits = max(6, min(few, max(WIDE_BITS, min(40, many))))  # longer codes need more bands: from 32,768 to a million vectors buckets grow instead, so that each vector is sent as often
     same = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
     # all signs agree, or one differs that is among the probes of either; nearly always one of the least certain
     hit = same**bits + 0.8 * bits * same ** (bits - 1) * (1 - same)
@@ -47,96 +48,133 @@ def distinct_vectors(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first.select(F.col("a").alias("id"), "v"), same
 
 
+def shortened(v):
+    """A matrix of rows as 16-bit integers, the scale of each row, and the length of what that leaves out."""
+    import numpy as np
+
+    scale = np.maximum(np.abs(v).max(1), 1e-300) / 32767
+    short = np.rint(v / scale[:, None]).astype(np.int16)
+    return short, scale, np.sqrt(((v - short * scale[:, None]) ** 2).sum(1))
+
+
 def near_links(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98, seed: int = 7) -> DataFrame:
     """vec_a, vec_b, cosine: links between vectors (vec_id, embedding) of cosine threshold or more, vec_a < vec_b, which connect near vectors.
 
-    Equal vectors are linked with the one of least id. Vectors of different length are no pair. near_dup_cosine() gives all pairs, exactly, at a cost that grows with the square.
+    What travels to the buckets is each vector in 16-bit integers, with a bound on what that changes: pairs that may be near by these bounds are links that are then
+    checked with the vectors themselves. Equal vectors are linked with the one of least id. Vectors of different length are no pair. near_dup_cosine() gives all pairs, exactly, at a
+    cost that grows with the square.
     """
     ship(vectors.sparkSession)
     first, same = distinct_vectors(vectors)
-    first = stored(first, "distinct-vectors")
     bits, bands = plan(first.count(), threshold, recall)
 
-    def codes(rows):
-        import numpy as np
-        import pyarrow as pa
-
-        planes: dict[int, np.ndarray] = {}
-        for batch in rows:
-            ids, lists = batch.column("id").to_numpy(), batch.column("v")
-            sizes = np.diff(lists.offsets.to_numpy())
-            flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
-            for d in np.unique(sizes).tolist():
-                which = np.flatnonzero(sizes == d)
-                if d not in planes:
-                    planes[d] = np.random.default_rng([seed, d]).standard_normal((d, bands * bits))
-                for lo in range(0, len(which), 1024):
-                    mine = which[lo : lo + 1024]
-                    x = flat[at[mine][:, None] + np.arange(d)] @ planes[d]
-                    x = x.reshape(len(mine), bands, bits)
-                    power = 1 << np.arange(bits, dtype=np.int64)
-                    own = ((x > 0) * power).sum(2)
-                    weak = np.argsort(np.abs(x), axis=2)[:, :, : min(PROBES, bits)]
-                    all_ = np.concatenate([own[:, :, None], own[:, :, None] ^ power[weak]], axis=2)
-                    m = all_.shape[2]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(ids[mine], bands * m)), pa.array(np.tile(np.repeat(np.arange(bands, dtype=np.int32), m), len(mine))), pa.array(all_.reshape(-1)), pa.array(np.tile(np.arange(m) == 0, len(mine) * bands)), pa.array(np.full(len(mine) * bands * m, d, np.int32))],
-                        ["id", "band", "code", "own", "d"],
-                    )
+    def codes(with_vector):
+        def run(rows):
+            import numpy as np
+            import pyarrow as pa
+
+            from tomeloom.operators.near_vectors import shortened
+
+            planes: dict[int, np.ndarray] = {}
+            for batch in rows:
+                ids, lists = batch.column("id").to_numpy(), batch.column("v")
+                sizes = np.diff(lists.offsets.to_numpy())
+                flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
+                for d in np.unique(sizes).tolist():
+                    which = np.flatnonzero(sizes == d)
+                    if d not in planes:
+                        planes[d] = np.random.default_rng([seed, d]).standard_normal((d, bands * bits))
+                    for lo in range(0, len(which), 1024):
+                        mine = which[lo : lo + 1024]
+                        v = flat[at[mine][:, None] + np.arange(d)]
+                        x = (v @ planes[d]).reshape(len(mine), bands, bits)
+                        power = 1 << np.arange(bits, dtype=np.int64)
+                        own = ((x > 0) * power).sum(2)
+                        weak = np.argsort(np.abs(x), axis=2, kind="stable")[:, :, : min(PROBES, bits)]
+                        all_ = np.concatenate([own[:, :, None], own[:, :, None] ^ power[weak]], axis=2)
+                        m = all_.shape[2]
+                        copies = bands * m
+                        columns = {
+                            "band": pa.array(np.tile(np.repeat(np.arange(bands, dtype=np.int32), m), len(mine))), "code": pa.array(all_.reshape(-1)), "d": pa.array(np.full(len(mine) * copies, d, np.int32)),
+                            "id": pa.array(np.repeat(ids[mine], copies)), "own": pa.array(np.tile(np.arange(m) == 0, len(mine) * bands)),
+                        }
+                        if with_vector:
+                            short, scale, lost = shortened(v)
+                            body = pa.array([r.tobytes() for r in short], pa.binary()).take(pa.array(np.repeat(np.arange(len(mine)), copies)))
+                            columns |= {"v": body, "scale": pa.array(np.repeat(scale, copies)), "lost": pa.array(np.repeat(lost, copies))}
+                        yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+        kind = "band int, code long, d int, id long, own boolean" + (", v binary, scale double, lost double" if with_vector else "")
+        return first.mapInArrow(run, kind)
 
     key = ["band", "code", "d"]
-    put = stored(first.mapInArrow(codes, "id long, band int, code long, own boolean, d int"), "codes")
-    sizes = put.groupBy(*key).agg(F.count("*").alias("n"), F.count_if("own").alias("owners")).where("n > 1 and owners > 0")
-    met = put.join(stored(sizes, "buckets"), key).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    block = F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    met = met.withColumn("block", block).withColumn("other", F.explode(other))
-    met = met.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).select("id", *key, "own", "p", "q", (F.col("block") == F.col("p")).alias("is_p"), (F.col("block") == F.col("q")).alias("is_q"))
-    met = stored(met, "meetings")
-    units = max(1, -(-met.count() // UNIT))
-    placed = met.join(first, "id").withColumn("unit", F.pmod(F.xxhash64(*key, "p", "q"), F.lit(units)))
-
-    def compare(pdf):
+    crowded = stored(codes(False).groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "crowded-buckets")
+    put = codes(True).join(crowded, key, "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / BLOCK).cast("int"), F.lit(1)))
+    met = put.withColumn("block", F.pmod(F.xxhash64("id", "band"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")}).withColumns({"is_p": F.col("block") == F.col("p"), "is_q": F.col("block") == F.col("q")})
+    met = met.select(F.xxhash64(*key, "p", "q").alias("meeting"), *key, "p", "q", "id", "own", "is_p", "is_q", "v", "scale", "lost")
+
+    def compare(batches):
         import numpy as np
-        import pandas as pd
-
-        out = []
-        order = pdf.sort_values(["band", "code", "d", "p", "q", "id"], kind="stable")
-        keys = order[["band", "code", "d", "p", "q"]].to_numpy()
-        ids, own, is_p, is_q = (order[c].to_numpy() for c in ("id", "own", "is_p", "is_q"))
-        lists = order["v"].to_numpy()
-        cuts = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
-        for a, b in zip([0, *cuts], [*cuts, len(keys)], strict=True):
-            if b - a < 2:
+        import pyarrow as pa
+
+        from tomeloom.operators.dedup import forest
+
+        def meetings():
+            now, held = None, []
+            for batch in batches:
+                k = np.stack([batch.column(c).to_numpy() for c in ("meeting", "band", "code", "d", "p", "q")], axis=1)
+                cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), len(k)]
+                for i, j in zip(cuts[:-1], cuts[1:]):
+                    if i == j:
+                        continue
+                    if held and not (k[i] == now).all():
+                        yield held, int(now[3])
+                        held = []
+                    now = k[i]
+                    held.append(batch.slice(i, j - i))
+            if held:
+                yield held, int(now[3])
+
+        def column(held, name):
+            return np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in held])
+
+        found = []
+        for held, d in meetings():
+            if sum(b.num_rows for b in held) < 2:
+                continue
+            own, ids = column(held, "own"), column(held, "id")
+            if not own.any():
                 continue
-            x = np.stack(lists[a:b])
-            near = x @ x.T >= threshold - ROUNDING
-            near &= own[a:b, None] | own[None, a:b]  # two that are here by a turned sign each may be far apart: others show them
-            near &= is_p[a:b, None] & is_q[None, a:b] | is_q[a:b, None] & is_p[None, a:b]
-            near &= ids[a:b, None] < ids[None, a:b]
-            i, j = np.nonzero(near)
-            if len(i) >= b - a:  # more links than a forest has: keep one
-                parent = list(range(b - a))
-
-                def root(u, parent=parent):
-                    while parent[u] != u:
-                        parent[u] = parent[parent[u]]
-                        u = parent[u]
-                    return u
-
-                keep = []
-                for n, (u, w) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-                    u, w = root(u), root(w)
-                    if u != w:
-                        parent[max(u, w)] = min(u, w)
-                        keep.append(n)
-                i, j = i[keep], j[keep]
-            out.append(pd.DataFrame({"vec_a": ids[a:b][i], "vec_b": ids[a:b][j], "cosine": (x[i] * x[j]).sum(1)}))
-        return pd.concat(out) if out else pd.DataFrame({"vec_a": [], "vec_b": [], "cosine": []})
-
-    found = placed.groupBy("unit").applyInPandas(compare, "vec_a long, vec_b long, cosine double")
-    found = found.withColumn("cosine", F.round("cosine", 6)).where(F.col("cosine") >= threshold).distinct()
-    return found.unionByName(same.select(F.col("a").alias("vec_a"), F.col("b").alias("vec_b"), F.lit(1.0).alias("cosine")))
+            order = np.argsort(ids, kind="stable")
+            own, ids = own[order], ids[order]
+            is_p, is_q, scale, lost = (column(held, c)[order] for c in ("is_p", "is_q", "scale", "lost"))
+            short = np.frombuffer(b"".join(x for b in held for x in b.column("v").to_pylist()), np.int16).reshape(len(ids), d)[order]
+            x = short * scale[:, None]
+            label, owners = np.arange(len(ids)), np.flatnonzero(own)  # two that are here by a turned sign each may be far apart: others show them
+            for lo in range(0, len(owners), 256):
+                mine = owners[lo : lo + 256]
+                sim, bound = x[mine] @ x.T, lost[mine][:, None] * (1 + lost) + lost + 1e-12
+                i, j = np.nonzero(sim + bound >= threshold - ROUNDING)
+                cosine, bound, i = sim[i, j], bound[i, j], mine[i]
+                ok = (ids[i] != ids[j]) & (is_p[i] & is_q[j] | is_q[i] & is_p[j])
+                i, j, cosine, bound = i[ok], j[ok], cosine[ok], bound[ok]
+                sure = cosine - bound >= threshold
+                a, b, _ = forest(i[sure], j[sure], cosine[sure], label)
+                open_ = ~sure & ((i < j) | ~own[j]) & (label[i] != label[j])  # the vectors themselves tell: such a link stands for no other
+                a, b = np.concatenate([a, i[open_]]), np.concatenate([b, j[open_]])
+                found.append((np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])))
+            if sum(len(a) for a, _ in found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["vec_a", "vec_b"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["vec_a", "vec_b"])
+
+    links = stored(met.repartition("meeting").sortWithinPartitions("meeting", *key, "p", "q").mapInArrow(compare, "vec_a long, vec_b long").distinct(), "near-links")
+    ends = links.join(first.select(F.col("id").alias("vec_a"), F.col("v").alias("x")), "vec_a").join(first.select(F.col("id").alias("vec_b"), F.col("v").alias("y")), "vec_b")
+    cosine = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    exact = ends.select("vec_a", "vec_b", F.round(cosine, 6).alias("cosine")).where(F.col("cosine") >= threshold)
+    return exact.unionByName(same.select(F.col("a").alias("vec_a"), F.col("b").alias("vec_b"), F.lit(1.0).alias("cosine")))
 
 
 def grouped(ideas: DataFrame, known: DataFrame, threshold: float = 0.9, recall: float = 0.98) -> DataFrame:

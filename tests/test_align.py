@@ -71,6 +71,23 @@ def test_defined_cases_of_alignment():
     assert [emoji[i:j].strip() for i, j in align.spans(emoji, ["\U0001f600 " + a, "\U0001f601 " + b])] == ["\U0001f600 " + a, "\U0001f601 " + b]
 
 
+def test_a_batch_is_python_objects_in_slices_only():
+    import pyarrow as pa
+
+    rnd, sizes = random.Random(4), []
+    texts = [None if i % 9 == 0 else words_of(rnd, 20) for i in range(300)]
+    said = [t and [t[:40].replace(" ", "\n"), t[40:]] for t in texts]
+    columns = pa.array(texts), pa.array(said, pa.list_(pa.string()))
+
+    def noted(t, s):
+        sizes.append(len(t))
+        return align.aligned_lists(t, s)
+
+    assert chunking.by_slices(noted, *columns).to_pylist() == align.aligned_lists(texts, said).to_pylist()
+    assert sum(sizes) == 300 and max(sizes) <= chunking.SLICE < 300
+    assert len(chunking.by_slices(noted, *(c.slice(0, 0) for c in columns))) == 0
+
+
 def test_a_model_split_is_aligned(spark):
     rnd = random.Random(2)
     parts = [words_of(rnd, 30) for _ in range(4)]

@@ -16,6 +16,7 @@ from ..session import stored
 from .calls import replies
 
 PIECE = "array<struct<text:string,start_char:int,end_char:int>>"
+SLICE = 128
 
 
 def rule_pieces(text: Column, config: EngineConfig = DEFAULT) -> Column:
@@ -25,12 +26,11 @@ def rule_pieces(text: Column, config: EngineConfig = DEFAULT) -> Column:
     """
     least = config.min_paragraph
 
-    @F.arrow_udf(PIECE)
-    def pieces(texts):
+    def of_slice(texts):
         import re
 
         found = []
-        for t in texts.to_pylist():
+        for t in texts:
             if t is None:
                 found.append(None)
                 continue
@@ -44,9 +44,22 @@ def rule_pieces(text: Column, config: EngineConfig = DEFAULT) -> Column:
             found.append(kept or [(t, 0, len(t))])
         return piece_lists(found)
 
+    @F.arrow_udf(PIECE)
+    def pieces(texts):
+        from tomeloom.operators.chunking import by_slices
+
+        return by_slices(of_slice, texts)
+
     return pieces(text)
 
 
+def by_slices(convert: Callable, *columns):
+    """One Arrow array of what convert makes of SLICE rows of the columns at a time, as lists: a batch may have 10,000 texts, and only a slice's are Python objects at once."""
+    import pyarrow as pa
+
+    return pa.concat_arrays([convert(*(c.slice(at, SLICE).to_pylist() for c in columns)) for at in range(0, max(1, len(columns[0])), SLICE)])
+
+
 def piece_lists(found: list):
     """Lists of (text, start, end) as an Arrow array."""
     import pyarrow as pa
